@@ -4,7 +4,7 @@ from datetime import date
 
 from pyspark.sql import Column, functions as F
 
-from marketlens.functions.text import WS, strip
+from marketlens.functions.text import WS, strip, whole_number
 
 EPOCH = date(1970, 1, 1)
 
@@ -47,7 +47,7 @@ def board_date(text: Column, as_of: date) -> Column:
         F.when(F.coalesce(text, F.lit("")) == "", today)
         .when(iso != "", iso.try_cast("date"))
         .when(spelled.isNotNull(), spelled)
-        .when(ago != "", F.date_sub(today, ago.try_cast("int")))
+        .when(ago != "", F.date_sub(today, whole_number(ago)))
         .when(F.contains(lowered, F.lit("yesterday")), F.date_sub(today, 1))
         .otherwise(today)
     )
@@ -100,7 +100,7 @@ def syndication_date(text: Column, as_of: date) -> Column:
         full_clock,
         offset,
     )
-    rfc = F.try_to_timestamp(moment, F.lit("d MMM yyyy HH:mm:ss xx"))
+    rfc = F.when(clock != "", F.try_to_timestamp(moment, F.lit("d MMM yyyy HH:mm:ss xx")))
     iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(text))
     seconds = F.unix_seconds(F.coalesce(rfc, iso))
     return F.coalesce(_day_of_seconds(seconds), F.lit(as_of))

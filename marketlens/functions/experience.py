@@ -8,7 +8,7 @@ from marketlens.fixed_values import (
     LEVEL_RANK,
     MAX_EXPERIENCE_YEARS,
 )
-from marketlens.functions.text import WS, contains_any
+from marketlens.functions.text import WS, computed_once, contains_any, whole_number
 
 _UNIT = rf"[{WS}]*+(?:year|yr)"
 # Possessive quantifiers and the digit look-behind keep the search linear in the text length.
@@ -30,18 +30,24 @@ def experience_range(lowered: Column) -> Column:
     Only the first hit of each pattern counts; a number above 30 sends the search on to the
     next pattern; a single number n means n to n + 3.
     """
-    dated = F.when(contains_any(lowered, ["year", "yr"]), lowered)
-    spoken = F.regexp_extract(dated, _RANGE, 0)
-    low = F.regexp_extract(spoken, r"^([0-9]+)", 1).try_cast("int")
-    high = F.regexp_extract(spoken, rf"([0-9]+){_UNIT}$", 1).try_cast("int")
-    both = (low <= MAX_EXPERIENCE_YEARS) & (high <= MAX_EXPERIENCE_YEARS)
-    candidates = [F.when(both, _pair(low, high))]
-    for pattern in _SINGLE:
-        years = F.regexp_extract(dated, pattern, 1).try_cast("int")
+
+    def span(spoken: Column) -> Column:
+        low = whole_number(F.regexp_extract(spoken, r"^([0-9]+)", 1))
+        high = whole_number(F.regexp_extract(spoken, rf"([0-9]+){_UNIT}$", 1))
+        both = (low <= MAX_EXPERIENCE_YEARS) & (high <= MAX_EXPERIENCE_YEARS)
+        return F.when(both, _pair(low, high))
+
+    def onwards(years: Column) -> Column:
         upper = F.least(years + 3, F.lit(MAX_EXPERIENCE_YEARS))
-        candidates.append(F.when(years <= MAX_EXPERIENCE_YEARS, _pair(years, upper)))
+        return F.when(years <= MAX_EXPERIENCE_YEARS, _pair(years, upper))
+
+    said = [computed_once(F.regexp_extract(lowered, _RANGE, 0), span)]
+    for pattern in _SINGLE:
+        number = F.regexp_extract(lowered, pattern, 1)
+        said.append(computed_once(number, lambda n: onwards(whole_number(n))))
+    dated = F.when(contains_any(lowered, ["year", "yr"]), F.coalesce(*said))
     entry = F.when(contains_any(lowered, ENTRY_WORDS), _pair(F.lit(0), F.lit(2)))
-    return F.coalesce(*candidates, entry)
+    return F.coalesce(dated, entry)
 
 
 def mean_years(exp_min: Column, exp_max: Column, missing: int = 0) -> Column:

@@ -19,7 +19,8 @@ def _annual(first: Column, second: Column, factor: Column, hourly: Column) -> Co
 
     A number text such as "1.2.3" makes the row malformed, as does a value beyond INT.
     """
-    a, b = first.try_cast("double"), second.try_cast("double")
+    a = F.when(first != "", first.try_cast("double"))
+    b = F.when(second != "", second.try_cast("double"))
     low = F.least(a, b) * factor
     high = F.greatest(a, b) * factor
     found = first != ""

@@ -5,23 +5,46 @@ import re
 from pyspark.sql import Column, functions as F
 
 from marketlens.fixed_values import EXTRACTED_SKILLS, MAX_EXTRACTED_SKILLS
+from marketlens.functions.text import computed_once
 
-_OPTIONAL_DOT = {"node.js": r"node\.?js"}
-# Java and Python share these escapes; no entry overlaps another one inside word boundaries,
-# so one alternation finds what a search per entry would.
-_ANY_SKILL = (
-    r"(?U)\b(?:"
-    + "|".join(_OPTIONAL_DOT.get(s, re.escape(s).replace(r"\ ", " ")) for s in EXTRACTED_SKILLS)
-    + r")\b"
-)
-_NAMES = [s.replace(".", "") for s in EXTRACTED_SKILLS]
+# Fixed value: the entry whose dot is optional, and the part both spellings share.
+_DOTTED, _DOTTED_PATTERN, _DOTTED_PART = "node.js", r"node\.?js", "node"
+
+
+def word_pattern(name: str) -> str:
+    """Regular expression for a name between word boundaries, whatever the script around it."""
+    return r"(?U)\b" + re.escape(name).replace(r"\ ", " ") + r"\b"
+
+
+def _entry(name: str) -> Column:
+    part, pattern = name, word_pattern(name)
+    if name == _DOTTED:
+        part, pattern = _DOTTED_PART, rf"(?U)\b{_DOTTED_PATTERN}\b"
+    return F.struct(
+        F.lit(name.replace(".", "")).alias("name"),
+        F.lit(part).alias("part"),
+        F.lit(pattern).alias("pattern"),
+    )
+
+
+def named_words(lowered: Column, names: list[str]) -> Column:
+    """The names found between word boundaries, in the order given.
+
+    The plain substring test is cheap and spares the pattern for all names but a few.
+    """
+
+    def mentioned(text: Column) -> Column:
+        return F.filter(
+            F.array(*[_entry(n) for n in names]),
+            lambda e: F.contains(text, e["part"]) & F.rlike(text, e["pattern"]),
+        )
+
+    return F.transform(computed_once(lowered, mentioned), lambda e: e["name"])
 
 
 def extracted_skills(lowered: Column, limit: int = MAX_EXTRACTED_SKILLS) -> Column:
     """Known skills in dictionary order, cut to the first `limit`."""
-    found = F.regexp_extract_all(lowered, F.lit(_ANY_SKILL), F.lit(0))
-    named = F.transform(found, lambda s: F.replace(s, F.lit("."), F.lit("")))
-    return F.slice(F.array_intersect(F.array(*[F.lit(n) for n in _NAMES]), named), 1, limit)
+    return F.slice(named_words(lowered, EXTRACTED_SKILLS), 1, limit)
 
 
 def clean_skill(skill: Column) -> Column:

@@ -1,5 +1,6 @@
 """Text helpers shared by the parsers: trimming, truthiness, normalising, ids, HTML."""
 
+from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
@@ -13,12 +14,24 @@ WHITESPACE = (
 )
 # The same set as the inside of a regular-expression class.
 WS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_OTHER_WHITESPACE = WHITESPACE.replace(" ", "")
 
 
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def computed_once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with `value` evaluated a single time, however often `use` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def whole_number(digits: Column) -> Column:
+    """INT of a run of digits, NULL for none or too many (a failing cast is slow, so the
+    common empty text is caught first)."""
+    return F.when(digits != "", digits.try_cast("int"))
+
+
 def truthy(text: Column) -> Column:
     """NULL for NULL and for the empty string, else the text."""
     return F.nullif(text, F.lit(""))
@@ -49,7 +62,8 @@ def normalise(text: Column) -> Column:
     Trimming comes first, so a blank uncovered by a removed character stays.
     """
     kept = F.regexp_replace(strip(F.lower(text)), f"[^a-z0-9{WS}]+", "")
-    return F.regexp_replace(kept, f"[{WS}]+", " ")
+    blanks = F.translate(kept, _OTHER_WHITESPACE, " " * len(_OTHER_WHITESPACE))
+    return F.regexp_replace(blanks, " {2,}", " ")
 
 
 def short_id(text: Column) -> Column:

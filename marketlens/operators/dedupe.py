@@ -43,9 +43,10 @@ def legal_name_key(title: str = "title", company: str = "company", city: str = "
     for noise in (" - remote", " (remote)"):
         t = F.replace(t, F.lit(noise), F.lit(""))
     t = strip(F.replace(t, F.lit("/"), F.lit(" ")))
-    # Legal suffixes, removed in this order, each at most once.
-    for suffix in (" inc.", " inc", " ltd.", " ltd", " corp.", " corp", " llc"):
-        co = F.when(co.endswith(suffix), F.substr(co, F.lit(1), F.length(co) - len(suffix))).otherwise(co)
+    # Legal suffixes; read from the end they come off in the order
+    # inc., inc, ltd., ltd, corp., corp, llc, each at most once.
+    suffixes = r"(?: llc)?(?: corp)?(?: corp\.)?(?: ltd)?(?: ltd\.)?(?: inc)?(?: inc\.)?\z"
+    co = F.regexp_replace(co, suffixes, "")
     return F.left(F.sha2(F.concat_ws("|", t, strip(co), ci), 256), F.lit(16))
 
 

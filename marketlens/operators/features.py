@@ -6,6 +6,7 @@ from marketlens.functions import experience as X
 from marketlens.functions.remote import remote_type_of_posting
 from marketlens.functions.skills import extracted_skills
 from marketlens.functions.text import first_truthy
+from marketlens.operators.rows import with_parts
 
 FEATURE_COLUMNS = [
     "job_id", "exp_min", "exp_max", "exp_avg", "exp_level", "skills", "is_junior", "is_remote",
@@ -30,12 +31,12 @@ def extract_features(df: DataFrame) -> DataFrame:
         F.col("remote_type").alias("_given"),
         F.concat(F.lower("title"), F.lit(" "), F.lower("description")).alias("_text"),
     )
-    found = texts.select(
-        "job_id",
+    findings = F.struct(
         X.experience_range(F.col("_text")).alias("_exp"),
         first_truthy(F.col("_given"), remote_type_of_posting(F.col("_text"))).alias("_remote"),
         extracted_skills(F.col("_text")).alias("skills"),
     )
+    found = with_parts(texts, findings)
     low, high = F.col("_exp.exp_min"), F.col("_exp.exp_max")
     plain = found.select(
         "job_id",

@@ -35,19 +35,30 @@ def _lacking_factor(threshold: float) -> float:
     return (2 - 1.5 * threshold) + slope * partner
 
 
-def _first_pieces(title: Column, threshold: float) -> Column:
-    """The K + 1 first distinct two-letter pieces of a title, rare letters first."""
+def _pieces(title: Column) -> Column:
+    """All distinct two-letter pieces of a title, rare letters first."""
     coded = F.translate(title, _FREQUENT_FIRST, _RARE_FIRST)
     starts = F.sequence(F.lit(1), F.length(title) - 1)
-    pieces = F.when(
-        F.length(title) >= 2,
-        F.array_sort(F.array_distinct(F.transform(starts, lambda i: F.substr(coded, i, F.lit(2))))),
-    ).otherwise(F.array().cast("array<string>"))
-    lacking = F.floor(F.length(title) * F.lit(_lacking_factor(threshold)) + F.lit(1e-9)).cast("int")
+    cut = F.transform(starts, lambda i: F.substr(coded, i, F.lit(2)))
+    return F.when(F.length(title) >= 2, F.array_sort(F.array_distinct(cut))).otherwise(
+        F.array().cast("array<string>")
+    )
+
+
+def _first_pieces(pieces: Column, length: Column, threshold: float) -> Column:
+    """The K + 1 first pieces, and the extra one for titles with at most K."""
+    lacking = F.floor(length * F.lit(_lacking_factor(threshold)) + F.lit(1e-9)).cast("int")
     first = F.slice(pieces, F.lit(1), lacking + 1)
     return F.when(F.size(pieces) <= lacking, F.array_append(first, F.lit(_SHORT))).otherwise(first)
 
 
+def _lacks_few(mine: str, other: str, threshold: float) -> Column:
+    """Pieces of one title missing in the other stay within the bound for this pair of lengths."""
+    l1, l2 = F.col(f"length_{mine}"), F.col(f"length_{other}")
+    bound = l1 * F.lit(2.0) + l2 - (l1 + l2) * F.lit(1.5 * threshold) + F.lit(1e-9)
+    return F.size(F.array_except(f"pieces_{mine}", f"pieces_{other}")) <= bound
+
+
 def _keyed(df: DataFrame, title: str, company: str, city: str) -> DataFrame:
     return df.select(
         "*",
@@ -108,22 +119,31 @@ def near_contents(found: DataFrame, threshold: float = 0.85) -> DataFrame:
     `score` with the earlier content first, `score_reversed` the other way round; a pair is
     kept when either reaches the threshold.
     """
-    pieces = found.withColumn("length", F.length("norm_title")).withColumn(
-        "pieces", _first_pieces(F.col("norm_title"), threshold)
+    side = (
+        found.withColumn("length", F.length("norm_title"))
+        .withColumn("pieces", _pieces(F.col("norm_title")))
+        .withColumn("first", _first_pieces(F.col("pieces"), F.col("length"), threshold))
+        .withColumn("piece", F.explode("first"))
     )
-    side = pieces.withColumn("piece", F.explode("pieces"))
     keys = ["norm_company", "norm_city", "piece"]
-    left = side.select(*keys, *[F.col(c).alias(f"{c}_1") for c in ("first_id", "postings", "norm_title", "length", "pieces")])
-    right = side.select(*keys, *[F.col(c).alias(f"{c}_2") for c in ("first_id", "postings", "norm_title", "length", "pieces")])
+    values = ["first_id", "postings", "norm_title", "length", "pieces", "first"]
+    left, right = (
+        side.select(*keys, *[F.col(v).alias(f"{v}_{n}") for v in values]) for n in (1, 2)
+    )
     longest = F.lit(2.0) * F.least("length_1", "length_2")
     # A pair meets in every shared piece; only the first one speaks for it.
-    speaks = F.get(F.array_intersect("pieces_1", "pieces_2"), F.lit(0)) == F.col("piece")
+    speaks = F.get(F.array_intersect("first_1", "first_2"), F.lit(0)) == F.col("piece")
     candidates = (
         left.join(right, keys)
         .where(F.col("first_id_1") < F.col("first_id_2"))
         .where(longest >= F.lit(threshold - 1e-9) * (F.col("length_1") + F.col("length_2")))
         .where(speaks)
+        .where(_lacks_few("1", "2", threshold) & _lacks_few("2", "1", threshold))
+        .drop("piece", "length_1", "length_2", "pieces_1", "pieces_2", "first_1", "first_2")
     )
+    # Scoring a pair costs far more than its bytes, so spread by pair and not by size.
+    tasks = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    candidates = candidates.repartition(tasks, "first_id_1", "first_id_2")
     scored = candidates.withColumn(
         "ratios", _ratio_udf(threshold)(F.col("norm_title_1"), F.col("norm_title_2"))
     ).select(

@@ -39,6 +39,15 @@ def explode_skills(df: DataFrame, column: str = "skills", name: str = "skill") -
     return df.withColumn(name, F.explode(column))
 
 
+def with_parts(df: DataFrame, parts: Column) -> DataFrame:
+    """Add the fields of a struct as columns.
+
+    Unnesting a one-entry list computes the struct once: neither a second mention of a field
+    nor a later filter on one runs its expressions again.
+    """
+    return df.select("*", F.inline(F.array(parts)))
+
+
 def newest_first(day: str = "posted_date") -> Column:
     """Descending with unknown dates in front."""
     return F.col(day).desc_nulls_first()
