@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from marketlens.functions.salary import salary_mid
 from marketlens.operators.rows import first_per_key, not_stored
 from marketlens.schemas import JOBS_RAW, SCRAPER_METRICS
 
@@ -52,7 +53,8 @@ def acceptable() -> Column:
 def new_postings(batch: DataFrame, stored: DataFrame, order: list[str]) -> DataFrame:
     """Rows of a batch to insert: acceptable, not stored yet, first per job_id."""
     good = ordered_salaries(batch).where(acceptable())
-    return not_stored(first_per_key(good, ["job_id"], order), stored)
+    new = not_stored(first_per_key(good, ["job_id"], order), stored)
+    return new.withColumn("salary_mid", salary_mid(F.col("salary_min"), F.col("salary_max")))
 
 
 def insert_postings(
@@ -62,11 +64,10 @@ def insert_postings(
     """Append the new postings of a batch, write the run's metrics, return the insert count."""
     spark = batch.sparkSession
     stored = read_table(spark, path, JOBS_RAW)
-    names = [n for n in JOBS_RAW.names if n in batch.columns]
+    new = new_postings(batch, stored, order)
     seen = Observation()
     (
-        new_postings(batch, stored, order)
-        .select(*names)
+        new.select(*[n for n in JOBS_RAW.names if n in new.columns])
         .observe(seen, F.count("*").alias("n"))
         .write.mode("append")
         .parquet(path)
