@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marketlens.catalog.fixture import AS_OF
 from marketlens.catalog.parsers import CITY, CODE, LONG, _column, _text
 from marketlens.catalog.registry import POSTINGS, POSTINGS_AND_FEATURES, query
-from marketlens.catalog.rules import _first, _flat
+from marketlens.catalog.rules import CONTENT, _features, _first, _flat, _issues
 from marketlens.operators import store
 from marketlens.plans.refresh import Tables
 from marketlens.plans.views import bi_export
@@ -409,7 +409,27 @@ def _(fx):
     return table.agg(F.count("*").alias("rows"), F.count_distinct("job_id").alias("ids"))
 
 
-@query("st1_ingested_features")
+# Postings as stored: salary ends in order, first per job_id, missing descriptions made empty.
+ARRIVED = f"""(SELECT * REPLACE (coalesce(description, '') AS description, CAST(low AS INT) AS salary_min,
+  CAST(high AS INT) AS salary_max) FROM (SELECT *, {SWAPPED["low"]} AS low, {SWAPPED["high"]} AS high
+  FROM ({_first("jobs_raw", "job_id")}) f) g)"""
+
+
+def _ingested(waiting: str) -> str:
+    """Storable features of the valid postings that are first with their content."""
+    valid = f"(SELECT * FROM (SELECT *, {_issues(False)} AS issues FROM {waiting}) x WHERE issues = '') v"
+    kept = f"({_first(valid, CONTENT)}) k"
+    return f"SELECT * FROM ({_features(kept)}) f WHERE coalesce(exp_max >= exp_min, TRUE)"
+
+
+@query(
+    "st1_ingested_features",
+    f"""WITH day_one AS ({_ingested(f"(SELECT * FROM {ARRIVED} a WHERE source IN ('jobbank', 'adzuna')) w")}),
+    day_two AS ({_ingested(f"(SELECT * FROM {ARRIVED} a WHERE job_id NOT IN (SELECT job_id FROM day_one)) w")})
+    SELECT job_id, exp_min, exp_max, exp_level, skills, is_remote FROM day_one
+    UNION ALL SELECT job_id, exp_min, exp_max, exp_level, skills, is_remote FROM day_two""",
+    POSTINGS,
+)
 def _(fx):
     features = store.read_table(fx.spark, _landing(fx).features, JOBS_FEATURES)
     return _flat(features).select("job_id", "exp_min", "exp_max", "exp_level", "skills", "is_remote")
