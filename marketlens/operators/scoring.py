@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def weighted_score(weights: dict[str, float]) -> Column:
@@ -14,20 +14,23 @@ def weighted_score(weights: dict[str, float]) -> Column:
 def min_max(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Add columns scaled to 0..1 over all rows: {new name: old name}.
 
-    The bounds come from a one-row scalar sub-query, so no task sees all rows. A column
-    without spread gives NULL.
+    The bounds come from a one-row scalar sub-query, so no task sees all rows. The sub-query
+    bounds every numeric column: it then needs what the rows themselves need, and Spark reuses
+    their shuffle instead of computing them twice. A column without spread gives NULL.
     """
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     bounds = df.agg(
         F.struct(
-            *[F.min(old).cast("double").alias(f"{new}_low") for new, old in columns.items()],
-            *[F.max(old).cast("double").alias(f"{new}_high") for new, old in columns.items()],
+            *[F.min(name).cast("double").alias(f"{name}_low") for name in numeric],
+            *[F.max(name).cast("double").alias(f"{name}_high") for name in numeric],
         ).alias("bounds")
     )
     out = df.withColumn("_bounds", bounds.scalar())
+    scaled = {}
     for new, old in columns.items():
-        low, high = F.col(f"_bounds.{new}_low"), F.col(f"_bounds.{new}_high")
-        out = out.withColumn(new, (F.col(old) - low) / F.nullif(high - low, F.lit(0.0)))
-    return out.drop("_bounds")
+        low, high = F.col(f"_bounds.{old}_low"), F.col(f"_bounds.{old}_high")
+        scaled[new] = (F.col(old) - low) / F.nullif(high - low, F.lit(0.0))
+    return out.withColumns(scaled).drop("_bounds")
 
 
 def capped(value: Column, cap: float) -> Column:

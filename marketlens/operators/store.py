@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from marketlens.functions.salary import salary_mid
 from marketlens.operators.rows import first_per_key, not_stored
 from marketlens.schemas import JOBS_RAW, SCRAPER_METRICS
+from marketlens.session import with_checkpoint_dir
 
 FOLDERS = 64
 
@@ -146,19 +147,38 @@ def merged_features(stored: DataFrame, new: DataFrame) -> DataFrame:
     return old.join(fresh, "job_id", "full_outer").select("job_id", *taken)
 
 
+def append_features(new: DataFrame, path: str, folders: int = FOLDERS) -> int:
+    """Insert features of postings known to have none; returns their number.
+
+    A run that starts again leaves out what is already stored, so appending is safe.
+    """
+    written = Observation()
+    (
+        new.withColumn("folder", folder_of(F.col("job_id"), folders))
+        .hint("rebalance", "folder")
+        .observe(written, F.count("*").alias("n"))
+        .write.mode("append")
+        .partitionBy("folder")
+        .parquet(path)
+    )
+    return written.get["n"]
+
+
 def upsert_features(new: DataFrame, path: str, schema: T.StructType, folders: int = FOLDERS) -> None:
     """Insert or update features (one row per job_id); only the hash folders the new rows fall
     into are rewritten, and the rebalance hint sizes their files.
 
     Rows are replaced folder by folder, so running the same upsert again changes nothing.
     """
-    spark = new.sparkSession
+    spark = with_checkpoint_dir(new.sparkSession)
     placed = T.StructType(schema.fields + [T.StructField("folder", T.IntegerType())])
-    incoming = new.withColumn("folder", folder_of(F.col("job_id"), folders))
+    # Read twice below, so kept in the shared folder instead of being computed twice.
+    incoming = new.checkpoint()
     stored = read_table(spark, path, placed)
-    touched = incoming.select("folder").distinct()
+    place = folder_of(F.col("job_id"), folders)
+    touched = incoming.select(place.alias("folder")).distinct()
     affected = stored.join(touched, "folder", "left_semi").drop("folder")
-    merged = merged_features(affected, new).withColumn("folder", folder_of(F.col("job_id"), folders))
+    merged = merged_features(affected, incoming).withColumn("folder", place)
     (
         merged.hint("rebalance", "folder")
         .write.mode("overwrite")

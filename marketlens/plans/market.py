@@ -193,18 +193,17 @@ def skill_cooccurrence(
 ) -> DataFrame:
     """Skill pairs per role, with the share of the first skill's postings (over all roles).
 
-    Pairs are made inside each posting's own list, so nothing is joined to itself; a posting
-    listed twice counts once because (posting, role) is reduced first, on the join's own key.
+    Pairs are made inside each posting's own list, so nothing is joined to itself. A posting
+    listed more than once counts once: its (id, role) pairs are made distinct before they meet
+    the features, which also shrinks an id that fills much of the table.
     """
-    listed = (
-        recent_with_features(
-            raw.select("job_id", "title", "posted_date"),
-            features.where(F.array_size("skills") > 0).select("job_id", "skills"),
-            as_of, days,
-        )
-        .groupBy("job_id", F.col("title").alias("role"))
-        .agg(F.first("skills").alias("skills"))
+    postings = (
+        raw.where(within_days(F.col("posted_date"), as_of, days))
+        .select("job_id", F.col("title").alias("role"))
+        .distinct()
     )
+    skilled = features.where(F.array_size("skills") > 0).select("job_id", "skills")
+    listed = postings.join(skilled, "job_id")
     pairs = (
         listed.select("role", F.inline(skill_pairs(F.col("skills"))))
         .groupBy("role", "skill_1", "skill_2")
@@ -212,8 +211,7 @@ def skill_cooccurrence(
         .where(F.col("co_occurrence_count") >= min_jobs)
     )
     totals = (
-        listed.groupBy("job_id")
-        .agg(F.first("skills").alias("skills"))
+        skilled.join(postings.select("job_id").distinct(), "job_id", "left_semi")
         .select(F.explode(F.array_distinct("skills")).alias("skill_1"))
         .groupBy("skill_1")
         .agg(F.count("*").alias("skill_jobs"))
@@ -290,7 +288,7 @@ def skill_gap(
     days: int = 30, min_jobs: int = 10, limit: int = 20,
 ) -> DataFrame:
     """Known skills by demand, marking those the user has; missing ones rank by demand."""
-    recent = raw.where(within_days(F.col("posted_date"), as_of, days)).select("job_id")
+    recent = raw.where(within_days(F.col("posted_date"), as_of, days)).select("job_id").distinct()
     total = features.agg(F.count("*").alias("n")).scalar()
     demand = (
         explode_skills(features.select("job_id", "skills"))

@@ -10,7 +10,7 @@ from marketlens.operators.dedupe import deduplicate
 from marketlens.operators.features import extract_features, storable
 from marketlens.operators.quality import split, validate
 from marketlens.operators.rows import unprocessed
-from marketlens.operators.store import read_table, upsert_features, write_export
+from marketlens.operators.store import append_features, read_table, write_export
 from marketlens.plans.views import bi_export
 from marketlens.schemas import JOBS_FEATURES, JOBS_RAW
 
@@ -25,21 +25,41 @@ def to_process(raw: DataFrame, features: DataFrame, limit: int = 0) -> DataFrame
     return waiting.withColumn("description", F.coalesce("description", F.lit("")))
 
 
+# What the rules and the de-duplication look at; the long text is not among it.
+JUDGED = [
+    "id", "source", "job_id", "title", "company", "city", "province", "salary_min", "salary_max",
+    "posted_date", "url", "description",
+]
+
+
+def surviving(raw: DataFrame, features: DataFrame, as_of: date, limit: int = 0) -> DataFrame:
+    """Valid, first-seen postings without features.
+
+    Only the columns a caller goes on to use are read, so `id` alone leaves the texts on disk.
+    """
+    valid, _ = split(validate(to_process(raw, features, limit).select(*JUDGED), as_of))
+    return deduplicate(valid, ["id"])
+
+
 def processed_features(raw: DataFrame, features: DataFrame, as_of: date, limit: int = 0) -> DataFrame:
-    """Features of the valid, first-seen, unprocessed postings.
+    """Features of the surviving postings; invalid and duplicate ones get none, so a later run
+    looks at them again.
 
-    Invalid and duplicate postings get none, so a later run looks at them again.
+    The survivors are found on the short columns. Their ids then pick the texts: a daily run
+    has few of them, so the ids are broadcast by size and no text is shuffled.
     """
-    valid, _ = split(validate(to_process(raw, features, limit), as_of))
-    return storable(extract_features(deduplicate(valid, ["id"])))
+    kept = surviving(raw, features, as_of, limit).select("id")
+    texts = raw.select(
+        "id", "job_id", "title", "remote_type", F.coalesce("description", F.lit("")).alias("description")
+    )
+    return storable(extract_features(texts.join(kept, "id", "left_semi")))
 
 
 def process_report(raw: DataFrame, features: DataFrame, as_of: date) -> DataFrame:
     """Counts per step: found, valid, invalid, unique, extracted."""
     checked = validate(to_process(raw, features), as_of)
-    valid, _ = split(checked)
-    kept = deduplicate(valid, ["id"])
-    stored = storable(extract_features(kept))
+    kept = surviving(raw, features, as_of)
+    stored = processed_features(raw, features, as_of)
     return checked.agg(
         F.count("*").alias("found"),
         F.count_if("is_valid").alias("valid"),
@@ -63,17 +83,16 @@ def process(spark: SparkSession, tables: Tables, as_of: date, limit: int = 0) ->
     """Run the steps against the stored tables; returns the number of feature rows stored."""
     raw = read_table(spark, tables.raw, JOBS_RAW)
     before = read_table(spark, tables.features, JOBS_FEATURES)
-    known = before.count()
     new = processed_features(raw, before, as_of, limit).withColumns(
         {
             "extracted_at": F.current_timestamp().cast("timestamp_ntz"),
             "extraction_confidence": F.lit("0.80").cast("decimal(3,2)"),
         }
     )
-    upsert_features(new.select(*JOBS_FEATURES.names), tables.features, JOBS_FEATURES)
+    stored = append_features(new.select(*JOBS_FEATURES.names), tables.features)
     after = read_table(spark, tables.features, JOBS_FEATURES)
     try:
         write_export(bi_export(raw, after, as_of), tables.export)
     except Exception as error:  # a stale export does not fail the run
         log.warning("could not refresh the export: %s", error)
-    return after.count() - known
+    return stored

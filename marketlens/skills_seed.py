@@ -1,5 +1,6 @@
 """The skill dimension: name, category, other spellings, relevance per role."""
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.schemas import SKILLS_MASTER
@@ -144,5 +145,17 @@ def skill_rows() -> list[tuple[str, str, list[str], dict[str, float]]]:
 
 
 def skills_master(spark: SparkSession) -> DataFrame:
-    """The seed rows as a DataFrame; 118 rows, so joins to it broadcast by size."""
-    return spark.createDataFrame(skill_rows(), SKILLS_MASTER)
+    """The seed rows as a DataFrame.
+
+    An Arrow table of this size becomes a local relation with known statistics, so joins to its
+    118 rows broadcast by size and without a hint.
+    """
+    names = ("skill", "category", "aliases", "role_relevance")
+    text = pa.string()
+    kinds = (text, text, pa.list_(text), pa.map_(text, pa.float64()))
+    columns = zip(*skill_rows())
+    arrays = [
+        pa.array([list(v.items()) if isinstance(v, dict) else v for v in column], kind)
+        for column, kind in zip(columns, kinds)
+    ]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names), SKILLS_MASTER)
