@@ -43,12 +43,16 @@ def made_up_titles(seed, count):
         yield "".join(title)
 
 
-@pytest.mark.parametrize("threshold", [0.5, 0.7, 0.85, 0.95])
-def test_near_contents_equal_all_pairs(spark, threshold):
+@pytest.mark.parametrize(
+    "threshold, limits, long",
+    [(0.5, (), 60), (0.7, (20,), 60), (0.85, (), 60), (0.85, (20,), 12), (0.85, (20, 120), 60), (0.95, (0, 0), 20)],
+)
+def test_near_contents_equal_all_pairs(spark, monkeypatch, threshold, limits, long):
     """Two of three rows share one company: the filter must lose no pair of the hot group."""
+    monkeypatch.setattr(near_duplicates, "LONG", long)
     rows = [(i, t, "acme" if i % 3 else "Beta", "x") for i, t in enumerate(made_up_titles(3, 250))]
     df = spark.createDataFrame(rows, "id long, title string, company string, city string")
-    found = near_duplicates.near_contents(near_duplicates.contents(df), threshold)
+    found = near_duplicates.near_contents(near_duplicates.contents(df), threshold, limits)
     got = {
         (r.first_id_1, r.first_id_2): (r.score, r.score_reversed) for r in found.collect()
     }
