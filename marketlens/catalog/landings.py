@@ -5,11 +5,11 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from marketlens.catalog.fixture import AS_OF
+from marketlens.catalog.fixture import AS_OF, duck_with
 from marketlens.catalog.parsers import CITY, CODE, LONG, _column, _text
-from marketlens.catalog.registry import POSTINGS, POSTINGS_AND_FEATURES, query
-from marketlens.catalog.rules import CONTENT, _features, _first, _flat, _issues
-from marketlens.operators import store
+from marketlens.catalog.registry import ORACLES, POSTINGS, POSTINGS_AND_FEATURES, QUERIES, query
+from marketlens.catalog.rules import CONTENT, ID_OK, REQUIRED_OK, _features, _first, _flat, _issues
+from marketlens.operators import quality, store
 from marketlens.plans.refresh import Tables
 from marketlens.plans.views import bi_export
 from marketlens.schemas import JOBS_FEATURES, JOBS_RAW, POSTING
@@ -276,15 +276,25 @@ def _(fx):
     return html.jobbank_detail(fx.table("pages"), site=None)
 
 
-@query(
-    "u1_union_feeds",
-    "SELECT source, count(*) AS n FROM jobs_raw WHERE source IN ('adzuna', 'indeed') GROUP BY source",
-    POSTINGS,
-)
+# All feeds together, with the check made when collecting.
+FEEDS = ("s3_adzuna", "s4_jsearch", "s5_rapidapi", "s6_remoteok", "s7_indeed", "s8_workopolis", "s9_jobbank_listing")
+
+
+def _every_feed(fx):
+    parts = [QUERIES[name](fx.spark, fx.folder) for name in FEEDS]
+    return feeds.union_feeds(*parts).where(quality.collected_ok())
+
+
+def _collected_sql() -> str:
+    start = duck_with(*POSTINGS)
+    parts = [ORACLES[name].removeprefix(start) for name in FEEDS]
+    return f"""SELECT source, job_id, province, posted_date FROM ({" UNION ALL ".join(parts)}) u
+    WHERE {REQUIRED_OK} AND description IS NOT NULL AND {ID_OK}"""
+
+
+@query("u1_collected_postings", _collected_sql(), POSTINGS)
 def _(fx):
-    columns = [c for c in POSTING.names]
-    parts = [fx.raw.where(F.col("source") == s).select(*columns) for s in ("adzuna", "indeed")]
-    return feeds.union_feeds(*parts).groupBy("source").agg(F.count("*").alias("n"))
+    return _every_feed(fx).select("source", "job_id", "province", "posted_date")
 
 
 # Stores. Each call writes under a folder of its own in the shared folder.

@@ -47,7 +47,12 @@ def _none(column: str) -> str:
     return f"coalesce(CAST({column} AS VARCHAR), 'None')"
 
 
-def _issues(strict: bool) -> str:
+NARROW_SALARY_OK = SALARY_OK.replace(" 10000", " 30000").replace("500000", "250000")
+NARROW_DATE_OK = DATE_OK.replace("90", "30")
+
+
+def _issues(strict: bool, narrow: bool = False) -> str:
+    salary_ok, date_ok = (NARROW_SALARY_OK, NARROW_DATE_OK) if narrow else (SALARY_OK, DATE_OK)
     rules = [
         (f"NOT {REQUIRED_OK}", "'Missing required fields'"),
         (
@@ -56,10 +61,10 @@ def _issues(strict: bool) -> str:
         ),
         (f"NOT {CITY_OK}", f"'Invalid city name: ' || {_none('city')}"),
         (
-            f"NOT {SALARY_OK}",
+            f"NOT {salary_ok}",
             f"'Invalid salary range: ' || {_none('salary_min')} || ' - ' || {_none('salary_max')}",
         ),
-        (f"NOT {DATE_OK}", "'Suspicious posted date: ' || coalesce(CAST(posted_date AS VARCHAR), '')"),
+        (f"NOT {date_ok}", "'Suspicious posted date: ' || coalesce(CAST(posted_date AS VARCHAR), '')"),
         (f"NOT {URL_OK}", f"'Invalid URL: ' || {_none('url')}"),
         ("length(title) NOT BETWEEN 3 AND 150", "'Invalid title length: ' || length(title)"),
         (f"NOT {COMPANY_OK}", f"'Invalid company name: ' || {_none('company')}"),
@@ -71,9 +76,9 @@ def _issues(strict: bool) -> str:
     return f"array_to_string([x for x in [{cases}] if x IS NOT NULL], '; ')"
 
 
-def _validated(strict: bool) -> str:
+def _validated(strict: bool, narrow: bool = False) -> str:
     return f"""SELECT id, issues = '' AS is_valid, issues
-    FROM (SELECT id, {_issues(strict)} AS issues FROM jobs_raw) v"""
+    FROM (SELECT id, {_issues(strict, narrow)} AS issues FROM jobs_raw) v"""
 
 
 def _shown_issues(checked):
@@ -90,6 +95,11 @@ def _(fx):
     return _shown_issues(quality.validate(fx.raw, AS_OF, strict=True))
 
 
+@query("x3_validate_narrow_limits", _validated(False, narrow=True), POSTINGS)
+def _(fx):
+    return _shown_issues(quality.validate(fx.raw, AS_OF, limits=quality.NARROW_LIMITS))
+
+
 def _rule(name: str, condition: str, build):
     @query(name, f"SELECT id, coalesce({condition}, FALSE) AS passes FROM jobs_raw", POSTINGS)
     def _(fx):

@@ -1,5 +1,6 @@
 """Posting quality rules: issues per row, valid/invalid split, table checks."""
 
+from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
@@ -11,7 +12,20 @@ from marketlens.functions.text import WS, strip
 
 # Fields a posting must fill, here and at collection time.
 REQUIRED = ["source", "job_id", "title", "company", "city", "province", "posted_date", "url"]
-COLLECTED = ["source", "job_id", "title", "company", "city", "province", "posted_date", "url"]
+
+
+@dataclass(frozen=True)
+class Limits:
+    """Adjustable limits of the rules."""
+
+    max_age_days: int = V.MAX_POSTING_AGE_DAYS
+    min_salary: int = V.MIN_ANNUAL_SALARY
+    max_salary: int = V.MAX_ANNUAL_SALARY
+
+
+DEFAULT_LIMITS = Limits()
+# The narrower limits of the design notes.
+NARROW_LIMITS = Limits(max_age_days=30, min_salary=30000, max_salary=250000)
 
 
 def _shown(value: Column) -> Column:
@@ -40,12 +54,12 @@ def valid_city(city: Column) -> Column:
     return F.coalesce((F.length(city) >= 2) & (city.isin(V.KNOWN_CITIES) | spelled), F.lit(False))
 
 
-def valid_salary_range(low: Column, high: Column) -> Column:
-    one_end = F.coalesce(low, high).between(V.MIN_ANNUAL_SALARY, V.MAX_ANNUAL_SALARY)
+def valid_salary_range(low: Column, high: Column, limits: Limits = DEFAULT_LIMITS) -> Column:
+    one_end = F.coalesce(low, high).between(limits.min_salary, limits.max_salary)
     both_ends = (
         (low <= high)
         & (low >= 0)
-        & high.between(V.MIN_ANNUAL_SALARY, V.MAX_ANNUAL_SALARY)
+        & high.between(limits.min_salary, limits.max_salary)
         & ((low == 0) | (high <= low.cast("long") * 100))
     )
     return (
@@ -89,7 +103,7 @@ def id_matches_source() -> Column:
     return F.coalesce(F.startswith(F.col("job_id"), prefix), F.lit(False))
 
 
-def issues(as_of: date, strict: bool = False) -> Column:
+def issues(as_of: date, strict: bool = False, limits: Limits = DEFAULT_LIMITS) -> Column:
     """Messages of all broken rules, in rule order."""
     c = F.col
 
@@ -103,11 +117,11 @@ def issues(as_of: date, strict: bool = False) -> Column:
         message(~valid_province(c("province")), "Invalid province code: ", _shown(c("province"))),
         message(~valid_city(c("city")), "Invalid city name: ", _shown(c("city"))),
         message(
-            ~valid_salary_range(c("salary_min"), c("salary_max")),
+            ~valid_salary_range(c("salary_min"), c("salary_max"), limits),
             "Invalid salary range: ", _shown(c("salary_min")), " - ", _shown(c("salary_max")),
         ),
         message(
-            ~recent_enough(c("posted_date"), as_of),
+            ~recent_enough(c("posted_date"), as_of, limits.max_age_days),
             "Suspicious posted date: ", F.coalesce(c("posted_date").cast("string"), F.lit("")),
         ),
         message(~valid_url(c("url")), "Invalid URL: ", _shown(c("url"))),
@@ -127,9 +141,11 @@ def issues(as_of: date, strict: bool = False) -> Column:
     return F.array_compact(F.array(*found))
 
 
-def validate(df: DataFrame, as_of: date, strict: bool = False) -> DataFrame:
+def validate(
+    df: DataFrame, as_of: date, strict: bool = False, limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
     """Add `validation_issues` and `is_valid`; a plain projection, no shuffle."""
-    return df.withColumn("validation_issues", issues(as_of, strict)).withColumn(
+    return df.withColumn("validation_issues", issues(as_of, strict, limits)).withColumn(
         "is_valid", F.size("validation_issues") == 0
     )
 
@@ -142,8 +158,7 @@ def split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def collected_ok() -> Column:
     """Check at collection time: description may be empty but not missing."""
-    filled = [~_empty(name) for name in COLLECTED]
-    return _all(filled) & F.col("description").isNotNull() & id_matches_source()
+    return has_required_fields() & F.col("description").isNotNull() & id_matches_source()
 
 
 def title_has_role_word(title: Column, roles: list[str]) -> Column:

@@ -70,6 +70,8 @@ def insert_postings(
     (
         new.select(*[n for n in JOBS_RAW.names if n in new.columns])
         .observe(seen, F.count("*").alias("n"))
+        # Narrow date ranges per row group let recency filters skip most of a file.
+        .sortWithinPartitions("posted_date")
         .write.mode("append")
         .parquet(path)
     )

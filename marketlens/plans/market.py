@@ -106,19 +106,32 @@ def salary_percentiles(
 ) -> DataFrame:
     """Mean and quartile salaries per city, role and level.
 
-    Exact percentiles keep one counter per distinct amount; the band bounds their number.
+    Equal amounts are counted first, map-side and spread over the amounts, so that even a group
+    holding much of the table reaches the exact percentiles as one row per distinct amount; the
+    band bounds their number.
     """
+    keys = ["city", "province", "role", "exp_level"]
     inside = F.col("salary_mid").between(*band)
-    quartiles = F.percentile("salary_mid", [0.25, 0.5, 0.75])
-    return (
+    amounts = (
         recent_with_features(raw.where(inside), features.select("job_id", "exp_level"), as_of, days)
-        .groupBy("city", "province", F.col("title").alias("role"), "exp_level")
+        .groupBy("city", "province", F.col("title").alias("role"), "exp_level", "salary_mid")
         .agg(
-            F.count("*").alias("job_count"),
-            F.round(F.avg("salary_min"), 0).alias("avg_salary_min"),
-            F.round(F.avg("salary_max"), 0).alias("avg_salary_max"),
-            F.round(F.avg("salary_mid"), 0).alias("avg_salary_mid"),
-            quartiles.alias("_quartiles"),
+            F.count("*").alias("n"),
+            *[f(c).alias(f"{name}_{c}") for c in ("salary_min", "salary_max") for name, f in (("sum", F.sum), ("n", F.count))],
+        )
+    )
+
+    def mean(total: Column, n: Column) -> Column:
+        return F.round(F.sum(total) / F.nullif(F.sum(n), F.lit(0)), 0)
+
+    return (
+        amounts.groupBy(*keys)
+        .agg(
+            F.sum("n").alias("job_count"),
+            mean(F.col("sum_salary_min"), F.col("n_salary_min")).alias("avg_salary_min"),
+            mean(F.col("sum_salary_max"), F.col("n_salary_max")).alias("avg_salary_max"),
+            mean(F.col("salary_mid") * F.col("n"), F.col("n")).alias("avg_salary_mid"),
+            F.percentile("salary_mid", [0.25, 0.5, 0.75], F.col("n")).alias("_quartiles"),
         )
         .where(F.col("job_count") >= min_jobs)
         .withColumns(
@@ -128,7 +141,7 @@ def salary_percentiles(
             }
         )
         .drop("_quartiles")
-        .orderBy(F.desc_nulls_first("avg_salary_mid"), "city", "province", "role", "exp_level")
+        .orderBy(F.desc_nulls_first("avg_salary_mid"), *keys)
         .limit(limit)
     )
 

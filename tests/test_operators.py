@@ -207,6 +207,18 @@ def test_process_stores_features_once(spark, fx, tmp_path):
     assert limited.count() == 3
 
 
+def test_recency_reaches_the_scan_of_a_stored_table(spark, fx, tmp_path):
+    from marketlens.plans.views import city_stats
+
+    tables = [str(tmp_path / n) for n in ("raw", "metrics")]
+    store.insert_postings(fx.raw, tables[0], ["id"], tables[1], "all", "r1", datetime(2026, 2, 20))
+    raw = store.read_table(spark, tables[0], JOBS_RAW)
+    plan = city_stats(raw, fx.features, AS_OF)._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "posted_date" in line and "FileScan" in line)
+    assert "GreaterThanOrEqual(posted_date,2026-01-21)" in scan
+    assert "description" not in scan and "url" not in scan
+
+
 LISTING = """
 <article class="action-buttons"><a class="resultJobItem" href="/jobsearch/jobposting/4711">
 <span class="noctitle">Data  Analyst</span><ul><li class="business">A &amp; B</li>
