@@ -3,7 +3,7 @@
 from pyspark.sql import Column, functions as F
 
 from marketlens import fixed_values as V
-from marketlens.functions.text import first_truthy, lookup, strip
+from marketlens.functions.text import computed_once, first_truthy, lookup, strip
 
 
 def _comma_parts(text: Column) -> Column:
@@ -11,19 +11,19 @@ def _comma_parts(text: Column) -> Column:
 
 
 def _province_of_part(part: Column, table: dict[str, str]) -> Column:
-    """Two letters are a code; a known name maps; else the first two letters."""
-    return F.when(F.length(part) == 2, F.upper(part)).otherwise(
-        F.coalesce(lookup(table, F.lower(part)), F.upper(F.left(part, F.lit(2))))
-    )
-
-
-def _city_province(parts: Column, table: dict[str, str]) -> Column:
-    second = F.get(parts, F.lit(1))
-    return F.struct(
-        F.get(parts, F.lit(0)).alias("city"),
-        F.when(second.isNotNull(), _province_of_part(second, table))
-        .otherwise(F.lit(""))
-        .alias("province"),
+    """Two letters are a code; a known name maps; else the first two letters; none is ''."""
+    named = F.coalesce(lookup(table, F.lower(part)), F.upper(F.left(part, F.lit(2))))
+    return F.when(part.isNull(), F.lit("")).when(F.length(part) == 2, F.upper(part)).otherwise(named)
+
+
+def _city_province(text: Column, table: dict[str, str]) -> Column:
+    """First comma part and the province that the second one names."""
+    return computed_once(
+        _comma_parts(text),
+        lambda parts: F.struct(
+            F.get(parts, F.lit(0)).alias("city"),
+            computed_once(F.get(parts, F.lit(1)), lambda p: _province_of_part(p, table)).alias("province"),
+        ),
     )
 
 
@@ -35,7 +35,7 @@ def board_location(text: Column) -> Column:
         F.regexp_extract(text, pattern, 2).alias("province"),
     )
     return F.when(text.rlike(pattern), bracketed).otherwise(
-        _city_province(_comma_parts(text), V.PROVINCE_BY_FULL_NAME)
+        _city_province(text, V.PROVINCE_BY_FULL_NAME)
     )
 
 
@@ -44,7 +44,7 @@ def feed_location(text: Column) -> Column:
     cleaned = strip(
         F.replace(F.replace(text, F.lit(", Canada"), F.lit("")), F.lit(",Canada"), F.lit(""))
     )
-    return _city_province(_comma_parts(cleaned), V.PROVINCE_BY_SHORT_TABLE)
+    return _city_province(cleaned, V.PROVINCE_BY_SHORT_TABLE)
 
 
 def remote_location(text: Column) -> Column:
@@ -103,13 +103,18 @@ def province_name(code: Column) -> Column:
 def area_search_location(display: Column, area: Column, default_city: Column) -> Column:
     """City from the display name; province from the city, then the last part of the
     display name, then the area list, then the default city."""
-    head = F.get(_comma_parts(display), F.lit(0))
     has_comma = F.contains(display, F.lit(","))
-    city = first_truthy(
-        F.when(has_comma, head).otherwise(F.coalesce(display, default_city)), default_city
-    )
-    last = F.when(has_comma, province_of_region(F.element_at(F.split(display, ","), -1)))
-    province = first_truthy(
-        province_of_city(strip(city)), last, province_of_area(area), province_of_city(strip(default_city))
-    )
-    return F.struct(city.alias("city"), F.coalesce(province, F.lit("")).alias("province"))
+    head = strip(F.substring_index(display, ",", 1))
+    named = F.when(has_comma, head).otherwise(F.coalesce(display, default_city))
+    last = F.when(has_comma, province_of_region(F.substring_index(display, ",", -1)))
+
+    def place(city: Column) -> Column:
+        province = first_truthy(
+            province_of_city(strip(city)),
+            last,
+            province_of_area(area),
+            province_of_city(strip(default_city)),
+        )
+        return F.struct(city.alias("city"), F.coalesce(province, F.lit("")).alias("province"))
+
+    return computed_once(first_truthy(named, default_city), place)

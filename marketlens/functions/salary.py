@@ -3,7 +3,7 @@
 from pyspark.sql import Column, functions as F
 
 from marketlens.fixed_values import HOURS_PER_YEAR, MIN_ANNUAL_SALARY, PAY_PERIODS_PER_YEAR
-from marketlens.functions.text import contains_any
+from marketlens.functions.text import computed_once, contains_any
 
 # Markers of hourly and bi-weekly pay.
 HOURLY = ["hourly", "per hour", "/hr", "/ hour"]
@@ -19,19 +19,34 @@ def _annual(first: Column, second: Column, factor: Column, hourly: Column) -> Co
 
     A number text such as "1.2.3" makes the row malformed, as does a value beyond INT.
     """
-    a = F.when(first != "", first.try_cast("double"))
-    b = F.when(second != "", second.try_cast("double"))
-    low = F.least(a, b) * factor
-    high = F.greatest(a, b) * factor
-    found = first != ""
-    bad = found & (
-        a.isNull() | b.isNull() | low.try_cast("int").isNull() | high.try_cast("int").isNull()
+
+    def ends(said: Column) -> Column:
+        a, b = said["first"].try_cast("double"), said["second"].try_cast("double")
+        return F.struct(
+            (F.least(a, b) * factor).alias("low"),
+            (F.greatest(a, b) * factor).alias("high"),
+            (a.isNull() | b.isNull()).alias("unread"),
+        )
+
+    def reading(found: Column) -> Column:
+        low, high = found["low"].try_cast("int"), found["high"].try_cast("int")
+        bad = found["unread"] | low.isNull() | high.isNull()
+        usable = ~bad & (hourly | (high >= MIN_ANNUAL_SALARY))
+        return F.struct(
+            F.when(usable, low).alias("salary_min"),
+            F.when(usable, high).alias("salary_max"),
+            bad.alias("malformed"),
+        )
+
+    nothing = F.struct(
+        F.lit(None).cast("int").alias("salary_min"),
+        F.lit(None).cast("int").alias("salary_max"),
+        F.lit(False).alias("malformed"),
     )
-    usable = found & ~bad & (hourly | (high.try_cast("int") >= MIN_ANNUAL_SALARY))
-    return F.struct(
-        F.when(usable, low.try_cast("int")).alias("salary_min"),
-        F.when(usable, high.try_cast("int")).alias("salary_max"),
-        F.coalesce(bad, F.lit(False)).alias("malformed"),
+    said = F.struct(first.alias("first"), second.alias("second"))
+    return computed_once(
+        said,
+        lambda t: F.when(t["first"] != "", computed_once(ends(t), reading)).otherwise(nothing),
     )
 
 
@@ -48,15 +63,19 @@ def board_salary(text: Column) -> Column:
         .otherwise(F.lit(1.0))
     )
     usable = F.when(~F.contains(lowered, F.lit("not")), _plain(text))
-    pair = r"(?i)([0-9.]++)(?:to|-|–)([0-9.]++)"
-    single = F.regexp_extract(usable, r"[0-9.]+", 0)
-    low, high = F.regexp_extract(usable, pair, 1), F.regexp_extract(usable, pair, 2)
-    is_pair = low != ""
-    return _annual(
-        F.when(is_pair, low).otherwise(single),
-        F.when(is_pair, high).otherwise(single),
-        factor,
-        hourly,
+    number = "[0-9.]+"
+
+    def split(words: Column) -> Column:
+        """The two ends of a spoken range, or the single number twice."""
+        first = F.regexp_extract(words, number, 0)
+        last = F.regexp_extract(words, f"({number})$", 1)
+        return F.struct(first.alias("first"), last.alias("second"))
+
+    spoken = F.regexp_extract(usable, rf"(?i){number}+(?:to|-|–){number}+", 0)
+    single = F.regexp_extract(usable, number, 0)
+    words = computed_once(spoken, lambda pair: F.when(pair != "", pair).otherwise(single))
+    return computed_once(
+        computed_once(words, split), lambda s: _annual(s["first"], s["second"], factor, hourly)
     )
 
 
@@ -64,10 +83,13 @@ def feed_salary(text: Column) -> Column:
     """Feed text: the first two numbers found, or the only one; hourly made annual."""
     hourly = contains_any(F.lower(text), HOURLY)
     factor = F.when(hourly, F.lit(float(HOURS_PER_YEAR))).otherwise(F.lit(1.0))
-    numbers = F.regexp_extract_all(_plain(text), F.lit(r"[0-9.]+"), F.lit(0))
-    first = F.coalesce(F.get(numbers, F.lit(0)), F.lit(""))
-    second = F.coalesce(F.get(numbers, F.lit(1)), first)
-    return _annual(first, second, factor, hourly)
+    numbers = F.regexp_extract_all(_plain(text), F.lit("[0-9.]+"), F.lit(0))
+    return computed_once(
+        numbers,
+        lambda n: _annual(
+            F.get(n, F.lit(0)), F.coalesce(F.get(n, F.lit(1)), F.get(n, F.lit(0))), factor, hourly
+        ),
+    )
 
 
 def salary_mid(salary_min: Column, salary_max: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from marketlens.functions import dates, location, remote, salary
 from marketlens.functions.text import first_truthy, html_to_text, short_id, strip, truthy
 from marketlens.operators.quality import title_has_role_word
+from marketlens.operators.rows import with_parts
 from marketlens.schemas import POSTING
 
 ADZUNA_ITEM = (
@@ -79,24 +80,26 @@ def _prefixed(source: str, native: Column) -> Column:
 
 def adzuna(landed: DataFrame, as_of: date) -> DataFrame:
     df = _items(landed, ADZUNA_ITEM, ["results"]).select("city", "item.*")
-    df = df.withColumns(
-        {
-            "title": strip(F.col("title")),
-            "place": location.area_search_location(
-                F.col("location.display_name"), F.col("location.area"), F.col("city")
-            ),
-            "target": first_truthy(F.col("redirect_url"), F.col("link")),
-        }
+    place = location.area_search_location(
+        F.col("location.display_name"), F.col("location.area"), F.col("city")
     )
+    derived = F.struct(
+        strip(F.col("title")).alias("job_name"),
+        place.alias("place"),
+        first_truthy(F.col("redirect_url"), F.col("link")).alias("target"),
+    )
+    df = with_parts(df, derived)
     native = F.coalesce(truthy(F.col("id")), short_id(F.col("target")))
     low, high = _ordered(F.col("salary_min"), F.col("salary_max"))
-    search = F.concat(F.lit("https://www.adzuna.ca/jobs/ca?q="), F.replace(F.col("title"), F.lit(" "), F.lit("+")))
+    search = F.concat(
+        F.lit("https://www.adzuna.ca/jobs/ca?q="), F.replace("job_name", F.lit(" "), F.lit("+"))
+    )
     description = F.coalesce("description", F.lit(""))
     return _posting(
-        df.where((F.col("title") != "") & native.isNotNull()),
+        df.where((F.col("job_name") != "") & native.isNotNull()),
         source=F.lit("adzuna"),
         job_id=_prefixed("adzuna", native),
-        title=F.col("title"),
+        title=F.col("job_name"),
         company=F.coalesce("company.display_name", F.lit("Unknown")),
         city=F.col("place.city"),
         province=F.col("place.province"),
@@ -123,19 +126,19 @@ def jsearch(landed: DataFrame, as_of: date) -> DataFrame:
     state = F.coalesce(
         first_truthy(c("job_state"), c("state"), F.get_json_object(c("location"), "$.state")), F.lit("")
     )
-    df = df.withColumns(
-        {
-            "native": F.coalesce(
-                truthy(c("job_id")), c("id"),
-                short_id(F.coalesce(c("job_apply_link"), c("link"), F.lit(""))),
-            ),
-            "job_name": first_truthy(c("job_title"), c("title"), c("position")),
-            "firm": F.when(nested.startswith("{"), named).otherwise(
-                F.coalesce(nested, truthy(c("employer")), F.lit("Unknown"))
-            ),
-            "text": F.coalesce(first_truthy(c("job_description"), c("description")), F.lit("")),
-        }
+    native = F.coalesce(
+        truthy(c("job_id")), c("id"), short_id(F.coalesce(c("job_apply_link"), c("link"), F.lit("")))
+    )
+    firm = F.when(nested.startswith("{"), named).otherwise(
+        F.coalesce(nested, truthy(c("employer")), F.lit("Unknown"))
     )
+    derived = F.struct(
+        native.alias("native"),
+        first_truthy(c("job_title"), c("title"), c("position")).alias("job_name"),
+        firm.alias("firm"),
+        F.coalesce(first_truthy(c("job_description"), c("description")), F.lit("")).alias("text"),
+    )
+    df = with_parts(df, derived)
     low, high = _ordered(c("job_min_salary"), c("job_max_salary"))
     search = F.lit("https://www.google.com/search?q=")
     return _posting(
@@ -173,15 +176,14 @@ def rapidapi(landed: DataFrame, as_of: date) -> DataFrame:
     place_text = first_truthy(
         c("location"), c("jobLocation"), F.concat(c("searched"), F.lit(", Canada"))
     )
-    df = df.withColumns(
-        {
-            "native": first_truthy(c("id"), c("jobId"), c("job_id")),
-            "job_name": first_truthy(c("title"), c("jobTitle"), c("position")),
-            "place": location.feed_location(place_text),
-            "text": F.coalesce(first_truthy(c("description"), c("jobDescription")), F.lit("")),
-            "pay": salary.feed_salary(first_truthy(c("salary"), c("salaryRange"))),
-        }
+    derived = F.struct(
+        first_truthy(c("id"), c("jobId"), c("job_id")).alias("native"),
+        first_truthy(c("title"), c("jobTitle"), c("position")).alias("job_name"),
+        location.feed_location(place_text).alias("place"),
+        F.coalesce(first_truthy(c("description"), c("jobDescription")), F.lit("")).alias("text"),
+        salary.feed_salary(first_truthy(c("salary"), c("salaryRange"))).alias("pay"),
     )
+    df = with_parts(df, derived)
     return _posting(
         df.where(c("native").isNotNull() & c("job_name").isNotNull() & ~c("pay.malformed")),
         source=F.lit("rapidapi"),
@@ -212,14 +214,12 @@ def remoteok(landed: DataFrame, as_of: date, roles: list[str] = ()) -> DataFrame
         .where((c("pos") > 0) & c("item").isNotNull())
         .select("item.*")
     )
-    place = location.remote_location(c("place_text"))
-    df = df.withColumns(
-        {
-            "job_name": strip(F.coalesce(first_truthy(c("position"), c("title")), F.lit(""))),
-            "place_text": strip(F.coalesce("location", F.lit(""))),
-            "target": truthy(strip(c("url"))),
-        }
-    ).withColumn("place", place)
+    derived = F.struct(
+        strip(F.coalesce(first_truthy(c("position"), c("title")), F.lit(""))).alias("job_name"),
+        location.remote_location(strip(F.coalesce("location", F.lit("")))).alias("place"),
+        truthy(strip(c("url"))).alias("target"),
+    )
+    df = with_parts(df, derived)
     page = F.concat(F.lit("https://remoteok.com/remote-jobs/"), F.coalesce("slug", "id"))
     iso = F.regexp_extract("date", r"\d{4}-\d{2}-\d{2}", 0)
     return _posting(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from marketlens.functions import location
 from marketlens.functions.dates import syndication_date
 from marketlens.functions.text import short_id, split_title_company, strip, truthy
+from marketlens.operators.rows import with_parts
 from marketlens.schemas import POSTING
 
 # The source element carries a url attribute and its text.
@@ -37,7 +38,7 @@ def read_items(spark: SparkSession, path: str, city: str) -> DataFrame:
 
 def parse_items(landed: DataFrame) -> DataFrame:
     """Items from a landed table of (city, item XML text)."""
-    parsed = landed.select("city", F.from_xml("item", ITEM).alias("i")).select("city", "i.*")
+    parsed = with_parts(landed.select("city", "item"), F.from_xml("item", ITEM))
     return parsed.select("city", *_item_columns())
 
 
