@@ -366,8 +366,9 @@ DOCUMENTS_LOWERED = "(SELECT doc_id, lower(text) AS t FROM documents) l"
 
 @query("e6_skills_of_documents", f"SELECT doc_id, {skills_text('found')} AS skills FROM (SELECT doc_id, {SKILLS} AS found FROM {DOCUMENTS_LOWERED}) s")
 def _(fx):
-    found = skills.extracted_skills(F.lower("text"))
-    return fx.table("documents").select("doc_id", skills.skills_json(found).alias("skills"))
+    lowered = fx.table("documents").select("doc_id", F.lower("text").alias("t"))
+    found = skills.extracted_skills(F.col("t"))
+    return lowered.select("doc_id", skills.skills_json(found).alias("skills"))
 
 
 @query(
@@ -679,7 +680,6 @@ def _dictionary_sql() -> str:
 
 @query("x6_dictionary_skills", _dictionary_sql(), POSTINGS)
 def _(fx):
-    found = variants.dictionary_skills(
-        F.lower(F.coalesce("description", F.lit(""))), [name for name, *_ in skill_rows()]
-    )
-    return fx.raw.select("id", F.array_join(found, "; ").alias("skills"))
+    lowered = fx.raw.select("id", F.lower(F.coalesce("description", F.lit(""))).alias("t"))
+    found = variants.dictionary_skills(F.col("t"), [name for name, *_ in skill_rows()])
+    return lowered.select("id", F.array_join(found, "; ").alias("skills"))

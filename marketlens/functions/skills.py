@@ -5,7 +5,6 @@ import re
 from pyspark.sql import Column, functions as F
 
 from marketlens.fixed_values import EXTRACTED_SKILLS, MAX_EXTRACTED_SKILLS
-from marketlens.functions.text import computed_once
 
 # Fixed value: the entry whose dot is optional, and the part both spellings share.
 _DOTTED, _DOTTED_PATTERN, _DOTTED_PART = "node.js", r"node\.?js", "node"
@@ -16,35 +15,26 @@ def word_pattern(name: str) -> str:
     return r"(?U)\b" + re.escape(name).replace(r"\ ", " ") + r"\b"
 
 
-def _entry(name: str) -> Column:
-    part, pattern = name, word_pattern(name)
-    if name == _DOTTED:
-        part, pattern = _DOTTED_PART, rf"(?U)\b{_DOTTED_PATTERN}\b"
-    return F.struct(
-        F.lit(name.replace(".", "")).alias("name"),
-        F.lit(part).alias("part"),
-        F.lit(pattern).alias("pattern"),
-    )
-
-
 def named_words(lowered: Column, names: list[str]) -> Column:
     """The names found between word boundaries, in the order given.
 
-    The plain substring test is cheap and spares the pattern for all names but a few.
+    The plain substring test is cheap and spares the pattern for all names but a few. The text
+    is looked at once per name, so pass a column and not an expression.
     """
-
-    def mentioned(text: Column) -> Column:
-        return F.filter(
-            F.array(*[_entry(n) for n in names]),
-            lambda e: F.contains(text, e["part"]) & F.rlike(text, e["pattern"]),
-        )
-
-    return F.transform(computed_once(lowered, mentioned), lambda e: e["name"])
+    hits = []
+    for name in names:
+        part, pattern = name, word_pattern(name)
+        if name == _DOTTED:
+            part, pattern = _DOTTED_PART, rf"(?U)\b{_DOTTED_PATTERN}\b"
+        found = F.contains(lowered, F.lit(part)) & lowered.rlike(pattern)
+        hits.append(F.when(found, F.lit(name)))
+    return F.array_compact(F.array(*hits))
 
 
 def extracted_skills(lowered: Column, limit: int = MAX_EXTRACTED_SKILLS) -> Column:
-    """Known skills in dictionary order, cut to the first `limit`."""
-    return F.slice(named_words(lowered, EXTRACTED_SKILLS), 1, limit)
+    """Known skills in dictionary order without their dots, cut to the first `limit`."""
+    found = F.slice(named_words(lowered, EXTRACTED_SKILLS), 1, limit)
+    return F.transform(found, lambda n: F.replace(n, F.lit("."), F.lit("")))
 
 
 def clean_skill(skill: Column) -> Column:

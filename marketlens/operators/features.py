@@ -21,9 +21,10 @@ def with_generated(features: DataFrame) -> DataFrame:
     )
 
 
-def extract_features(df: DataFrame) -> DataFrame:
+def extract_features(df: DataFrame, storable_only: bool = False) -> DataFrame:
     """One feature row per posting; a posting without title or description gives none.
 
+    `storable_only` leaves out reversed ranges such as "5-3 years", which the table refuses.
     A projection only: the text is read once and every rule stays in the JVM.
     """
     texts = df.where(F.col("title").isNotNull() & F.col("description").isNotNull()).select(
@@ -31,12 +32,18 @@ def extract_features(df: DataFrame) -> DataFrame:
         F.col("remote_type").alias("_given"),
         F.concat(F.lower("title"), F.lit(" "), F.lower("description")).alias("_text"),
     )
-    findings = F.struct(
-        X.experience_range(F.col("_text")).alias("_exp"),
+    # As parts of their own, the years are not searched again by the filter on them, and the
+    # filter does not sink to rows that other filters and joins would have dropped.
+    dated = with_parts(texts, F.struct(X.experience_range(F.col("_text")).alias("_exp")))
+    if storable_only:
+        in_order = F.col("_exp.exp_max") >= F.col("_exp.exp_min")
+        dated = dated.where(F.coalesce(in_order, F.lit(True)))
+    found = dated.select(
+        "job_id",
+        "_exp",
         first_truthy(F.col("_given"), remote_type_of_posting(F.col("_text"))).alias("_remote"),
         extracted_skills(F.col("_text")).alias("skills"),
     )
-    found = with_parts(texts, findings)
     low, high = F.col("_exp.exp_min"), F.col("_exp.exp_max")
     plain = found.select(
         "job_id",
@@ -49,11 +56,6 @@ def extract_features(df: DataFrame) -> DataFrame:
     return with_generated(plain).select(*FEATURE_COLUMNS)
 
 
-def storable(features: DataFrame) -> DataFrame:
-    """Rows the table's checks accept: a stated upper end is not below the lower one."""
-    return features.where(F.coalesce(F.col("exp_max") >= F.col("exp_min"), F.lit(True)))
-
-
 def quarantined(features: DataFrame) -> DataFrame:
     """Rows with a reversed range, such as "5-3 years"."""
     return features.where(F.col("exp_max") < F.col("exp_min"))

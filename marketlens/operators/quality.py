@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marketlens import fixed_values as V
 from marketlens.functions.dates import age_in_days
-from marketlens.functions.text import WS, strip
+from marketlens.functions.text import WS, evaluated_apart, strip
 
 # Fields a posting must fill, here and at collection time.
 REQUIRED = ["source", "job_id", "title", "company", "city", "province", "posted_date", "url"]
@@ -33,7 +33,9 @@ def _shown(value: Column) -> Column:
 
 
 def _empty(name: str) -> Column:
-    return F.coalesce(F.col(name).cast("string"), F.lit("")) == ""
+    if name == "posted_date":  # a date is never an empty text, and writing it out is slow
+        return F.col(name).isNull()
+    return F.coalesce(F.col(name), F.lit("")) == ""
 
 
 def _all(conditions: list[Column]) -> Column:
@@ -103,50 +105,56 @@ def id_matches_source() -> Column:
     return F.coalesce(F.startswith(F.col("job_id"), prefix), F.lit(False))
 
 
-def issues(as_of: date, strict: bool = False, limits: Limits = DEFAULT_LIMITS) -> Column:
-    """Messages of all broken rules, in rule order."""
+def _rules(as_of: date, strict: bool, limits: Limits) -> list[tuple[Column, Column]]:
+    """(broken, message) of every rule, in rule order."""
     c = F.col
 
-    def message(broken: Column, *parts: Column | str) -> Column:
+    def rule(good: Column, *parts: Column | str) -> tuple[Column, Column]:
         text = [F.lit(p) if isinstance(p, str) else p for p in parts]
-        return F.when(broken, F.concat(*text))
-
-    title_length = F.length(c("title"))
-    found = [
-        message(~has_required_fields(), "Missing required fields"),
-        message(~valid_province(c("province")), "Invalid province code: ", _shown(c("province"))),
-        message(~valid_city(c("city")), "Invalid city name: ", _shown(c("city"))),
-        message(
-            ~valid_salary_range(c("salary_min"), c("salary_max"), limits),
-            "Invalid salary range: ", _shown(c("salary_min")), " - ", _shown(c("salary_max")),
+        return ~F.coalesce(good, F.lit(True)), F.concat(*text)
+
+    low, high, title = c("salary_min"), c("salary_max"), c("title")
+    rules = [
+        rule(has_required_fields(), "Missing required fields"),
+        rule(valid_province(c("province")), "Invalid province code: ", _shown(c("province"))),
+        rule(valid_city(c("city")), "Invalid city name: ", _shown(c("city"))),
+        rule(
+            valid_salary_range(low, high, limits),
+            "Invalid salary range: ", _shown(low), " - ", _shown(high),
         ),
-        message(
-            ~recent_enough(c("posted_date"), as_of, limits.max_age_days),
+        rule(
+            recent_enough(c("posted_date"), as_of, limits.max_age_days),
             "Suspicious posted date: ", F.coalesce(c("posted_date").cast("string"), F.lit("")),
         ),
-        message(~valid_url(c("url")), "Invalid URL: ", _shown(c("url"))),
-        message(
-            ~valid_title_length(c("title")), "Invalid title length: ", title_length.cast("string")
-        ),
-        message(~valid_company(c("company")), "Invalid company name: ", _shown(c("company"))),
+        rule(valid_url(c("url")), "Invalid URL: ", _shown(c("url"))),
+        rule(valid_title_length(title), "Invalid title length: ", F.length(title).cast("string")),
+        rule(valid_company(c("company")), "Invalid company name: ", _shown(c("company"))),
     ]
     if strict:
-        found.append(message(is_spam(), "Detected spam patterns"))
-    found.append(
-        message(
-            ~id_matches_source(),
+        rules.append(rule(~is_spam(), "Detected spam patterns"))
+    rules.append(
+        rule(
+            id_matches_source(),
             "Job ID doesn't match source: ", _shown(c("job_id")), " vs ", _shown(c("source")),
         )
     )
-    return F.array_compact(F.array(*found))
+    return rules
 
 
 def validate(
     df: DataFrame, as_of: date, strict: bool = False, limits: Limits = DEFAULT_LIMITS
 ) -> DataFrame:
-    """Add `validation_issues` and `is_valid`; a plain projection, no shuffle."""
-    return df.withColumn("validation_issues", issues(as_of, strict, limits)).withColumn(
-        "is_valid", F.size("validation_issues") == 0
+    """Add `validation_issues` (messages of all broken rules, in rule order) and `is_valid`.
+
+    A plain projection, no shuffle; filtering on `is_valid` alone builds no message.
+    """
+    rules = _rules(as_of, strict, limits)
+    messages = [F.when(broken, message) for broken, message in rules]
+    return df.withColumns(
+        {
+            "validation_issues": F.array_compact(F.array(*messages)),
+            "is_valid": evaluated_apart(_all([~broken for broken, _ in rules])),
+        }
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marketlens import fixed_values as V
 from marketlens.functions.dates import age_in_days
-from marketlens.functions.skills import word_pattern
+from marketlens.functions.skills import named_words
 from marketlens.functions.text import contains_any, whole_number
 
 # Fields of the scored rules.
@@ -198,11 +198,6 @@ def extract_open_features(df: DataFrame) -> DataFrame:
 def dictionary_skills(lowered: Column, names: list[str]) -> Column:
     """Names of a skill list found between word boundaries, sorted.
 
-    Entries may contain each other ("spring", "spring boot"), so each is looked up by itself;
-    the plain substring test spares the pattern in most rows.
+    Entries may contain each other ("spring", "spring boot"), so each is looked up by itself.
     """
-    hits = []
-    for name in sorted({n.lower() for n in names}):
-        found = F.contains(lowered, F.lit(name)) & lowered.rlike(word_pattern(name))
-        hits.append(F.when(found, F.lit(name)))
-    return F.array_compact(F.array(*hits))
+    return named_words(lowered, sorted({n.lower() for n in names}))

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketlens.operators.dedupe import deduplicate
-from marketlens.operators.features import extract_features, storable
+from marketlens.operators.features import extract_features
 from marketlens.operators.quality import split, validate
 from marketlens.operators.rows import unprocessed
 from marketlens.operators.store import append_features, read_table, write_export
@@ -52,7 +52,7 @@ def processed_features(raw: DataFrame, features: DataFrame, as_of: date, limit:
     texts = raw.select(
         "id", "job_id", "title", "remote_type", F.coalesce("description", F.lit("")).alias("description")
     )
-    return storable(extract_features(texts.join(kept, "id", "left_semi")))
+    return extract_features(texts.join(kept, "id", "left_semi"), storable_only=True)
 
 
 def process_report(raw: DataFrame, features: DataFrame, as_of: date) -> DataFrame:
