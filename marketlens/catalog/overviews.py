@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from marketlens.catalog.fixture import AS_OF
 from marketlens.catalog.registry import POSTINGS, POSTINGS_AND_FEATURES, percent, query, rounded
-from marketlens.catalog.reports import FLEXIBLE, JOIN, LAST_90, LEFT, MID
+from marketlens.catalog.reports import FLEXIBLE, JOIN, LAST_30, LAST_90, LEFT
 from marketlens.operators import quality, store
-from marketlens.plans import overview, search
+from marketlens.plans import overview, search, views
 
 BOTH = POSTINGS_AND_FEATURES
 PLAUSIBLE = """((salary_min IS NULL AND salary_max IS NULL)
@@ -302,6 +302,19 @@ def _(fx):
     return search.guarded_sql(fx.spark, text)
 
 
+@query(
+    "p7_guarded_sql_on_view",
+    f"""SELECT city, province, count(*) AS total_jobs FROM {LEFT} WHERE {LAST_30}
+    GROUP BY city, province ORDER BY total_jobs DESC, city NULLS FIRST, province NULLS FIRST LIMIT 7""",
+    BOTH,
+)
+def _(fx):
+    views.register_views(fx.raw, fx.features, AS_OF)
+    return search.guarded_sql(
+        fx.spark, "SELECT city, province, total_jobs FROM vw_city_stats ORDER BY total_jobs DESC, city, province LIMIT 7"
+    )
+
+
 # Statistics and progress.
 
 

@@ -32,10 +32,15 @@ def local_session(cores: str = "8", app: str = "marketlens", shuffle_partitions:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, named by the cluster; a scratch one only where it is unset."""
+    """The folder all executors see, as the cluster names it in spark.checkpoint.dir.
+
+    Only a local session, as in tests, may go without: it gets a scratch folder.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     scratch = tempfile.mkdtemp(prefix="marketlens-")
     spark.conf.set("spark.checkpoint.dir", scratch)
     return scratch
