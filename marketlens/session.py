@@ -1,6 +1,7 @@
 """Session settings and the shared checkpoint folder."""
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -31,23 +32,27 @@ def local_session(cores: str = "8", app: str = "marketlens", shuffle_partitions:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as the cluster names it in spark.checkpoint.dir.
+_SCRATCH: dict[str, str] = {}
 
-    Only a local session, as in tests, may go without: it gets a scratch folder.
+
+def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """The folder all executors see: `folder`, or what the cluster names in spark.checkpoint.dir.
+
+    Only a session on one machine, as in tests, may go without: it gets one scratch folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = folder or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is None:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    scratch = tempfile.mkdtemp(prefix="marketlens-")
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    return scratch
+    application = spark.sparkContext.applicationId
+    if application not in _SCRATCH:
+        _SCRATCH[application] = tempfile.mkdtemp(prefix="marketlens-")
+    return _SCRATCH[application]
 
 
-def with_checkpoint_dir(spark: SparkSession) -> SparkSession:
+def with_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> SparkSession:
     """Point checkpoint() at the shared folder unless the context already has one."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark, folder))
     return spark

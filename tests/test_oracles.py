@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from check_oracles import connect, differences
+from marketlens.catalog import registry
 
 FOLDER = "/root/testdata/sf0.001"
 # No SQL can say these; brute-force tests cover them.
@@ -19,11 +20,11 @@ def con():
 
 
 def test_only_known_queries_lack_sql():
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == WITHOUT_SQL
-    assert not set(entry_points.oracle_sql()) - set(entry_points.queries())
+    assert set(registry.QUERIES) - set(registry.ORACLES) == WITHOUT_SQL
+    assert not set(registry.ORACLES) - set(registry.QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_rows_agree(spark, con, name):
     problem = differences(spark, con, FOLDER, name)
     assert problem in (None, "no rows")
