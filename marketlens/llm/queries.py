@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import line_dedup
+from marketlens.llm import jaccard_join, line_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +45,31 @@ FROM lines LEFT JOIN repeated r USING (k) GROUP BY doc_id""",
 def op7(spark, folder):
     found = line_dedup.drop_repeated_lines(table(spark, folder, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+FOLDED = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op2_ngram_jaccard_join",
+    f"""WITH RECURSIVE words AS (
+  SELECT doc_id, {WORDS.format(text=FOLDED.format(text="coalesce(text, '')"))} AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS s FROM words),
+classes AS (SELECT s, min(doc_id) AS c, len(s) AS n FROM (SELECT doc_id, list_sort(s) AS s FROM sets) GROUP BY s),
+members AS (SELECT doc_id, c FROM (SELECT doc_id, list_sort(s) AS s FROM sets) JOIN classes USING (s) WHERE n > 0),
+tokens AS (SELECT c, n, unnest(s) AS t FROM classes),
+pairs AS (SELECT a.c AS a, b.c AS b FROM tokens a JOIN tokens b ON a.t = b.t AND a.c < b.c
+    AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs UNION SELECT c, c FROM classes WHERE n > 0),
+reach AS (SELECT a AS node, b AS reached FROM edges
+  UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.reached = e.a),
+least_of AS (SELECT node, min(reached) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, len(d.s) AS n_shingles, coalesce(l.component_id, d.doc_id) AS component_id
+FROM sets d LEFT JOIN members m USING (doc_id) LEFT JOIN least_of l ON m.c = l.node""",
+)
+def op2(spark, folder):
+    found = jaccard_join.near_duplicate_components(table(spark, folder, "documents"), width=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")

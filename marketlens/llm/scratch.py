@@ -33,15 +33,16 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def keep(self, df: DataFrame, name: str, *partitions: str) -> DataFrame:
-        """Write `df` once and read it back; the shuffles behind it may go."""
+    def keep(self, df: DataFrame, name: str, *partitions: str, release: bool = True) -> DataFrame:
+        """Write `df` once and read it back; with `release` the shuffles behind it go at once."""
         writer = df.write.option("compression", "zstd")
         if partitions:
             writer = writer.partitionBy(*partitions)
         writer.parquet(self.path(name))
         schema = df.schema
         del df, writer
-        self.release()
+        if release:
+            self.release()
         return self.read(name, schema)
 
     def read(self, name: str, schema) -> DataFrame:
