@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import jaccard_join, line_dedup
+from marketlens.llm import decontaminate, jaccard_join, line_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +73,32 @@ FROM sets d LEFT JOIN members m USING (doc_id) LEFT JOIN least_of l ON m.c = l.n
 def op2(spark, folder):
     found = jaccard_join.near_duplicate_components(table(spark, folder, "documents"), width=4, percent=85)
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+TERMS = f"regexp_extract_all({FOLDED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    "op8_benchmark_decontamination",
+    f"""WITH docs AS (SELECT doc_id, {TERMS.format(text="coalesce(text, '')")} AS w FROM documents),
+items AS (SELECT item_id, {TERMS.format(text="coalesce(text, '')")} AS w FROM benchmark),
+wanted AS (SELECT item_id, CASE WHEN len(w) < 10 THEN w ELSE w[i:i + 9] END AS t
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT len(t) AS n FROM wanted),
+found AS (SELECT d.doc_id, d.i, len(d.t) AS n, x.item_id
+  FROM (SELECT doc_id, i, w[i:i + n - 1] AS t FROM (
+      SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, lengths WHERE len(w) >= n)) d
+  JOIN wanted x ON d.t = x.t),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)""",
+)
+def op8(spark, folder):
+    found = decontaminate.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
