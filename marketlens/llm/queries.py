@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import decontaminate, jaccard_join, line_dedup
+from marketlens.llm import decontaminate, jaccard_join, line_dedup, token_output
+from marketlens.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,6 +18,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file; all executors have the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def add(build):
         QUERIES[name] = build
@@ -102,3 +110,10 @@ def op8(spark, folder):
         "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op4_token_binary_output")
+def op4(spark, folder):
+    out = Scratch(spark, "tokens").folder
+    files = token_output.write_records(table(spark, folder, "documents"), out, vocabulary("byte_bpe_50k.json"))
+    return token_output.read_records(files, out)
