@@ -180,7 +180,7 @@ def drop_repeated_lines(
     runs.close()
     scratch.drop("keyed")
     rows = docs.select(whole, F.col(f"`{id_column}`").alias("id"), mark.alias("mark"))
-    joined = rows.join(dropped, rows["id"].eqNullSafe(dropped["first"]) & (rows["mark"] == dropped["mark"]), "left")
+    joined = rows.join(dropped.hint("merge"), rows["id"].eqNullSafe(dropped["first"]) & (rows["mark"] == dropped["mark"]), "left")
     lines = lines_of(F.col("row").getField(text_column))
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("dropped", F.array().cast("array<int>")))
     kept_text = F.when(F.col("dropped").isNull(), F.coalesce(F.col("row").getField(text_column), F.lit(""))).otherwise(
