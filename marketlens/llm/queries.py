@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import decontaminate, jaccard_join, line_dedup, token_output
+from marketlens.llm import decontaminate, digests, jaccard_join, line_dedup, pieces, token_output
 from marketlens.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,9 @@ def op4(spark, folder):
     out = Scratch(spark, "tokens").folder
     files = token_output.write_records(table(spark, folder, "documents"), out, vocabulary("byte_bpe_50k.json"))
     return token_output.read_records(files, out)
+
+
+@query("op3_sentencepiece")
+def op3(spark, folder):
+    model = vocabulary("piece_bpe_32k.model")
+    return pieces.encode_and_decode(table(spark, folder, "documents"), model, digests.pieces, digests.PIECES)
