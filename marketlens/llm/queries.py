@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import decontaminate, digests, jaccard_join, line_dedup, pieces, token_output
+from marketlens.llm import decontaminate, digests, embedding_dedup, jaccard_join, line_dedup, pieces, token_output
 from marketlens.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,21 @@ def op4(spark, folder):
 def op3(spark, folder):
     model = vocabulary("piece_bpe_32k.model")
     return pieces.encode_and_decode(table(spark, folder, "documents"), model, digests.pieces, digests.PIECES)
+
+
+@query(
+    "op9_embedding_near_dedup",
+    """WITH RECURSIVE e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+good AS (SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS n FROM e
+  WHERE label IS NOT NULL AND v IS NOT NULL AND list_dot_product(v, v) > 0),
+pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.v, b.v) / (a.n * b.n) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+least_of AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM pairs GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM least_of LEFT JOIN counted USING (vec_id)""",
+)
+def op9(spark, folder):
+    return embedding_dedup.near_duplicate_vectors(table(spark, folder, "embeddings"))
