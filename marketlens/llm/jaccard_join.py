@@ -18,7 +18,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.components import connected
@@ -125,24 +126,23 @@ def _prefixes(width: int, percent: int, rank):
     return run
 
 
-def _needed_sets(width: int, bits):
-    """(class, packed set) of the classes that the filter may hold, once per task."""
+def _needed_texts(width: int, bits):
+    """(class, packed text) of the classes that the filter may hold, once per task."""
 
     def run(batches):
-        wanted, done = bits.value, set()
+        wanted, done, squeeze = bits.value, set(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for piece in slices(batch):
-                hashes, first = shingle_sets(piece.column("text"), width)
-                classes = class_ids(hashes, first)
+                classes = class_ids(*shingle_sets(piece.column("text"), width))
                 spot = classes.view(np.uint64) % np.uint64(FILTER_BITS)
                 held = (wanted[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1)
-                ids, sets = [], []
-                for text in np.flatnonzero((held == 1) & (np.diff(first) > 0)):
+                ids, packed = [], []
+                for text in np.flatnonzero((held == 1) & (classes != 0)):
                     if (name := int(classes[text])) not in done:
                         done.add(name)
                         ids.append(name)
-                        sets.append(hashes[first[text] : first[text + 1]].tobytes())
-                yield pa.RecordBatch.from_pydict({"class": pa.array(ids, pa.int64()), "shingles": pa.array(sets, pa.binary())})
+                        packed.append(squeeze.compress(piece.column("text")[int(text)].as_buffer()))
+                yield pa.RecordBatch.from_pydict({"class": pa.array(ids, pa.int64()), "packed": pa.array(packed, pa.binary())})
 
     return run
 
@@ -190,63 +190,62 @@ def overlaps(query: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndar
     return linked
 
 
-def _search(percent: int):
-    """Rows in the order (query, salt, role): the query's set, then the sets to search."""
+def _search(width: int, percent: int):
+    """Rows in the order (query, salt, role): the query's text, then the texts to search."""
 
     def run(batches):
         query, name, names, sets = None, None, [], []
+        expand = zstandard.ZstdDecompressor()
 
         def links():
-            found = np.flatnonzero(overlaps(query, sets, percent)) if sets else []
-            out = [names[k] for k in found]
+            found = [names[k] for k in np.flatnonzero(overlaps(query, sets, percent))] if sets else []
             names.clear()
             sets.clear()
-            return out
+            return found
 
         for batch in batches:
-            a, b = [], []
-            for center, role, member, packed in zip(
-                batch.column("a").to_pylist(), batch.column("role").to_pylist(), batch.column("class").to_pylist(), batch.column("shingles")
-            ):
-                if role == 0 or len(sets) >= CHUNK:
-                    found = links()
-                    a += [name] * len(found)
-                    b += found
-                values = np.frombuffer(packed.as_buffer(), np.uint64)
-                if role == 0:
-                    query, name = values, center
-                else:
-                    names.append(member)
-                    sets.append(values)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            for begin in range(0, batch.num_rows, CHUNK):
+                piece = batch.slice(begin, CHUNK)
+                texts = [expand.decompress(packed.as_buffer()) for packed in piece.column("packed")]
+                hashes, first = shingle_sets(pa.array(texts, pa.binary()).cast(pa.string()), width)
+                a, b = [], []
+                for k, (center, role, member) in enumerate(
+                    zip(piece.column("a").to_pylist(), piece.column("role").to_pylist(), piece.column("class").to_pylist())
+                ):
+                    if role == 0 or len(sets) >= CHUNK:
+                        found = links()
+                        a += [name] * len(found)
+                        b += found
+                    own = hashes[first[k] : first[k + 1]]
+                    if role == 0:
+                        query, name = own, center
+                    else:
+                        names.append(member)
+                        sets.append(own)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
         found = links()
         yield pa.RecordBatch.from_pydict({"a": pa.array([name] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
 
     return run
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, width: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
-    """The pairs (a, b) of classes that are linked, found by searching a's shingles in the b's sets."""
-    spark = docs.sparkSession
-    needed = scratch.keep(
-        pairs.select(F.col("a").alias("class")).unionAll(pairs.select(F.col("b").alias("class"))).distinct(),
-        f"{name}-needed", release=False,
-    )
-    bits = spark.sparkContext.broadcast(_filter(needed))
-    sets = docs.mapInArrow(_needed_sets(width, bits), "class long, shingles binary")
-    sets = scratch.keep(sets.join(needed, "class", "left_semi").dropDuplicates(["class"]), f"{name}-sets")
+def _texts(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """(class, packed text) of some classes, one row each."""
+    bits = docs.sparkSession.sparkContext.broadcast(_filter(classes))
+    texts = docs.mapInArrow(_needed_texts(width, bits), "class long, packed binary")
+    return texts.join(classes.hint("merge"), "class", "left_semi").dropDuplicates(["class"])
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that are linked, found by searching a's shingles in the b's texts."""
     # A query with very many candidates is searched in several tasks, each with a share of them.
     load = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / (4 * CHUNK)).cast("int").alias("salts"))
-    members = pairs.join(load, "a").select("a", F.col("b").alias("class"), F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"))
-    rows = members.join(sets, "class").select("a", "salt", F.lit(1).alias("role"), "class", "shingles").unionAll(
-        members.select("a", "salt").distinct()
-        .join(sets.withColumnRenamed("class", "a"), "a").select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("class"), "shingles")
+    members = pairs.join(load, "a").select("a", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), F.col("b").alias("class"))
+    wanted = members.select("a", "salt", F.lit(1).alias("role"), "class").unionAll(
+        members.select("a", "salt").distinct().select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("class"))
     )
-    found = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role", "class").mapInArrow(_search(percent), "a long, b long")
-    out = scratch.keep(found, f"{name}-links")
-    scratch.drop(f"{name}-sets", f"{name}-needed")
-    bits.unpersist()
-    return out
+    rows = wanted.join(texts, "class").repartition("a", "salt").sortWithinPartitions("a", "salt", "role", "class")
+    return rows.mapInArrow(_search(width, percent), "a long, b long")
 
 
 def near_duplicate_components(
@@ -271,55 +270,33 @@ def near_duplicate_components(
     rows = scratch.keep(
         docs.mapInArrow(_prefixes(width, percent, rank), "doc_id long, n_shingles long, class long, prefix array<long>"), "rows"
     )
-    filed = rows.where("n_shingles > 0").dropDuplicates(["class"]).select(
-        "class", F.col("n_shingles").cast("int").alias("n"), F.posexplode("prefix").alias("place", "token")
-    )
+    distinct = rows.where("n_shingles > 0").dropDuplicates(["class"]).select("class", F.col("n_shingles").cast("int").alias("n"), "prefix")
+    distinct = scratch.keep(distinct, "distinct")
+    filed = distinct.select("class", "n", F.posexplode("prefix").alias("place", "token"))
     common = filed.groupBy("token").agg(F.count(F.lit(1)).alias("uses")).where("uses > 1").select("token")
-    shared = scratch.keep(filed.join(common, "token", "left_semi"), "shared")
-
+    shared = scratch.keep(filed.join(common.hint("merge"), "token", "left_semi"), "shared")
+
+    texts = scratch.keep(_texts(docs, shared.select("class").distinct(), width), "texts")
+    # Classes that share most of their prefix come first as centers: the text that others were made from.
+    part = distinct.select("class", F.size("prefix").alias("size"))
+    part = shared.groupBy("class").agg(F.count(F.lit(1)).alias("uses")).join(part, "class").select("class", (F.col("uses") / F.col("size")).alias("part"))
+    shared = scratch.keep(shared.join(part, "class"), "shared-part")
+    state = shared.withColumn("component", F.col("class"))
     links = None
-    component = None
     for round_ in range(STAR_ROUNDS):
-        # Within a band sizes differ by less than the limit allows.
-        band = F.floor(F.log(F.col("n")) / float(-np.log(percent / 100)))
-        state = _with_component(shared, component)
-        lists = state.withColumn("band", band)
-        key = F.xxhash64("class", F.lit(round_)) if round_ else F.col("class")
-        centers = lists.groupBy("token", "band").agg(
-            F.min(F.struct(key.alias("key"), F.col("class").alias("a"), F.col("component").alias("of"))).alias("c"),
-            F.min("component").alias("low"), F.max("component").alias("high"),
-        ).where("low <> high").select("token", "band", "c.a", "c.of")
-        pairs = lists.join(centers, ["token", "band"]).where("component <> of").select("a", F.col("class").alias("b")).distinct()
-        pairs = scratch.keep(pairs, f"star{round_}", release=False)
-        if pairs.isEmpty():
-            break
-        found = _linked(docs, pairs, width, percent, scratch, f"star{round_}")
+        stars = scratch.keep(_stars(state, distinct, round_, percent), f"stars{round_}")
+        found = scratch.keep(_linked(stars, texts, width, percent), f"star-links{round_}")
         links = found if links is None else links.unionAll(found)
         component = connected(links, scratch, f"component{round_}")
-
-    state = scratch.keep(_with_component(shared, component), "state", release=False)
-    live = state.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-    left = state.join(live, "token", "left_semi")
-    x, y = left.alias("x"), left.alias("y")
-    least = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent))
-    # What two sets can share from their first common shingle on.
-    most = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-    pairs = x.join(y, F.col("x.token") == F.col("y.token")).where(
-        (F.col("x.component") < F.col("y.component")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) & (most >= least)
-    ).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
-    pairs = scratch.keep(pairs, "rest", release=False)
-    if not pairs.isEmpty():
-        found = _linked(docs, pairs, width, percent, scratch, "rest")
-        links = found if links is None else links.unionAll(found)
-        component = connected(links, scratch, "component-all")
+        state = scratch.keep(_live(shared, component), f"state{round_}")
+    rest = scratch.keep(_pairs_apart(state, percent), "rest")
+    links = links.unionAll(scratch.keep(_linked(rest, texts, width, percent), "rest-links"))
+    component = connected(links, scratch, "component")
 
     classes = rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_class"))
-    if component is None:
-        named = classes.select("class", F.col("least").alias("component_id"), "n_class")
-    else:
-        of = classes.join(component.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-        least_of = of.groupBy("component").agg(F.min("least").alias("component_id"))
-        named = of.join(least_of, "component").select("class", "component_id", "n_class")
+    of = classes.join(component.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    least_of = of.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = of.join(least_of, "component").select("class", "component_id", "n_class")
     return rows.drop("prefix").join(named, "class", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
@@ -327,7 +304,50 @@ def near_duplicate_components(
     )
 
 
-def _with_component(shared: DataFrame, component: DataFrame | None) -> DataFrame:
-    if component is None:
-        return shared.withColumn("component", F.col("class"))
-    return shared.join(component.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+def _live(shared: DataFrame, component: DataFrame) -> DataFrame:
+    """Files (one per shingle) that classes of more than one component share."""
+    state = shared.join(component.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    live = state.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    return state.join(live.select("token"), "token", "left_semi")
+
+
+def _stars(state: DataFrame, distinct: DataFrame, round_: int, percent: int) -> DataFrame:
+    """Pairs of each file's two centers, which change from round to round, with its other classes."""
+    # Within a band sizes differ by less than the limit allows.
+    lists = state.withColumn("band", F.floor(F.log(F.col("n")) / float(-np.log(percent / 100))))
+    entry = F.struct(F.xxhash64("class", F.lit(round_)).alias("key"), F.col("class").alias("a"), F.col("component").alias("of"))
+    first = F.max_by(entry, F.struct("part", entry)) if round_ == 0 else F.min(entry)
+    ends = lists.groupBy("token", "band").agg(first.alias("first"), F.max(entry).alias("last"), F.count(F.lit(1)).alias("uses")).where("uses > 1")
+    centers = ends.select("token", "band", F.explode(F.array("first", "last")).alias("c")).select("token", "band", "c.a", "c.of")
+    pairs = lists.join(centers, ["token", "band"]).where("component <> of")
+    pairs = pairs.select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b")).distinct()
+    x = distinct.select(F.col("class").alias("a"), F.col("n").alias("m"), F.col("prefix").alias("p"))
+    y = distinct.select(F.col("class").alias("b"), "n", F.col("prefix").alias("q"))
+    enough = F.size(F.array_intersect("p", "q")) >= _least_in_prefix("m", "n", percent)
+    return pairs.join(x, "a").join(y, "b").where(enough).select("a", "b")
+
+
+def _pairs_apart(state: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes in different components that can be linked by what their prefixes share."""
+    x, y = state.alias("x"), state.alias("y")
+    least = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent))
+    # What two sets can share from their first common shingle on.
+    most = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    return (
+        x.join(y, F.col("x.token") == F.col("y.token"))
+        .where((F.col("x.component") < F.col("y.component")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")))
+        .groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b"), F.col("x.n").alias("m"), F.col("y.n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("uses"), F.max(most >= least).alias("possible"))
+        .where(F.col("possible") & (F.col("uses") >= _least_in_prefix("m", "n", percent)))
+        .select("a", "b")
+    )
+
+
+def _least_in_prefix(m: str, n: str, percent: int) -> Column:
+    """How many shingles of their prefixes two linked sets of these sizes share at least.
+
+    Of the two prefixes let p end first, in the common order: what the sets share outside of it is
+    at most what the set has outside of its prefix, ceil(percent size / 100) - 1.
+    """
+    overlap = F.ceil(percent * (F.col(m) + F.col(n)) / (100 + percent))
+    return F.greatest(F.lit(1), overlap - F.ceil(percent * F.greatest(F.col(m), F.col(n)) / 100) + 1)
