@@ -3,16 +3,17 @@
 No piece of the vocabulary goes on over a white-space marker, so a text falls into chunks, each the
 marker(s) and what follows up to the next one, and a chunk's pieces depend on nothing else.
 
-1. Every task cuts its documents into chunks, by blocks of documents: it writes the sequence of
-   chunk numbers of each document, and the block's distinct chunks dealt to shards by hash.
-2. Each shard segments each distinct chunk once and hands ids and decoded text back to the blocks.
-3. Each block puts ids and texts together by position.
+1. Every task cuts its documents into chunks, by blocks of documents: the sequence of chunk numbers
+   of each document, and the block's distinct chunks dealt to shards by hash.
+2. Each shard segments each distinct chunk once and hands the ids back to the blocks.
+3. Each block decodes its distinct chunks and puts ids and texts together by position.
 
 Texts themselves are never shuffled; numbers and chunks travel packed and compressed.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections import defaultdict
@@ -21,7 +22,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,24 +90,44 @@ class Block:
             self.sizes.append(len(found))
             self.sequences.append(np.fromiter(map(get, found), np.uint32, len(found)))
 
-    def rows(self, block: int, shards: int) -> Iterator[dict]:
+    def numbered(self, shards: int) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+        """Shard and number in the shard of every chunk in sequence, and the chunks of each shard.
+
+        Frequent chunks get small numbers, so that most high bytes are zero; those that occur once
+        follow in the order of their texts, which packs better.
+        """
         sequence = np.concatenate([*self.sequences, np.empty(0, np.uint32)])
-        names = np.array(list(self.numbers), object)
-        # Frequent chunks get small numbers, so that most high bytes are zero.
-        order = np.argsort(-np.bincount(sequence, minlength=len(names)), kind="stable")
-        rank = np.empty(len(names), np.uint32)
-        rank[order] = np.arange(len(names), dtype=np.uint32)
-        sequence = rank[sequence] if len(names) else sequence
-        planes = [((sequence >> np.uint32(8 * k)) & np.uint32(255)).astype(np.uint8) for k in range(4)]
-        yield {
-            "kind": 1, "block": block, "shard": -1,
-            "payload": pack(np.array(self.docs, np.int64), np.array(self.valid, bool), np.array(self.sizes, np.uint32), *planes),
-        }
-        names = names[order]
-        shard = np.array([zlib.crc32(name.encode()) % shards for name in names], np.int64)
-        for k in np.unique(shard):
-            mine = np.flatnonzero(shard == k)
-            yield {"kind": 0, "block": block, "shard": int(k), "payload": pack(mine.astype(np.uint32), *pack_texts(names[mine].tolist()))}
+        names = list(self.numbers)
+        uses = np.bincount(sequence, minlength=len(names)).tolist()
+        shard = [zlib.crc32(name.encode()) % shards for name in names]
+        order = sorted(range(len(names)), key=lambda k: (shard[k], -uses[k], names[k] if uses[k] == 1 else ""))
+        own: list[list[str]] = [[] for _ in range(shards)]
+        number = np.empty(len(names), np.uint32)
+        for k in order:
+            number[k] = len(own[shard[k]])
+            own[shard[k]].append(names[k])
+        shard = np.array(shard, np.uint16)
+        return (shard[sequence], number[sequence], own) if names else (shard, number, own)
+
+    def name(self) -> int:
+        """A hash of all that is in the block: the same in both readings. Equal blocks share it."""
+        state = hashlib.blake2b(digest_size=8)
+        for part in (np.array(self.docs, np.int64), np.array(self.sizes, np.int64), *self.sequences):
+            state.update(part.tobytes())
+        state.update("\n".join(self.numbers).encode())
+        return int.from_bytes(state.digest(), "little", signed=True)
+
+    def chunk_rows(self, shards: int) -> list[dict]:
+        (_, _, own), name = self.numbered(shards), self.name()
+        return [{"kind": 0, "block": name, "shard": k, "payload": pack(*pack_texts(names))} for k, names in enumerate(own) if names]
+
+    def sequence_rows(self, shards: int) -> list[dict]:
+        shard, number, own = self.numbered(shards)
+        planes = [((number >> np.uint32(8 * k)) & np.uint32(255)).astype(np.uint8) for k in range(4)]
+        low, high = (shard & np.uint16(255)).astype(np.uint8), (shard >> np.uint16(8)).astype(np.uint8)
+        counts = np.array([len(names) for names in own], np.uint32)
+        head = (np.array(self.docs, np.int64), np.array(self.valid, bool), np.array(self.sizes, np.uint32))
+        return [{"kind": 1, "block": self.name(), "shard": shards, "payload": pack(*head, counts, low, high, *planes)}]
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:
@@ -115,22 +135,22 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema)
 
 
-def _cut(batches, shards: int, block_bytes: int):
-    """Documents to numbered sequences (kind 1) and distinct chunks (kind 0)."""
-    part, count, block = TaskContext.get().partitionId(), 0, Block()
+def _cut(batches, kind: int, shards: int, block_bytes: int):
+    """Documents to the distinct chunks of blocks (kind 0) or to their numbered sequences (kind 1)."""
+    block = Block()
     for batch in batches:
         for piece in slices(batch):
             block.add(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist())
             block.bytes += piece.nbytes
             if block.bytes >= block_bytes:
-                yield _batch(list(block.rows((part << 32) + count, shards)))
-                count, block = count + 1, Block()
+                yield _batch((block.sequence_rows if kind else block.chunk_rows)(shards))
+                block = Block()
     if block.docs:
-        yield _batch(list(block.rows((part << 32) + count, shards)))
+        yield _batch((block.sequence_rows if kind else block.chunk_rows)(shards))
 
 
 class Segmenter:
-    """Ids and decoded text of chunks, each segmented once."""
+    """Ids of chunks, each segmented once."""
 
     def __init__(self, model: str):
         import sentencepiece
@@ -138,7 +158,7 @@ class Segmenter:
         self.model = sentencepiece.SentencePieceProcessor(model_file=model)
         self.end = self.model.eos_id()
         self.alone = [self.model.piece_to_id(MARK)]
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}
 
     def learn(self, chunks: list[str]) -> None:
         if len(self.known) + len(chunks) > REMEMBERED:
@@ -146,7 +166,7 @@ class Segmenter:
         # The library puts a marker before a text: the chunk's first one. It puts none before ''.
         for chunk, ids in zip(chunks, self.model.encode(chunks, num_threads=1)):
             ids = ids if chunk else self.alone
-            self.known[chunk] = (np.array(ids, np.int32).tobytes(), self.model.decode(ids))
+            self.known[chunk] = np.array(ids, np.int32).tobytes()
 
 
 _segmenters: dict[str, Segmenter] = {}
@@ -159,50 +179,48 @@ def segmenter(model: str) -> Segmenter:
 
 
 def _segment(batches, model: str):
-    """Distinct chunks of blocks, dealt by shard, to their ids and decoded texts."""
+    """Distinct chunks of blocks, dealt by shard, to their ids."""
     segment = segmenter(model)
     for batch in batches:
         for block, shard, payload in zip(batch.column("block").to_pylist(), batch.column("shard").to_pylist(), batch.column("payload").to_pylist()):
-            ranks, lengths, data = unpack(payload)
-            chunks = unpack_texts(lengths, data)
+            chunks = unpack_texts(*unpack(payload))
             if new := [c for c in chunks if c not in segment.known]:
-                if len(segment.known) + len(new) > REMEMBERED:
-                    new = chunks
-                segment.learn(new)
+                segment.learn(chunks if len(segment.known) + len(new) > REMEMBERED else new)
             found = [segment.known[c] for c in chunks]
-            sizes = np.array([len(ids) // 4 for ids, _ in found], np.uint32)
-            yield _batch([{
-                "kind": 0, "block": block, "shard": shard,
-                "payload": pack(ranks, sizes, b"".join(ids for ids, _ in found), *pack_texts([text for _, text in found])),
-            }])
+            sizes = np.array([len(ids) // 4 for ids in found], np.uint32)
+            ids = np.frombuffer(b"".join(found), np.uint32)
+            planes = [((ids >> np.uint32(8 * k)) & np.uint32(255)).astype(np.uint8) for k in range(4)]
+            yield _batch([{"kind": 0, "block": block, "shard": shard, "payload": pack(sizes, *planes)}])
+
+
+def _joined(planes: list[bytes]) -> np.ndarray:
+    return sum(np.frombuffer(p, np.uint8).astype(np.uint32) << np.uint32(8 * k) for k, p in enumerate(planes))
 
 
 def _assemble(batches, model: str, finish: Callable):
-    """Rows in the order (block, kind): the block's chunks, then its sequences."""
-    end, current, got = segmenter(model).end, None, []
+    """Rows in the order (block, kind, shard): the block's chunks, then its sequences."""
+    segment, current, got = segmenter(model), None, {}
     for batch in batches:
-        for kind, block, payload in zip(batch.column("kind").to_pylist(), batch.column("block").to_pylist(), batch.column("payload").to_pylist()):
+        for kind, block, shard, payload in zip(*(batch.column(c).to_pylist() for c in ("kind", "block", "shard", "payload"))):
             if block != current:
-                current, got = block, []
+                current, got = block, {}
             if kind == 0:
-                got.append(payload)
+                got[shard] = payload
                 continue
-            total = 0
-            parts = [unpack(p) for p in got]
-            got = []
-            total = sum(len(p[0]) // 4 for p in parts)
-            ids, texts = np.empty(total, object), np.empty(total, object)
-            for ranks, sizes, flat, lengths, data in parts:
-                ranks = np.frombuffer(ranks, np.uint32)
-                ends = np.cumsum(np.frombuffer(sizes, np.uint32))[:-1]
-                flat = np.frombuffer(flat, np.int32)
-                for rank, own in zip(ranks.tolist(), np.split(flat, ends)):
-                    ids[rank] = own.tolist()
-                texts[ranks] = unpack_texts(lengths, data)
-            docs, valid, sizes, *planes = unpack(payload)
-            sequence = sum(np.frombuffer(p, np.uint8).astype(np.uint32) << np.uint32(8 * k) for k, p in enumerate(planes))
+            docs, valid, sizes, counts, low, high, *planes = unpack(payload)
+            counts = np.frombuffer(counts, np.uint32).astype(np.int64)
+            ids, found = [], np.zeros(len(counts), np.int64)
+            for shard, payload in sorted(got.items()):
+                own, *parts = unpack(payload)
+                own = np.frombuffer(own, np.uint32)
+                found[shard] = len(own)
+                ids += [part.tolist() for part in np.split(_joined(parts), np.cumsum(own)[:-1])]
+            if not np.array_equal(found, counts):
+                raise ValueError("a block's chunks are not those of its sequences: the documents changed between two reads")
+            sequence = (np.cumsum(counts) - counts)[_joined([low, high])] + _joined(planes)
+            texts = segment.model.decode(ids) if ids else []
             yield from finish(
-                np.frombuffer(docs, np.int64), np.frombuffer(valid, bool), np.frombuffer(sizes, np.uint32), sequence, ids.tolist(), texts.tolist(), end
+                np.frombuffer(docs, np.int64), np.frombuffer(valid, bool), np.frombuffer(sizes, np.uint32), sequence, ids, texts, segment.end
             )
 
 
@@ -227,7 +245,7 @@ WHOLE = "doc_id long, ids array<int>, decoded string"
 
 def encode_and_decode(
     docs: DataFrame, model: str, finish: Callable = whole_ids, schema: str = WHOLE,
-    block_bytes: int = BLOCK_BYTES, id_column: str = "doc_id", text_column: str = "text",
+    block_bytes: int = BLOCK_BYTES, rereadable: bool = True, id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """Pieces of every whole text with an end id, and the text decoded from them: a row per row.
 
@@ -237,12 +255,13 @@ def encode_and_decode(
     are returned, in the columns of `schema`, out of a block's chunks: see `whole_ids`.
     """
     spark = docs.sparkSession
-    scratch = Scratch(spark, "pieces")
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text_column}`").cast("string").alias("text"))
-    cut = scratch.keep(rows.mapInArrow(lambda batches: _cut(batches, shards, block_bytes), PACKED), "cut", "kind")
-    cut = cut.select("kind", "block", "shard", "payload")
-    chunks = cut.where("kind = 0").repartition("shard").sortWithinPartitions("shard", "block")
+    if not rereadable:
+        rows = Scratch(spark, "pieces").keep(rows, "docs")
+    chunks = rows.mapInArrow(lambda batches: _cut(batches, 0, shards, block_bytes), PACKED)
+    sequences = rows.mapInArrow(lambda batches: _cut(batches, 1, shards, block_bytes), PACKED)
+    chunks = chunks.repartition("shard").sortWithinPartitions("shard", "block")
     segmented = chunks.mapInArrow(lambda batches: _segment(batches, model), PACKED)
-    both = segmented.unionAll(cut.where("kind = 1")).repartition("block").sortWithinPartitions("block", "kind", "shard")
+    both = segmented.unionAll(sequences).repartition("block").sortWithinPartitions("block", "kind", "shard")
     return both.mapInArrow(lambda batches: _assemble(batches, model, finish), schema)
