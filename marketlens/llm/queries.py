@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import decontaminate, digests, embedding_dedup, jaccard_join, line_dedup, pieces, token_output
+from marketlens.llm import decontaminate, digests, embedding_dedup, jaccard_join, line_dedup, pieces, quality, token_output, toxicity
 from marketlens.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,15 @@ FROM least_of LEFT JOIN counted USING (vec_id)""",
 )
 def op9(spark, folder):
     return embedding_dedup.near_duplicate_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op1_quality_classifier")
+def op1(spark, folder):
+    found = quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", "lang", "n_words", "perplexity", "threshold", "kept")
+
+
+@query("op5_toxicity")
+def op5(spark, folder):
+    found = toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", "n_words", "evidence")

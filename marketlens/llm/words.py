@@ -8,9 +8,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# ASCII white space ends a word; A-Z fold to a-z.
+# ASCII white space ends a word; letters are ASCII letters, digits, all above ASCII;
+# A-Z fold to a-z.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+LETTER = np.zeros(256, bool)
+LETTER[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
 
@@ -53,9 +56,9 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = 4 << 20) ->
 class Words:
     """Words of some texts: `begin` and `end` in `data`, `first` word of each text, and hashes."""
 
-    def __init__(self, column: pa.Array, fold: bool = False):
+    def __init__(self, column: pa.Array, fold: bool = False, letters_only: bool = False):
         self.data, self.offsets = texts(column)
-        inside = ~SPACE[self.data]
+        inside = LETTER[self.data] if letters_only else ~SPACE[self.data]
         begin = inside.copy()
         begin[1:] &= ~inside[:-1]
         end = inside.copy()
@@ -74,11 +77,13 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def hashes(self) -> np.ndarray:
-        """64 bits of each word, the same in all tasks."""
+    def hashes(self, most: int | None = None) -> np.ndarray:
+        """64 bits of each word, or of its first `most` bytes, the same in all tasks."""
         if not len(self.begin):
             return np.empty(0, np.uint64)
         lengths = self.end - self.begin
+        if most is not None:
+            lengths = np.minimum(lengths, most)
         starts = np.cumsum(lengths) - lengths
         total = int(starts[-1] + lengths[-1])
         at = np.arange(total) - np.repeat(starts, lengths)
