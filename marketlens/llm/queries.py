@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import decontaminate, digests, embedding_dedup, jaccard_join, line_dedup, pieces, quality, token_output, toxicity
+from marketlens.llm import decontaminate, digests, embedding_dedup, jaccard_join, line_dedup, pieces, quality, substring_dedup, token_output, toxicity
 from marketlens.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,22 @@ def op1(spark, folder):
 def op5(spark, folder):
     found = toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted", "n_words", "evidence")
+
+
+@query(
+    "op6_substring_dedup",
+    f"""WITH words AS (SELECT doc_id, {WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
+starts AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 34], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35)),
+repeated AS (SELECT doc_id, i FROM starts WHERE h IN (SELECT h FROM starts GROUP BY h HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM repeated),
+listed AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id),
+placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM words),
+kept AS (SELECT a.doc_id, string_agg(word, ' ' ORDER BY a.p) AS t FROM placed a ANTI JOIN gone g ON a.doc_id = g.doc_id AND a.p = g.p
+  GROUP BY a.doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(len(ps), 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+)
+def op6(spark, folder):
+    found = substring_dedup.remove_repeats(table(spark, folder, "documents"), width=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
