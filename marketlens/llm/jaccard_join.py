@@ -84,7 +84,7 @@ def _heavy_slots(width: int):
                 hashes, _ = shingle_sets(piece.column("text"), width)
                 seen += len(hashes)
                 counts += np.bincount((hashes >> np.uint64(20)).astype(np.int64) % SLOTS, minlength=SLOTS)
-        heavy = np.flatnonzero(counts >= 4 + 4 * seen / SLOTS)
+        heavy = np.flatnonzero(counts >= 2 + 2 * seen / SLOTS)
         yield pa.RecordBatch.from_pydict({"slot": heavy.astype(np.int32), "uses": counts[heavy]})
 
     return run
@@ -272,7 +272,8 @@ def near_duplicate_components(
     )
     distinct = rows.where("n_shingles > 0").dropDuplicates(["class"]).select("class", F.col("n_shingles").cast("int").alias("n"), "prefix")
     distinct = scratch.keep(distinct, "distinct")
-    filed = distinct.select("class", "n", F.posexplode("prefix").alias("place", "token"))
+    band = F.floor(F.log(F.col("n")) / float(-np.log(percent / 100))).cast("int").alias("band")
+    filed = distinct.select("class", "n", band, F.posexplode("prefix").alias("place", "token"))
     common = filed.groupBy("token").agg(F.count(F.lit(1)).alias("uses")).where("uses > 1").select("token")
     shared = scratch.keep(filed.join(common.hint("merge"), "token", "left_semi"), "shared")
 
@@ -280,16 +281,16 @@ def near_duplicate_components(
     # Classes that share most of their prefix come first as centers: the text that others were made from.
     part = distinct.select("class", F.size("prefix").alias("size"))
     part = shared.groupBy("class").agg(F.count(F.lit(1)).alias("uses")).join(part, "class").select("class", (F.col("uses") / F.col("size")).alias("part"))
-    shared = scratch.keep(shared.join(part, "class"), "shared-part")
+    shared = scratch.keep(shared.join(part.hint("merge"), "class"), "shared-part")
     state = shared.withColumn("component", F.col("class"))
     links = None
     for round_ in range(STAR_ROUNDS):
-        stars = scratch.keep(_stars(state, distinct, round_, percent), f"stars{round_}")
+        stars = scratch.keep(_enough(_stars(state, round_), distinct, percent), f"stars{round_}")
         found = scratch.keep(_linked(stars, texts, width, percent), f"star-links{round_}")
         links = found if links is None else links.unionAll(found)
         component = connected(links, scratch, f"component{round_}")
         state = scratch.keep(_live(shared, component), f"state{round_}")
-    rest = scratch.keep(_pairs_apart(state, percent), "rest")
+    rest = scratch.keep(_enough(_pairs_apart(state, percent), distinct, percent), "rest")
     links = links.unionAll(scratch.keep(_linked(rest, texts, width, percent), "rest-links"))
     component = connected(links, scratch, "component")
 
@@ -306,41 +307,39 @@ def near_duplicate_components(
 
 def _live(shared: DataFrame, component: DataFrame) -> DataFrame:
     """Files (one per shingle) that classes of more than one component share."""
-    state = shared.join(component.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    state = shared.join(component.withColumnRenamed("node", "class").hint("merge"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     live = state.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    return state.join(live.select("token"), "token", "left_semi")
+    return state.join(live.select("token").hint("merge"), "token", "left_semi")
 
 
-def _stars(state: DataFrame, distinct: DataFrame, round_: int, percent: int) -> DataFrame:
+def _stars(state: DataFrame, round_: int) -> DataFrame:
     """Pairs of each file's two centers, which change from round to round, with its other classes."""
     # Within a band sizes differ by less than the limit allows.
-    lists = state.withColumn("band", F.floor(F.log(F.col("n")) / float(-np.log(percent / 100))))
     entry = F.struct(F.xxhash64("class", F.lit(round_)).alias("key"), F.col("class").alias("a"), F.col("component").alias("of"))
     first = F.max_by(entry, F.struct("part", entry)) if round_ == 0 else F.min(entry)
-    ends = lists.groupBy("token", "band").agg(first.alias("first"), F.max(entry).alias("last"), F.count(F.lit(1)).alias("uses")).where("uses > 1")
+    ends = state.groupBy("token", "band").agg(first.alias("first"), F.max(entry).alias("last"), F.count(F.lit(1)).alias("uses")).where("uses > 1")
     centers = ends.select("token", "band", F.explode(F.array("first", "last")).alias("c")).select("token", "band", "c.a", "c.of")
-    pairs = lists.join(centers, ["token", "band"]).where("component <> of")
-    pairs = pairs.select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b")).distinct()
-    x = distinct.select(F.col("class").alias("a"), F.col("n").alias("m"), F.col("prefix").alias("p"))
-    y = distinct.select(F.col("class").alias("b"), "n", F.col("prefix").alias("q"))
-    enough = F.size(F.array_intersect("p", "q")) >= _least_in_prefix("m", "n", percent)
-    return pairs.join(x, "a").join(y, "b").where(enough).select("a", "b")
+    pairs = state.join(centers.hint("merge"), ["token", "band"]).where("component <> of")
+    return pairs.select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b")).distinct()
 
 
 def _pairs_apart(state: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes in different components that can be linked by what their prefixes share."""
+    """Pairs of classes in different components that can be linked by where they share a shingle."""
     x, y = state.alias("x"), state.alias("y")
     least = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent))
-    # What two sets can share from their first common shingle on.
+    # The first shingle that two linked sets share leaves enough of both to reach the overlap.
     most = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-    return (
-        x.join(y, F.col("x.token") == F.col("y.token"))
-        .where((F.col("x.component") < F.col("y.component")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")))
-        .groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b"), F.col("x.n").alias("m"), F.col("y.n").alias("n"))
-        .agg(F.count(F.lit(1)).alias("uses"), F.max(most >= least).alias("possible"))
-        .where(F.col("possible") & (F.col("uses") >= _least_in_prefix("m", "n", percent)))
-        .select("a", "b")
-    )
+    near = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component")) & near & (most >= least))
+    return pairs.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
+
+
+def _enough(pairs: DataFrame, distinct: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose prefixes share as many shingles as those of linked sets do at least."""
+    x = distinct.select(F.col("class").alias("a"), F.col("n").alias("m"), F.col("prefix").alias("p"))
+    y = distinct.select(F.col("class").alias("b"), "n", F.col("prefix").alias("q"))
+    enough = F.size(F.array_intersect("p", "q")) >= _least_in_prefix("m", "n", percent)
+    return pairs.join(x.hint("merge"), "a").join(y.hint("merge"), "b").where(enough).select("a", "b")
 
 
 def _least_in_prefix(m: str, n: str, percent: int) -> Column:
