@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import decontaminate, digests, embedding_dedup, jaccard_join, line_dedup, pieces, quality, substring_dedup, token_output, toxicity
+from marketlens.llm import decontaminate, digests, embedding_dedup, jaccard_join, line_dedup, lm_scoring, pieces, quality, substring_dedup, token_output, toxicity
 from marketlens.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,17 @@ FROM words LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 def op6(spark, folder):
     found = substring_dedup.remove_repeats(table(spark, folder, "documents"), width=35)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_lm_scoring")
+def op10(spark, folder):
+    found = lm_scoring.pseudo_likelihood(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "log_probability", F.when(F.col("n_words") > 0, F.col("log_probability") / F.col("n_words")).alias("per_word"))
+
+
+@query("pipeline")
+def pipeline(spark, folder):
+    # The stages import this module for its tables.
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
