@@ -63,7 +63,7 @@ ADZUNA_ITEM = f"""named_struct(
     "s3_adzuna",
     POSTING_SQL.format(
         source="adzuna",
-        native="CASE WHEN k % 10 <> 0 THEN CAST(k AS VARCHAR) ELSE substr(md5(url), 1, 12) END",
+        native="CASE WHEN k % 10 <> 0 THEN CAST(k AS VARCHAR) ELSE md5(url) END",
         title="title", company="coalesce(company, 'Unknown')",
         city="CASE WHEN k % 3 = 2 THEN 'Calgary' ELSE city END",
         province=f"CASE WHEN k % 3 = 2 THEN 'AB' WHEN {KNOWN} THEN {TRUE_CODE} ELSE {CODE} END",
@@ -93,7 +93,7 @@ JSEARCH_ITEM = f"""named_struct(
   'job_apply_link', CASE WHEN k % 7 <> 0 THEN url END,
   'job_min_salary', salary_min, 'job_max_salary', salary_max)"""
 JSEARCH_NATIVE = """CASE WHEN k % 5 <> 0 THEN CAST(k AS VARCHAR)
-  ELSE substr(md5(CASE WHEN k % 7 <> 0 THEN url ELSE '' END), 1, 12) END"""
+  ELSE md5(CASE WHEN k % 7 <> 0 THEN url ELSE '' END) END"""
 JSEARCH_FIRM = "CASE WHEN k % 3 = 2 THEN 'Unknown' ELSE coalesce(company, 'Unknown') END"
 
 
@@ -189,7 +189,7 @@ def _rss_items(fx):
 
 
 RSS_COMMON = dict(
-    native="substr(md5(url), 1, 12)", city=CITY, low=NUL, high=NUL, remote=NUL, url="url",
+    native="md5(url)", city=CITY, low=NUL, high=NUL, remote=NUL, url="url",
     description="coalesce(description, '')", posted=f"coalesce(posted_date, {DAY})",
 )
 
@@ -233,7 +233,7 @@ LISTING_PAGE = f"""concat('<html><body><nav>Salary guide</nav><!-- <article clas
 @query(
     "s9_jobbank_listing",
     POSTING_SQL.format(
-        source="jobbank", native="substr(md5('/jobsearch/jobposting/' || k || '?source=x'), 1, 12)",
+        source="jobbank", native="md5('/jobsearch/jobposting/' || k || '?source=x')",
         title="title", company="'Smith & ' || coalesce(company, 'Sons')", city=CITY, province=CODE,
         description="''", remote=NUL,
         low="CASE k % 3 WHEN 0 THEN 60000 WHEN 1 THEN 53040 END",

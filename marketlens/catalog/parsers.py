@@ -226,12 +226,14 @@ def _(fx):
 
 @query(
     "f10_syndication_date",
-    "SELECT k, CAST(o_orderdate AS DATE) + CASE WHEN k % 2 = 0 THEN 1 ELSE 0 END AS posted_date FROM (SELECT o_orderkey AS k, o_orderdate FROM orders) o",
+    "SELECT k, CAST(o_orderdate AS DATE) + CASE WHEN k % 6 < 4 AND k % 6 <> 1 THEN 1 ELSE 0 END AS posted_date FROM (SELECT o_orderkey AS k, o_orderdate FROM orders) o",
 )
 def _(fx):
     k = F.col("o_orderkey")
     day = F.date_format("o_orderdate", "E, dd MMM yyyy")
-    stamp = F.concat(day, F.when(k % 2 == 0, F.lit(" 23:30:00 -0500")).otherwise(F.lit(" 08:00:00 GMT")))
+    stamp = F.concat(day, F.element_at(
+        F.array(*[F.lit(t) for t in (" 23:30:00 -0500", " 08:00:00 GMT", " 21:00:00 EST", " 17:30:00 pdt", " 08:00:00", " 23:30:00 XYZ")]), (k % 6 + 1).cast("int")
+    ))
     return fx.table("orders").select(k.alias("k"), dates.syndication_date(stamp, AS_OF).alias("posted_date"))
 
 
@@ -283,8 +285,8 @@ def _(fx):
 
 @query(
     "f14_ids",
-    """SELECT page_id, substr(md5(url), 1, 12) AS short_id,
-      CASE WHEN page_id % 2 = 0 THEN CAST(page_id AS VARCHAR) ELSE substr(md5(url || '/x'), 1, 12) END AS path_id
+    """SELECT page_id, md5(url) AS short_id,
+      CASE WHEN page_id % 2 = 0 THEN CAST(page_id AS VARCHAR) ELSE md5(url || '/x') END AS path_id
     FROM pages""",
 )
 def _(fx):

@@ -295,7 +295,7 @@ def _skill_hit(name: str) -> str:
 
 
 SKILLS = (
-    "([x for x in [" + ", ".join(_skill_hit(s) for s in V.EXTRACTED_SKILLS) + "] if x IS NOT NULL])[1:10]"
+    "([x for x in [" + ", ".join(_skill_hit(s) for s in V.EXTRACTED_SKILLS) + "] if x IS NOT NULL])"
 )
 DETECTED = f"""CASE WHEN {_any_like('t', ['remote', 'work from home'])} THEN 'remote'
   WHEN {_any_like('t', ['hybrid', 'flexible work'])} THEN 'hybrid'

@@ -85,12 +85,22 @@ def prefix_date(text: Column, as_of: date) -> Column:
     )
 
 
+# Zone names of RFC 822; others are read as UTC.
+ZONES = {
+    "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500",
+    "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700",
+}
+
+
 def syndication_date(text: Column, as_of: date) -> Column:
     """RFC 822 ('Tue, 10 Feb 2026 08:00:00 GMT') or ISO 8601 time to its UTC day."""
     pattern = r"(\d{1,2}) ([A-Za-z]{3})[a-z]* (\d{4}) (\d{2}:\d{2}(?::\d{2})?) *([+-]\d{4}|[A-Za-z]*)"
     clock = F.regexp_extract(text, pattern, 4)
     zone = F.regexp_extract(text, pattern, 5)
-    offset = F.when(zone.rlike(r"^[+-]\d{4}$"), zone).otherwise(F.lit("+0000"))
+    named = F.create_map(*[F.lit(part) for pair in ZONES.items() for part in pair])
+    offset = F.when(zone.rlike(r"^[+-]\d{4}$"), zone).otherwise(
+        F.coalesce(F.try_element_at(named, F.upper(zone)), F.lit("+0000"))
+    )
     full_clock = F.when(F.length(clock) == 5, F.concat(clock, F.lit(":00"))).otherwise(clock)
     moment = F.concat_ws(
         " ",

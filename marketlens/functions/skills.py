@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from marketlens.fixed_values import EXTRACTED_SKILLS, MAX_EXTRACTED_SKILLS
+from marketlens.fixed_values import EXTRACTED_SKILLS
 
 # Fixed value: the entry whose dot is optional, and the part both spellings share.
 _DOTTED, _DOTTED_PATTERN, _DOTTED_PART = "node.js", r"node\.?js", "node"
@@ -31,9 +31,11 @@ def named_words(lowered: Column, names: list[str]) -> Column:
     return F.array_compact(F.array(*hits))
 
 
-def extracted_skills(lowered: Column, limit: int = MAX_EXTRACTED_SKILLS) -> Column:
-    """Known skills in dictionary order without their dots, cut to the first `limit`."""
-    found = F.slice(named_words(lowered, EXTRACTED_SKILLS), 1, limit)
+def extracted_skills(lowered: Column, limit: int | None = None) -> Column:
+    """Known skills in dictionary order without their dots, all of them or the first `limit`."""
+    found = named_words(lowered, EXTRACTED_SKILLS)
+    if limit is not None:
+        found = F.slice(found, 1, limit)
     return F.transform(found, lambda n: F.replace(n, F.lit("."), F.lit("")))
 
 

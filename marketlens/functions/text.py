@@ -72,12 +72,18 @@ def normalise(text: Column) -> Column:
     return F.regexp_replace(blanks, " {2,}", " ")
 
 
-def short_id(text: Column) -> Column:
-    return F.substring(F.md5(text), 1, 12)
+def short_id(text: Column, digits: int | None = None) -> Column:
+    """MD5 of a text in hex; the first `digits` only for showing, as they do not tell rows apart."""
+    return F.md5(text) if digits is None else F.left(F.md5(text), F.lit(digits))
+
+
+def shortened(text: Column, limit: int | None) -> Column:
+    """The first `limit` characters, or the whole text."""
+    return text if limit is None else F.left(text, F.lit(limit))
 
 
 def path_id(path: Column) -> Column:
-    """Trailing number of a path, else its short hash."""
+    """Trailing number of a path, else its hash."""
     number = F.regexp_extract(path, r"/(\d+)/?$", 1)
     return F.coalesce(truthy(number), short_id(path))
 
@@ -115,7 +121,6 @@ def unescape_entities(text: pd.Series) -> pd.Series:
     return text.map(unescape, na_action="ignore")
 
 
-def html_to_text(text: Column, limit: int | None = 2000) -> Column:
-    """Resolve entities, blank out tags, then cut to the feed's length limit."""
-    plain = strip_tags(unescape_entities(text))
-    return plain if limit is None else F.left(plain, F.lit(limit))
+def html_to_text(text: Column, limit: int | None = None) -> Column:
+    """Resolve entities, blank out tags; cut only where a limit is asked for."""
+    return shortened(strip_tags(unescape_entities(text)), limit)

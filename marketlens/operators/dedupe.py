@@ -1,5 +1,7 @@
 """Exact and content de-duplication; the first row in `order` survives."""
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marketlens.functions.text import normalise, strip
@@ -36,18 +38,21 @@ def dedupe_report(df: DataFrame, order: list[str]) -> DataFrame:
     ).withColumn("duplicates_removed", F.col("total_jobs") - F.col("unique_jobs"))
 
 
+# Legal suffixes of companies.
+LEGAL_SUFFIXES = ("inc.", "inc", "ltd.", "ltd", "corp.", "corp", "llc")
+
+
 def legal_name_key(title: str = "title", company: str = "company", city: str = "city") -> Column:
-    """Alternative key: first 16 digits of SHA-256 over title, company without its legal
+    """Alternative key: SHA-256 over title, company without its legal
     suffixes, and city."""
     t, co, ci = (strip(F.lower(F.coalesce(F.col(c), F.lit("")))) for c in (title, company, city))
     for noise in (" - remote", " (remote)"):
         t = F.replace(t, F.lit(noise), F.lit(""))
     t = strip(F.replace(t, F.lit("/"), F.lit(" ")))
-    # Legal suffixes; read from the end they come off in the order
-    # inc., inc, ltd., ltd, corp., corp, llc, each at most once.
-    suffixes = r"(?: llc)?(?: corp)?(?: corp\.)?(?: ltd)?(?: ltd\.)?(?: inc)?(?: inc\.)?\z"
-    co = F.regexp_replace(co, suffixes, "")
-    return F.left(F.sha2(F.concat_ws("|", t, strip(co), ci), 256), F.lit(16))
+    # From the end they come off in the order of the list, each at most once.
+    ends = "".join(f"(?: {re.escape(suffix)})?" for suffix in reversed(LEGAL_SUFFIXES))
+    co = F.regexp_replace(co, ends + r"\z", "")
+    return F.sha2(F.concat_ws("|", t, strip(co), ci), 256)
 
 
 def drop_repeated_legal_names(df: DataFrame, order: list[str]) -> DataFrame:

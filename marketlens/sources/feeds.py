@@ -10,7 +10,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketlens.functions import dates, location, remote, salary
-from marketlens.functions.text import first_truthy, html_to_text, short_id, strip, truthy
+from marketlens.functions.text import first_truthy, html_to_text, short_id, shortened, strip, truthy
 from marketlens.operators.quality import title_has_role_word
 from marketlens.operators.rows import with_parts
 from marketlens.schemas import POSTING
@@ -78,7 +78,7 @@ def _prefixed(source: str, native: Column) -> Column:
     return F.concat(F.lit(f"{source}_"), native)
 
 
-def adzuna(landed: DataFrame, as_of: date) -> DataFrame:
+def adzuna(landed: DataFrame, as_of: date, description_limit: int | None = None) -> DataFrame:
     df = _items(landed, ADZUNA_ITEM, ["results"]).select("city", "item.*")
     place = location.area_search_location(
         F.col("location.display_name"), F.col("location.area"), F.col("city")
@@ -103,7 +103,7 @@ def adzuna(landed: DataFrame, as_of: date) -> DataFrame:
         company=F.coalesce("company.display_name", F.lit("Unknown")),
         city=F.col("place.city"),
         province=F.col("place.province"),
-        description=F.left(description, F.lit(2000)),
+        description=shortened(description, description_limit),
         salary_min=low,
         salary_max=high,
         remote_type=remote.maybe_remote_type(description),
@@ -114,7 +114,7 @@ def adzuna(landed: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def jsearch(landed: DataFrame, as_of: date) -> DataFrame:
+def jsearch(landed: DataFrame, as_of: date, description_limit: int | None = None) -> DataFrame:
     df = _items(landed, JSEARCH_ITEM, ["data", "jobs", "results"]).select(
         F.col("city").alias("searched"), "item.*"
     )
@@ -151,7 +151,7 @@ def jsearch(landed: DataFrame, as_of: date) -> DataFrame:
             c("job_city"), c("city"), F.get_json_object(c("location"), "$.city"), c("searched")
         ),
         province=location.province_of_state(state),
-        description=F.left(c("text"), F.lit(2000)),
+        description=shortened(c("text"), description_limit),
         salary_min=low,
         salary_max=high,
         remote_type=remote.maybe_remote_type(
@@ -168,7 +168,7 @@ def jsearch(landed: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def rapidapi(landed: DataFrame, as_of: date) -> DataFrame:
+def rapidapi(landed: DataFrame, as_of: date, description_limit: int | None = None) -> DataFrame:
     df = _items(landed, RAPIDAPI_ITEM, ["data", "jobs"]).select(
         F.col("city").alias("searched"), "item.*"
     )
@@ -194,7 +194,7 @@ def rapidapi(landed: DataFrame, as_of: date) -> DataFrame:
         ),
         city=c("place.city"),
         province=c("place.province"),
-        description=F.left(c("text"), F.lit(1000)),
+        description=shortened(c("text"), description_limit),
         salary_min=c("pay.salary_min"),
         salary_max=c("pay.salary_max"),
         remote_type=remote.always_remote_type(c("text"), c("job_name")),
@@ -205,7 +205,9 @@ def rapidapi(landed: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def remoteok(landed: DataFrame, as_of: date, roles: list[str] = ()) -> DataFrame:
+def remoteok(
+    landed: DataFrame, as_of: date, roles: list[str] = (), description_limit: int | None = None
+) -> DataFrame:
     """The response is a list whose first entry describes the feed; `roles` filters titles."""
     entries = F.from_json("payload", f"array<{REMOTEOK_ITEM}>")
     c = F.col
@@ -232,7 +234,7 @@ def remoteok(landed: DataFrame, as_of: date, roles: list[str] = ()) -> DataFrame
         company=F.coalesce(truthy(strip(c("company"))), F.lit("Unknown")),
         city=c("place.city"),
         province=c("place.province"),
-        description=F.coalesce(html_to_text(c("description")), F.lit("")),
+        description=F.coalesce(html_to_text(c("description"), description_limit), F.lit("")),
         salary_min=F.lit(None),
         salary_max=F.lit(None),
         remote_type=F.lit("remote"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketlens.functions import location
 from marketlens.functions.dates import syndication_date
-from marketlens.functions.text import short_id, split_title_company, strip, truthy
+from marketlens.functions.text import short_id, shortened, split_title_company, strip, truthy
 from marketlens.operators.rows import with_parts
 from marketlens.schemas import POSTING
 
@@ -43,7 +43,8 @@ def parse_items(landed: DataFrame) -> DataFrame:
 
 
 def _normalised(
-    items: DataFrame, source: str, title: Column, company: Column, province: Column, as_of: date
+    items: DataFrame, source: str, title: Column, company: Column, province: Column, as_of: date,
+    description_limit: int | None,
 ) -> DataFrame:
     values = {
         "source": F.lit(source),
@@ -52,7 +53,7 @@ def _normalised(
         "company": company,
         "city": F.col("city"),
         "province": province,
-        "description": F.coalesce(F.left("summary", F.lit(500)), F.lit("")),
+        "description": F.coalesce(shortened(F.col("summary"), description_limit), F.lit("")),
         "posted_date": syndication_date(F.col("published"), as_of),
         "url": F.col("link"),
     }
@@ -62,17 +63,17 @@ def _normalised(
     )
 
 
-def indeed(items: DataFrame, as_of: date) -> DataFrame:
+def indeed(items: DataFrame, as_of: date, description_limit: int | None = None) -> DataFrame:
     """The company is the last ' - ' part of the title."""
     trimmed = items.withColumn("title", strip(F.col("title")))
     role, company = split_title_company(F.col("title"))
     province = location.province_of_city(F.col("city"))
-    return _normalised(trimmed, "indeed", role, company, province, as_of)
+    return _normalised(trimmed, "indeed", role, company, province, as_of, description_limit)
 
 
-def workopolis(items: DataFrame, as_of: date) -> DataFrame:
+def workopolis(items: DataFrame, as_of: date, description_limit: int | None = None) -> DataFrame:
     """The company is the item's source."""
     trimmed = items.withColumn("title", strip(F.col("title")))
     company = F.coalesce("source_title", F.lit("Unknown"))
     province = location.province_of_city_second_rss(F.col("city"))
-    return _normalised(trimmed, "workopolis", F.col("title"), company, province, as_of)
+    return _normalised(trimmed, "workopolis", F.col("title"), company, province, as_of, description_limit)

@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from marketlens.fixed_values import MAX_EXTRACTED_SKILLS
 from marketlens.functions import dates, experience, location, roles, salary, skills, text
 
 AS_OF = date(2026, 2, 20)
@@ -122,7 +123,9 @@ def test_skills(spark):
             "python", "java", "javascript", "typescript", "rust", "react", "angular", "vue", "sql", "aws",
         ],
     }
-    assert apply(spark, skills.extracted_skills, list(cases)) == list(cases.values())
+    ten = lambda text: skills.extracted_skills(text, MAX_EXTRACTED_SKILLS)
+    assert apply(spark, ten, list(cases)) == list(cases.values())
+    assert apply(spark, skills.extracted_skills, [list(cases)[-1]]) == [[*list(cases.values())[-1], "looker", "excel"]]
     lists = [["a", 'b"c'], [], None]
     assert apply(spark, skills.skills_json, lists, "array<string>") == ['["a", "b\\"c"]', "[]", None]
 
