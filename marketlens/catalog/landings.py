@@ -10,6 +10,7 @@ from marketlens.catalog.parsers import CITY, CODE, LONG, _column, _text
 from marketlens.catalog.registry import ORACLES, POSTINGS, POSTINGS_AND_FEATURES, QUERIES, query
 from marketlens.catalog.rules import CONTENT, ID_OK, REQUIRED_OK, _features, _first, _flat, _issues
 from marketlens.operators import quality, store
+from marketlens.operators.rows import first_per_key
 from marketlens.plans.refresh import Tables
 from marketlens.plans.views import bi_export
 from marketlens.schemas import JOBS_FEATURES, JOBS_RAW, POSTING
@@ -361,16 +362,17 @@ def _(fx):
 
 @query(
     "s13_patched_postings",
-    """SELECT id, CASE WHEN hit AND fits AND id % 2 = 0 THEN 'fresh ' || id ELSE description END AS description,
+    """SELECT id, description, salary_min, salary_max,
+      CAST((coalesce(salary_min, 0) + coalesce(salary_max, 0)) // 2 AS INT) AS salary_mid
+    FROM (SELECT id, CASE WHEN hit AND fits AND id % 2 = 0 THEN 'fresh ' || id ELSE description END AS description,
       CAST(CASE WHEN hit AND fits AND id % 5 = 0 THEN 52000 ELSE salary_min END AS INT) AS salary_min, salary_max
     FROM (SELECT *, id % 3 = 0 AND job_id = source || '_' || id AS hit,
       coalesce(salary_max >= CASE WHEN id % 5 = 0 THEN 52000 ELSE salary_min END, TRUE) AS fits FROM jobs_raw
-      WHERE job_id IN (SELECT job_id FROM jobs_raw GROUP BY job_id HAVING count(*) = 1)) p""",
+      QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY id) = 1) p) q""",
     POSTINGS,
 )
 def _(fx):
-    counts = fx.raw.groupBy("job_id").agg(F.count("*").alias("n")).where("n = 1").select("job_id")
-    raw = fx.raw.join(counts, "job_id", "left_semi")
+    raw = first_per_key(fx.raw, ["job_id"], ["id"])
     k = F.col("id")
     updates = raw.where(k % 3 == 0).where(
         F.col("job_id") == F.concat_ws("_", F.col("source"), k.cast("string"))
@@ -382,7 +384,7 @@ def _(fx):
     )
     first = updates.withColumn("step", F.lit(1)).withColumn("description", F.lit("stale"))
     both = first.where(k % 2 == 0).unionByName(updates.withColumn("step", F.lit(2)))
-    return store.patched_postings(raw, both, "step").select("id", "description", "salary_min", "salary_max")
+    return store.patched_postings(raw, both, "step").select("id", "description", "salary_min", "salary_max", "salary_mid")
 
 
 @query(

@@ -193,27 +193,30 @@ def upsert_features(new: DataFrame, path: str, schema: T.StructType, folders: in
 def patched_postings(raw: DataFrame, updates: DataFrame, order: str) -> DataFrame:
     """Postings with re-read descriptions and salaries.
 
-    Per posting the last non-empty description and the last known salary ends (by `order`) win;
-    a patch that would leave the ends reversed is dropped whole.
+    A posting's patches are applied one by one in their `order`: a non-empty description and known
+    salary ends replace the posting's, unless the ends would then be reversed or negative, in which
+    case that patch alone is refused. The middle of the salary follows its ends. A posting's patches
+    are gathered in one row: re-reads of one page, few by nature.
     """
-
-    def last(value: Column) -> Column:
-        return F.max_by(value, F.when(value.isNotNull(), F.col(order)))
-
-    latest = updates.groupBy("job_id").agg(
-        last(F.nullif(F.col("description"), F.lit(""))).alias("_description"),
-        last(F.col("salary_min")).alias("_min"),
-        last(F.col("salary_max")).alias("_max"),
-    )
-    joined = raw.join(latest, "job_id", "left")
-    low = F.coalesce("_min", "salary_min")
-    high = F.coalesce("_max", "salary_max")
-    fits = F.coalesce(high >= low, F.lit(True)) & F.coalesce(low >= 0, F.lit(True))
+    patch = F.struct(F.col(order).alias("place"), "description", F.col("salary_min").alias("low"), F.col("salary_max").alias("high"))
+    patches = updates.groupBy("job_id").agg(F.array_sort(F.collect_list(patch)).alias("_patches"))
+    joined = raw.join(patches, "job_id", "left")
+    begin = F.struct(F.col("description"), F.col("salary_min").alias("low"), F.col("salary_max").alias("high"))
+
+    def applied(so_far: Column, patch: Column) -> Column:
+        low, high = F.coalesce(patch["low"], so_far["low"]), F.coalesce(patch["high"], so_far["high"])
+        fits = F.coalesce(high >= low, F.lit(True)) & F.coalesce(low >= 0, F.lit(True))
+        text = F.coalesce(F.nullif(patch["description"], F.lit("")), so_far["description"])
+        return F.when(fits, F.struct(text.alias("description"), low.alias("low"), high.alias("high"))).otherwise(so_far)
+
+    final = F.when(F.col("_patches").isNull(), begin).otherwise(F.aggregate("_patches", begin, applied))
+    joined = joined.withColumn("_final", final)
     changed = {
-        "description": F.when(fits, F.coalesce("_description", "description")).otherwise(F.col("description")),
-        "salary_min": F.when(fits, low).otherwise(F.col("salary_min")),
-        "salary_max": F.when(fits, high).otherwise(F.col("salary_max")),
+        "description": F.col("_final.description"), "salary_min": F.col("_final.low"), "salary_max": F.col("_final.high"),
     }
+    if "salary_mid" in raw.columns:
+        patched = F.col("_patches").isNotNull()
+        changed["salary_mid"] = F.when(patched, salary_mid(F.col("_final.low"), F.col("_final.high"))).otherwise(F.col("salary_mid"))
     return joined.withColumns(changed).select(*raw.columns)
 
 

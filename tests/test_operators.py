@@ -186,6 +186,13 @@ def test_patch_that_reverses_the_salary_is_dropped(spark):
     )
     got = {r.job_id: tuple(r)[1:] for r in store.patched_postings(raw, updates, "step").collect()}
     assert got == {"a": ("old", 10000, 20000), "b": ("mid", 12000, 20000), "c": ("old", None, None)}
+    # A refused patch takes nothing of the others with it, and the middle follows the ends.
+    chain = spark.createDataFrame(
+        [("a", "first", 12000, None, 1), ("a", "refused", 99000, None, 2), ("a", "", None, 30000, 3)],
+        "job_id string, description string, salary_min int, salary_max int, step int",
+    )
+    (row,) = store.patched_postings(raw.withColumn("salary_mid", F.lit(0)).where("job_id = 'a'"), chain, "step").collect()
+    assert tuple(row)[1:] == ("first", 12000, 30000, 21000)
 
 
 def test_process_stores_features_once(spark, fx, tmp_path):

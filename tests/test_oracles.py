@@ -12,6 +12,8 @@ WITHOUT_SQL = {
     "d5_near_contents_of_parts", "d5_near_contents_of_postings",
     "f13_html_to_text", "s10_detail_of_pages",
 }
+# Nothing of the smallest tables meets what these ask for.
+EMPTY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +29,7 @@ def test_only_known_queries_lack_sql():
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_rows_agree(spark, con, name):
     problem = differences(spark, con, FOLDER, name)
-    assert problem in (None, "no rows")
+    assert problem is None or problem == "no rows" and name in EMPTY
 
 
 def test_entry(spark):
