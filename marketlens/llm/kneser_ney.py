@@ -31,6 +31,8 @@ BLOCK_BYTES = 16 << 20
 #: Twice the log of the likelihood ratio, and how many times the other share of texts, from which
 #: on an expression's counts are its model's own.
 TELLING, TIMES = 25.0, 20.0
+#: Share of the other model's texts that may have it: common expressions tell little in single texts.
+RARE = 0.001
 #: Bytes of the beginnings of words that are looked at, and the name of the whole word.
 WHOLE = 1 << 20
 LENGTHS = (WHOLE, 7, 6, 5, 4)
@@ -199,7 +201,8 @@ def learn_telling(training: DataFrame, vocabulary: Vocabulary, most: int = 2048)
     """Give the vocabulary the expressions that model 1's texts have far more often than model 0's.
 
     An expression is a word or the beginning of one; it tells when its likelihood ratio is at least
-    TELLING and its share of texts TIMES as high. `most` bounds what is collected.
+    TELLING and its share of texts TIMES as high, with at most
+    RARE of the other texts having it. `most` bounds what is collected.
     """
     sizes = {r.model: r.n for r in training.groupBy("model").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
@@ -215,7 +218,7 @@ def learn_telling(training: DataFrame, vocabulary: Vocabulary, most: int = 2048)
     x, y, both, n = F.col("x"), F.col("y"), F.col("x") + F.col("y"), n1 + n0
     ratio = 2 * (part(x, both * n1 / n) + part(y, both * n0 / n) + part(n1 - x, n1 - both * n1 / n) + part(n0 - y, n0 - both * n0 / n))
     found = counted.withColumn("ratio", ratio).where(
-        (F.col("ratio") >= TELLING) & ((x + 0.5) / (n1 + 1) >= TIMES * (y + 0.5) / (n0 + 1))
+        (F.col("ratio") >= TELLING) & ((x + 0.5) / (n1 + 1) >= TIMES * (y + 0.5) / (n0 + 1)) & (y <= RARE * n0)
     ).orderBy(F.desc("ratio"), "length", "word").limit(most).select("length", "word").toArrow()
     length, word = found.column("length").to_numpy(), found.column("word").to_numpy().view(np.uint64)
     vocabulary.telling = {k: np.sort(word[length == k]) for k in LENGTHS}
