@@ -10,11 +10,13 @@ bounded sum; a logistic curve fitted on labelled training documents turns it int
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm import kneser_ney
 from marketlens.llm.scratch import Scratch
+from marketlens.llm.words import Words, slices, windows
 
 #: Training documents of each class for the models, and as many again for the curve: the bounds.
 TRAINING_DOCS = 3000
@@ -27,6 +29,18 @@ def held_out(id_column: str = "doc_id") -> Column:
     return F.coalesce(fold == 0, F.lit(False))
 
 
+def _signed(batches):
+    """Texts with the smallest hash of their five-word windows: near copies mostly share it."""
+    for batch in batches:
+        for piece in slices(batch):
+            words = Words(piece.column("text"), fold=True)
+            hashes, first = words.hashes(), words.first
+            signs = [int(windows(hashes[a:b], min(5, b - a)).min()) if b > a else 0 for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("text"), piece.column("model"), pa.array(np.array(signs, np.uint64).view(np.int64))], ["text", "model", "sign"]
+            )
+
+
 def _fitted(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Weights of a logistic curve with both classes weighing the same, by Newton steps."""
     x = np.column_stack((x, np.ones(len(x))))
@@ -48,7 +62,7 @@ def score_toxicity(
 ) -> DataFrame:
     """(doc_id, mark, n_words, evidence, score, predicted, held_out) per row of `docs`.
 
-    Labels are learned only from documents that are not held out; nothing but texts enters a score.
+    Labels are learned only from documents that are not held out, of near copies mostly from one; nothing but texts enters a score.
     Scores are in 0 to 1; texts without words (null, empty) have the score of no evidence. Null and
     unlabelled ids are scored and not learned from; an id with both labels counts as toxic. With
     labels of one class only, or none, all scores are 0.5. Repeated rows get equal scores; `mark`
@@ -74,7 +88,10 @@ def score_toxicity(
     # A class too small to be halved is learned from and fitted on as a whole.
     halved = all(sizes.get((m, c), 0) >= 300 for m in (0, 1) for c in (False, True))
     learned = chosen.where("NOT curve") if halved else chosen
-    training = scratch.keep(rows.join(F.broadcast(learned), "doc_id").select("text", "model"), "training")
+    training = rows.join(F.broadcast(learned), "doc_id").select("text", F.col("model").cast("int").alias("model"))
+    # A group of near copies would make all its words look telling: one of them is enough.
+    training = training.mapInArrow(_signed, "text string, model int, sign long").dropDuplicates(["model", "sign"])
+    training = scratch.keep(training.select("text", "model"), "training")
     vocabulary = kneser_ney.learn_vocabulary(training, kneser_ney.VOCABULARY, fold=True, letters_only=True)
     kneser_ney.learn_telling(training, vocabulary)
     tables = scratch.keep(kneser_ney.train(training, vocabulary, 2, scratch), "tables")
