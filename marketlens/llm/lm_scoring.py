@@ -1,50 +1,56 @@
 """Masked pseudo-likelihood of documents under a small bidirectional window network.
 
 The network sees the words left and right of a masked one and predicts it: embeddings, one hidden
-layer, and a softmax in two steps (a class of words, then the word in its class). A document's score
+layer, and a softmax in two steps (a class of numbers, then the number in its class). The most
+frequent words have numbers of their own; all others share the number of their shape, and a third
+step gives the word within its shape: its share of the shape's uses in the corpus. A document's score
 is the sum of the log-probabilities of all its words, each predicted from both sides.
 
-Words are counted over the whole corpus. The network is trained in numpy on a fixed share of all
-documents, so what it learns from grows with the corpus: in each epoch every task goes on from the
-common weights over its own documents, and Spark averages the results. Weights and vocabulary are
-of a fixed size, which is all that is collected or broadcast.
+Words are counted over the whole corpus, and the table of their shares grows with its distinct
+words: it is sharded by word and joined. The network is trained in numpy on all documents: in each
+epoch every task goes on from the common weights over its own documents, and Spark averages the
+results. Weights and numbers are of a fixed size, which is all that is collected or broadcast.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.kneser_ney import SHAPES, Vocabulary, mark
+from marketlens.llm.kneser_ney import REPEATS, SHAPES, Vocabulary, mark
 from marketlens.llm.scratch import Scratch
 from marketlens.llm.words import Words, slices
 
 CLASSES, MEMBERS = 32, 32
-#: Words that have a number of their own; others go by their shape.
+#: Words that have a number of their own; others go by their shape, and their share of its uses.
 KNOWN = CLASSES * MEMBERS - SHAPES
 SIDE, EMBEDDED, HIDDEN = 2, 16, 24
 #: One document of so many is trained on.
-SHARE = 50
+SHARE = 1
 EPOCHS = 3
 BATCH = 256
 STEP = 0.05
 
 
-def _count(batches):
-    for batch in batches:
-        for piece in slices(batch):
-            hashes, uses = np.unique(Words(piece.column("text")).hashes(), return_counts=True)
-            yield pa.RecordBatch.from_pydict({"word": hashes.view(np.int64), "uses": uses.astype(np.int64)})
+#: The first number that stands for a shape: those before are for repetitions of the word before.
+FIRST_SHAPE = 1 + REPEATS
+NO_WORDS = Vocabulary(np.empty(0, np.uint64), False, False)
 
 
-def _count_numbers(batches, vocabulary: Vocabulary):
-    total = np.zeros(CLASSES * MEMBERS, np.int64)
+def _count(batches):
+    """Uses of each word and its shape's number; repetitions count for their numbers only."""
     for batch in batches:
         for piece in slices(batch):
-            total += np.bincount(vocabulary.numbers(Words(piece.column("text"))), minlength=len(total))
-    yield pa.RecordBatch.from_pydict({"number": np.arange(len(total), dtype=np.int32), "uses": total})
+            words = Words(piece.column("text"))
+            numbers = NO_WORDS.numbers(words)
+            names = np.where(numbers < FIRST_SHAPE, numbers.astype(np.uint64), words.hashes())
+            own, at, uses = np.unique(names, return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_pydict({
+                "word": own.view(np.int64), "number": numbers[at].astype(np.int32), "uses": uses.astype(np.int64)
+            })
 
 
 class Network:
@@ -74,10 +80,9 @@ class Network:
             self.weights[name] = flat[at : at + w.size].reshape(w.shape).astype(np.float32)
             at += w.size
 
-    def examples(self, column: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def examples(self, words: Words, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ranks of all words, of the words around each, the text of each, and words per text."""
-        words = Words(column)
-        ranks, counts = self.rank[vocabulary.numbers(words)], words.counts
+        ranks, counts = self.rank[numbers], words.counts
         owner = np.repeat(np.arange(len(counts)), counts)
         beyond, n = len(self.rank), len(ranks)
         around = np.full((n, 2 * SIDE), beyond)
@@ -109,28 +114,37 @@ class Network:
         return out
 
     def learn(self, ranks: np.ndarray, around: np.ndarray, squares: dict[str, np.ndarray]) -> None:
-        """One step of scaled gradient descent on a batch."""
+        """One step of scaled gradient descent on a batch; weights that it does not touch stay."""
+        order = np.argsort(ranks // MEMBERS, kind="stable")
+        ranks, around = ranks[order], around[order]
         w, n = self.weights, len(ranks)
         seen, hidden = self._forward(around)
-        own, member = ranks // MEMBERS, ranks % MEMBERS
-        grad = {k: np.zeros_like(v) for k, v in w.items()}
+        own, member, at = ranks // MEMBERS, ranks % MEMBERS, np.arange(n)
         p = _softmax(hidden @ w["cls"] + w["cls_bias"])
-        p[np.arange(n), own] -= 1
-        grad["cls"], grad["cls_bias"] = hidden.T @ p, p.sum(axis=0)
+        p[at, own] -= 1
         back = p @ w["cls"].T
-        for c in np.unique(own):
-            at = np.flatnonzero(own == c)
-            p = _softmax(hidden[at] @ w["member"][c] + w["member_bias"][c])
-            p[np.arange(len(at)), member[at]] -= 1
-            grad["member"][c], grad["member_bias"][c] = hidden[at].T @ p, p.sum(axis=0)
-            back[at] += p @ w["member"][c].T
+        grad = {"cls": (..., hidden.T @ p), "cls_bias": (..., p.sum(axis=0))}
+        begins = np.flatnonzero(np.diff(own, prepend=-1))
+        classes, parts = own[begins], [slice(x, y) for x, y in zip(begins, np.append(begins[1:], n))]
+        logits = w["member_bias"][own]
+        for c, part in zip(classes, parts):
+            logits[part] += hidden[part] @ w["member"][c]
+        p = _softmax(logits)
+        p[at, member] -= 1
+        grad["member"] = classes, np.stack([hidden[part].T @ p[part] for part in parts])
+        grad["member_bias"] = classes, np.add.reduceat(p, begins)
+        for c, part in zip(classes, parts):
+            back[part] += p[part] @ w["member"][c].T
         back *= 1 - hidden * hidden
-        grad["hidden"], grad["hidden_bias"] = seen.T @ back, back.sum(axis=0)
-        np.add.at(grad["embedding"], around.ravel(), (back @ w["hidden"].T).reshape(-1, EMBEDDED))
-        for name, g in grad.items():
-            g /= n
-            squares[name] += g * g
-            w[name] -= STEP * g / (np.sqrt(squares[name]) + 1e-6)
+        grad["hidden"], grad["hidden_bias"] = (..., seen.T @ back), (..., back.sum(axis=0))
+        order = np.argsort(around.ravel(), kind="stable")
+        entries = around.ravel()[order]
+        begins = np.flatnonzero(np.diff(entries, prepend=-1))
+        grad["embedding"] = entries[begins], np.add.reduceat((back @ w["hidden"].T).reshape(-1, EMBEDDED)[order], begins)
+        for name, (rows, g) in grad.items():
+            g = g / n
+            squares[name][rows] += g * g
+            w[name][rows] -= STEP * g / (np.sqrt(squares[name][rows]) + 1e-6)
 
 
 def _log_sum(logits: np.ndarray) -> np.ndarray:
@@ -149,7 +163,8 @@ def _train(batches, network: Network, vocabulary: Vocabulary, epoch: int):
     random, seen = np.random.default_rng(epoch), 0
     for batch in batches:
         for piece in slices(batch):
-            ranks, around, _, _ = network.examples(piece.column("text"), vocabulary)
+            words = Words(piece.column("text"))
+            ranks, around, _, _ = network.examples(words, vocabulary.numbers(words))
             order = random.permutation(len(ranks))
             for begin in range(0, len(order), BATCH):
                 at = order[begin : begin + BATCH]
@@ -159,23 +174,44 @@ def _train(batches, network: Network, vocabulary: Vocabulary, epoch: int):
     yield pa.RecordBatch.from_pydict({"entry": np.arange(-1, len(flat), dtype=np.int32), "value": np.concatenate(([float(seen)], flat))})
 
 
+SCORED = "row long, doc_id long, mark long, n_words long, log_probability double, words array<long>, uses array<int>"
+
+
 def _score(batches, network: Network, vocabulary: Vocabulary):
+    """Scores by the network, and the distinct words of each text that go by their shape."""
+    row = TaskContext.get().partitionId() << 33
     for batch in batches:
         for piece in slices(batch):
-            ranks, around, owner, counts = network.examples(piece.column("text"), vocabulary)
+            words = Words(piece.column("text"))
+            numbers = vocabulary.numbers(words)
+            ranks, around, owner, counts = network.examples(words, numbers)
             total = np.zeros(len(counts))
             for begin in range(0, len(ranks), 1 << 16):
                 at = slice(begin, begin + (1 << 16))
                 total += np.bincount(owner[at], network.log_probabilities(ranks[at], around[at]), len(counts))
+            shaped = np.flatnonzero((numbers >= FIRST_SHAPE) & (numbers < SHAPES))
+            names, texts = words.hashes()[shaped], owner[shaped]
+            order = np.lexsort((names, texts))
+            names, texts = names[order], texts[order]
+            new = np.ones(len(names), bool)
+            new[1:] = (names[1:] != names[:-1]) | (texts[1:] != texts[:-1])
+            starts = np.flatnonzero(new)
+            cuts = pa.array(np.searchsorted(texts[starts], np.arange(len(counts) + 1)).astype(np.int32))
             yield pa.RecordBatch.from_pydict({
-                "doc_id": piece.column("doc_id"), "mark": piece.column("mark"), "n_words": counts.astype(np.int64), "log_probability": total
+                "row": row + np.arange(len(counts)), "doc_id": piece.column("doc_id"), "mark": piece.column("mark"),
+                "n_words": counts.astype(np.int64), "log_probability": total,
+                "words": pa.ListArray.from_arrays(cuts, pa.array(names[starts].view(np.int64))),
+                "uses": pa.ListArray.from_arrays(cuts, pa.array(np.diff(np.append(starts, len(names))).astype(np.int32))),
             })
+            row += len(counts)
 
 
 def pseudo_likelihood(docs: DataFrame, share: int = SHARE, epochs: int = EPOCHS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, mark, n_words, log_probability) per row of `docs`.
 
-    Words are runs of bytes other than ASCII white space. One document of `share`, chosen by the
+    Words are runs of bytes other than ASCII white space. A word is predicted by its number, and
+    one without a number of its own by its share of the uses of its shape too; a word equal to the
+    one before it by the number of the repetition alone. One document of `share`, chosen by the
     hash of its id and text, is trained on; with none chosen the score is that of the words' shares
     in the corpus. Null and empty texts have no words and the score 0. Null ids and repeated rows
     are scored as they are; `mark` is a hash of the text. Other columns are ignored.
@@ -185,20 +221,21 @@ def pseudo_likelihood(docs: DataFrame, share: int = SHARE, epochs: int = EPOCHS,
     docs = docs.select(
         F.col(f"`{id_column}`").cast("long").alias("doc_id"), mark(text_column).alias("mark"), F.col(f"`{text_column}`").cast("string").alias("text")
     )
-    counted = docs.select("text").mapInArrow(_count, "word long, uses long").groupBy("word").agg(F.sum("uses").alias("uses"))
-    top = counted.orderBy(F.desc("uses"), "word").limit(KNOWN).toArrow()
-    vocabulary = Vocabulary(np.sort(top.column("word").to_numpy().view(np.uint64)), False, False)
-    training = docs.where(F.pmod(F.xxhash64("doc_id", "mark"), F.lit(share)) == 0).select("text")
-    training = scratch.keep(training, "training")
-    numbers = training.mapInArrow(lambda b: _count_numbers(b, vocabulary), "number int, uses long")
-    numbers = numbers.groupBy("number").agg(F.sum("uses").alias("uses")).toArrow()
+    counted = docs.select("text").mapInArrow(_count, "word long, number int, uses long").groupBy("word", "number").agg(F.sum("uses").alias("uses"))
+    counted = scratch.keep(counted, "words")
+    own = counted.where(F.col("number") >= FIRST_SHAPE)
+    top = own.orderBy(F.desc("uses"), "word").limit(KNOWN).toArrow()
+    words, shapes, uses = (top.column(c).to_numpy() for c in ("word", "number", "uses"))
+    order = np.argsort(words.view(np.uint64))
+    vocabulary = Vocabulary(words[order].view(np.uint64), False, False)
+    numbers = counted.groupBy("number").agg(F.sum("uses").alias("uses")).toArrow()  # a row per shape at most
     counts = np.zeros(CLASSES * MEMBERS, np.int64)
     counts[numbers.column("number").to_numpy()] = numbers.column("uses").to_numpy()
-    known = dict(zip(top.column("word").to_numpy().view(np.uint64).tolist(), top.column("uses").to_pylist()))
-    # Words of their own have their counts in the whole corpus, shapes those in the sample times its share.
-    counts *= share
-    for place, word in enumerate(vocabulary.hashes.tolist()):
-        counts[SHAPES + place] = known[word]
+    np.subtract.at(counts, shapes, uses)
+    counts[SHAPES : SHAPES + len(words)] = uses[order]
+    training = docs.select("text")
+    if share > 1:
+        training = scratch.keep(docs.where(F.pmod(F.xxhash64("doc_id", "mark"), F.lit(share)) == 0).select("text"), "training")
     network = Network(counts)
     for epoch in range(epochs):
         found = training.mapInArrow(lambda b, e=epoch: _train(b, network, vocabulary, e), "entry int, value double")
@@ -208,4 +245,16 @@ def pseudo_likelihood(docs: DataFrame, share: int = SHARE, epochs: int = EPOCHS,
         values[entry + 1] = value
         if values[0]:
             network.load(values[1:] / values[0])
-    return docs.mapInArrow(lambda b: _score(b, network, vocabulary), "doc_id long, mark long, n_words long, log_probability double")
+    scored = scratch.keep(docs.mapInArrow(lambda b: _score(b, network, vocabulary), SCORED), "scored")
+    if len(words) < KNOWN:
+        return scored.select("doc_id", "mark", "n_words", "log_probability")  # each word has a number of its own
+    # All words after the last one with a number, in the order of the numbers, go by their shapes.
+    last = (F.col("uses") == int(uses[-1])) & (F.col("word") > int(words[-1]))
+    totals = spark.createDataFrame([(k, int(n)) for k, n in enumerate(counts[:SHAPES])], "number int, total long")
+    shares = own.where((F.col("uses") < int(uses[-1])) | last).join(F.broadcast(totals), "number")
+    shares = shares.select("word", F.log(F.col("uses") / F.col("total")).alias("log_share"))
+    found = scored.select("row", F.explode(F.arrays_zip("words", "uses")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.uses").alias("n"))
+    within = found.join(shares.hint("merge"), "word").groupBy("row").agg(F.sum(F.col("n") * F.col("log_share")).alias("within"))
+    return scored.drop("words", "uses").join(within.hint("merge"), "row", "left").select(
+        "doc_id", "mark", "n_words", (F.col("log_probability") + F.coalesce("within", F.lit(0.0))).alias("log_probability")
+    )

@@ -285,6 +285,36 @@ def test_network_learns_and_scores_odd_rows(spark, odd_documents):
     assert lm_scoring.pseudo_likelihood(odd_documents.limit(0)).count() == 0
 
 
+def test_network_scores_words_and_not_their_shapes(spark):
+    """Before training a word's probability is its share of the corpus; random strings are not likely."""
+    random = np.random.default_rng(11)
+    own = [f"w{k}" for k in range(lm_scoring.KNOWN)]
+    rare = [f"rare{k}" for k in range(300)]
+    texts = [" ".join(own), " ".join(own[::-1]), " ".join(rare), " ".join(rare[:100] + rare[:50]), rare[7] + " " + rare[7]]
+    counts = {}
+    for t in texts:
+        for w in t.split():
+            counts[w] = counts.get(w, 0) + 1
+    counts[rare[7]] -= 1  # a repetition of the word before
+    rows = [(k, t) for k, t in enumerate(texts)] + [(3, texts[3])]
+    for w in texts[3].split():
+        counts[w] += 1
+    total = sum(counts.values()) + 1 + 0.5 * lm_scoring.CLASSES * lm_scoring.MEMBERS
+    # All words but the 764 most frequent ones have one shape and length, of which they are a share.
+    top = dict(sorted(counts.items(), key=lambda c: -c[1])[: lm_scoring.KNOWN])
+    found = lm_scoring.pseudo_likelihood(spark.createDataFrame(rows, "doc_id long, text string"), share=10**9, epochs=0).collect()
+    assert sorted(top.values())[0] == 2 and sum(c == 2 for c in counts.values()) > sum(c == 2 for c in top.values())
+    likely = {r.doc_id: r.log_probability / r.n_words for r in found}
+    assert likely[2] < np.log(4 / total) and all(np.isfinite(list(likely.values())))
+    assert found[3].log_probability == found[5].log_probability or len({r.log_probability for r in found if r.doc_id == 3}) == 1
+
+    docs = queries.table(spark, FOLDER, "documents").select("doc_id", "text")
+    noise = [(-k, " ".join("".join(chr(c) for c in random.integers(97, 123, random.integers(4, 9))) for _ in range(200))) for k in range(1, 21)]
+    rows = lm_scoring.pseudo_likelihood(docs.unionAll(spark.createDataFrame(noise, docs.schema)), epochs=1).where("n_words >= 20").collect()
+    real = [r.log_probability / r.n_words for r in rows if r.doc_id > 0]
+    assert max(r.log_probability / r.n_words for r in rows if r.doc_id < 0) < np.quantile(real, 0.05)
+
+
 def test_pipeline_stages(spark):
     """Each stage on its own input: columns stay, decisions take effect, clean documents stay."""
     docs = queries.table(spark, FOLDER, "documents").cache()
