@@ -7,7 +7,7 @@ and weights of theirs. All are dealt to shards by the middle word, and within by
 Documents never meet a whole model. A task turns its block of documents into trigrams, deals them
 to the same shards, sorted and packed, and each shard looks its trigrams up in its part of the
 counts and hands back one sum per document. Neither texts nor models are collected or broadcast;
-what is broadcast is the vocabulary, whose size is a parameter.
+what is broadcast is the vocabulary, whose size is a parameter, and the letters of unknown words.
 """
 
 from __future__ import annotations
@@ -38,8 +38,8 @@ WHOLE = 1 << 20
 LENGTHS = (WHOLE, 7, 6, 5, 4)
 
 # Kinds of bytes whose mixture is a word's shape. Words outside the vocabulary are
-# known by their shape and length only, a word equal to the one before it as a first, second or
-# later repetition.
+# known by their shape and length, and spelled by a model of letters where one is learned; a word
+# equal to the one before it is known as a first, second or later repetition.
 KIND = np.full(256, 16, np.uint8)
 KIND[ord("a") : ord("z") + 1] = 1
 KIND[ord("A") : ord("Z") + 1] = 2
@@ -51,6 +51,45 @@ SHAPES = 1 + REPEATS + 64 * 4
 
 EVENTS = "shard int, salt int, kind int, model int, key long, value float, block long, payload binary"
 TRIGRAM, CONTEXT, BIGRAM, MIDDLE = range(4)
+#: A letter is a byte, or the edge of a word (0); a key is a letter after those before it.
+LETTERS, LETTER_BITS, LETTER_ORDER = 257, 9, 5
+
+
+class Letters:
+    """Witten-Bell model of a word's bytes: probabilities of words, over all strings one in sum."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        """Distinct keys of the highest order and their counts."""
+        self.tables: list = []
+        for order in range(1, LETTER_ORDER + 1):
+            own, at = np.unique(keys & ((1 << (LETTER_BITS * order)) - 1), return_inverse=True)
+            uses = np.bincount(at, counts, len(own))
+            contexts, of, kinds = np.unique(own >> LETTER_BITS, return_inverse=True, return_counts=True)
+            total = np.bincount(of, uses, len(contexts)) + kinds
+            left = kinds / total
+            p = uses / total[of] + left[of] * self.probabilities(own)
+            self.tables.append(((own, p), (contexts, left)))
+
+    def probabilities(self, keys: np.ndarray) -> np.ndarray:
+        p = np.full(len(keys), 1 / LETTERS)
+        for order, (known, contexts) in enumerate(self.tables, 1):
+            own = keys & ((1 << (LETTER_BITS * order)) - 1)
+            p = _look_up(known, own, _look_up(contexts, own >> LETTER_BITS, 1.0) * p)
+        return p
+
+
+def letters_of(words: Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of each byte of the chosen words and of their ends, and the place of the word in `chosen`."""
+    begin, sizes = words.begin[chosen], words.end[chosen] - words.begin[chosen]
+    word = np.repeat(np.arange(len(chosen)), sizes + 1)
+    place = np.arange(len(word)) - np.repeat(np.cumsum(sizes + 1) - sizes - 1, sizes + 1)
+    letter = np.zeros(len(word), np.int64)
+    inside = place < sizes[word]
+    letter[inside] = words.data[(begin[word] + place)[inside]].astype(np.int64) + 1
+    keys = letter.copy()
+    for back in range(1, LETTER_ORDER):
+        keys[back:] |= np.where(place[back:] >= back, letter[:-back], 0) << (LETTER_BITS * back)
+    return keys, word
 
 
 @dataclass
@@ -64,6 +103,24 @@ class Vocabulary:
     #: so that a word goes by its shortest telling beginning.
     telling: dict[int, np.ndarray] = field(default_factory=dict)
     unigrams: list[np.ndarray] = field(default_factory=list)
+    #: How words that go by their shapes are spelled: the training texts' own by their share there
+    #: (hashes, log-probabilities), with the log of what is left for all strings of letters.
+    letters: Letters | None = None
+    rare: tuple[np.ndarray, np.ndarray] = (np.empty(0, np.uint64), np.empty(0))
+    left: float = 0.0
+
+    def spelled(self, words: Words, numbers: np.ndarray) -> np.ndarray:
+        """Per text, the log-probability of its words where they go by their shapes."""
+        chosen = np.flatnonzero((numbers > REPEATS) & (numbers < SHAPES))
+        if self.letters is None or not len(chosen):
+            return np.zeros(len(words.counts))
+        names, first, same = np.unique(words.hashes()[chosen], return_index=True, return_inverse=True)
+        keys, word = letters_of(words, chosen[first])
+        keys, at = np.unique(keys, return_inverse=True)
+        each = self.left + np.bincount(word, np.log(self.letters.probabilities(keys))[at])
+        each = np.logaddexp(_look_up(self.rare, names, -np.inf), each)
+        owner = np.repeat(np.arange(len(words.counts)), words.counts)
+        return np.bincount(owner[chosen], each[same], len(words.counts))
 
     def numbers(self, words: Words) -> np.ndarray:
         hashes = words.hashes()
@@ -107,7 +164,11 @@ def _renumber(out: np.ndarray, hashes: np.ndarray, known: np.ndarray, base: int)
 def trigrams(column: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(key, text) of each word with the two before it, and the number of words of each text."""
     words = Words(column, vocabulary.fold, vocabulary.letters_only)
-    numbers, counts = vocabulary.numbers(words), words.counts
+    return trigrams_of(words, vocabulary.numbers(words))
+
+
+def trigrams_of(words: Words, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    counts = words.counts
     owner = np.repeat(np.arange(len(counts)), counts)
     place = np.arange(len(numbers)) - np.repeat(words.first[:-1], counts)
     before = np.concatenate(([START], numbers[:-1])) if len(numbers) else numbers
@@ -151,6 +212,37 @@ def learn_vocabulary(training: DataFrame, size: int, fold: bool, letters_only: b
     return Vocabulary(hashes, fold, letters_only)
 
 
+def _count_letters(batches, vocabulary: Vocabulary):
+    for batch in batches:
+        for piece in slices(batch):
+            words = Words(piece.column("text"), vocabulary.fold, vocabulary.letters_only)
+            numbers = vocabulary.numbers(words)
+            keys, uses = np.unique(letters_of(words, np.flatnonzero((numbers > REPEATS) & (numbers < SHAPES)))[0], return_counts=True)
+            yield pa.RecordBatch.from_pydict({"key": keys, "uses": uses.astype(np.int64)})
+
+
+def _count_rare(batches, vocabulary: Vocabulary):
+    for batch in batches:
+        for piece in slices(batch):
+            words = Words(piece.column("text"), vocabulary.fold, vocabulary.letters_only)
+            numbers = vocabulary.numbers(words)
+            hashes, uses = np.unique(words.hashes()[(numbers > REPEATS) & (numbers < SHAPES)], return_counts=True)
+            yield pa.RecordBatch.from_pydict({"word": hashes.view(np.int64), "uses": uses.astype(np.int64)})
+
+
+def learn_letters(training: DataFrame, vocabulary: Vocabulary) -> None:
+    """Give the vocabulary all other words of the training texts, and their letters for the rest."""
+    counted = training.select("text").mapInArrow(lambda b: _count_rare(b, vocabulary), "word long, uses long")
+    found = counted.groupBy("word").agg(F.sum("uses").alias("uses")).toArrow()  # bounded by the training texts
+    words, uses = found.column("word").to_numpy().view(np.uint64), found.column("uses").to_numpy()
+    order, total = np.argsort(words), max(uses.sum() + len(uses), 1)
+    vocabulary.rare = words[order], np.log(uses[order] / total)
+    vocabulary.left = float(np.log(max(len(uses), 1) / total))
+    counted = training.select("text").mapInArrow(lambda b: _count_letters(b, vocabulary), "key long, uses long")
+    found = counted.groupBy("key").agg(F.sum("uses").alias("uses")).toArrow()  # bounded by the training texts
+    vocabulary.letters = Letters(found.column("key").to_numpy(), found.column("uses").to_numpy())
+
+
 def _discounts(counts: DataFrame) -> DataFrame:
     """Modified Kneser-Ney discounts d1, d2, d3 of each model from its counts of counts."""
     n = counts.groupBy("model").agg(*[F.sum(F.when(F.col("c") == k, 1).otherwise(0)).alias(f"n{k}") for k in range(1, 5)])
@@ -302,9 +394,12 @@ def _events(batches, vocabulary: Vocabulary, salts: int):
 
     def rows():
         block = (part << 32) + count
-        keys, owners, docs, marks, counts, base = [], [], [], [], [], 0
+        keys, owners, docs, marks, counts, spelled, base = [], [], [], [], [], [], 0
         for piece in held:
-            key, owner, own = trigrams(piece.column("text"), vocabulary)
+            words = Words(piece.column("text"), vocabulary.fold, vocabulary.letters_only)
+            numbers = vocabulary.numbers(words)
+            key, owner, own = trigrams_of(words, numbers)
+            spelled.append(vocabulary.spelled(words, numbers))
             keys.append(key)
             owners.append(owner + base)
             counts.append(own)
@@ -320,6 +415,7 @@ def _events(batches, vocabulary: Vocabulary, salts: int):
         head = pack(
             np.array([d or 0 for d in docs], np.int64), np.array([d is not None for d in docs], bool),
             np.array(marks, np.int64), np.concatenate(counts).astype(np.int64),
+            np.concatenate(spelled),
         )
         out = [{"shard": -1 - block % 1024, "salt": 0, "kind": 9, "model": 0, "key": 0, "value": 0.0, "block": block, "payload": head}]
         for k in range(MIDDLES * FIRSTS):
@@ -398,9 +494,10 @@ def _collect(batches, models: int):
     current, head, sums = None, None, None
 
     def rows():
-        docs, valid, marks, counts = head
+        docs, valid, marks, counts, spelled = head
         docs, valid = np.frombuffer(docs, np.int64), np.frombuffer(valid, bool)
         own = sums if sums is not None else np.zeros((models, len(docs)))
+        own = own + np.frombuffer(spelled, np.float64)
         flat = pa.ListArray.from_arrays(pa.array(np.arange(len(docs) + 1, dtype=np.int32) * models), pa.array(own.T.ravel()))
         return pa.RecordBatch.from_pydict({
             "doc_id": pa.array(docs, pa.int64(), mask=~valid), "mark": np.frombuffer(marks, np.int64),

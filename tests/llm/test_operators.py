@@ -248,6 +248,31 @@ def test_quality_separates_labelled_documents(spark):
     assert np.mean(good) > 0.95 and np.mean(bad) < 0.2
 
 
+def test_quality_rejects_gibberish(spark):
+    """Words that nobody knows are no better than clean text because their shapes are frequent."""
+    folder = "/root/testdata/sf0.01"
+    docs, random = queries.table(spark, folder, "documents"), np.random.default_rng(4)
+    noise = [" ".join("".join(chr(c) for c in random.integers(97, 123, random.integers(4, 9))) for _ in range(150)) for _ in range(20)]
+    planted = spark.createDataFrame([(-1 - k, t, lang) for k, t in enumerate(noise) for lang in ("en", None)], "doc_id long, text string, lang string")
+    found = quality.classify(docs.select("doc_id", "text", "lang").unionAll(planted), queries.table(spark, folder, "labels"))
+    rows = found.where("n_words > 0").collect()
+    typical = np.median([r.perplexity for r in rows if r.doc_id >= 0])
+    assert sum(r.kept for r in rows if r.doc_id < 0) == 0 and min(r.perplexity for r in rows if r.doc_id < 0) > typical
+
+
+def test_letters_sum_to_one():
+    import pyarrow as pa
+
+    words = Words(pa.array(["ab abc b", None, "ca \u00e9"]))
+    keys, word = kneser_ney.letters_of(words, np.arange(5))
+    assert np.bincount(word).tolist() == [3, 4, 2, 3, 3]
+    letters = kneser_ney.Letters(*np.unique(keys, return_counts=True))
+    for context in (0, 98, 98 << 9 | 99, 5 << 9 | 7):
+        assert letters.probabilities(np.arange(257) | context << 9).sum() == pytest.approx(1)
+    none = kneser_ney.Letters(np.empty(0, np.int64), np.empty(0, np.int64))
+    assert none.probabilities(np.arange(257)).sum() == pytest.approx(1)
+
+
 def test_quality_on_odd_rows(spark, odd_documents):
     labels = spark.createDataFrame([(3, 1, 0), (9, 1, 0), (5, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     assert quality.classify(odd_documents, labels).count() == odd_documents.count()
