@@ -101,8 +101,9 @@ def symbols_of(hashes: np.ndarray, first: np.ndarray, width: int):
     chosen_begin, chosen_end = np.arange(len(hashes)), np.arange(len(hashes)) + 1
     out = []
     symbols, track = Symbols(hashes, first), True
+    some_words = np.count_nonzero(np.diff(first))
     for round_ in range(MOST_ROUNDS):
-        if len(symbols) <= len(first) - 1:
+        if len(symbols) <= some_words:  # every text that has words is one symbol
             break
         known = symbols.end - symbols.begin
         if round_ % RUN_EVERY == 0:

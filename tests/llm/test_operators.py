@@ -191,6 +191,21 @@ def test_every_window_has_a_symbol_of_its_own():
                 assert all(open_.get(i + width // 2) for i in places)
 
 
+def test_symbols_do_not_depend_on_empty_texts():
+    """A passage has the same names in a batch filled with empty texts as in one without."""
+    import pyarrow as pa
+
+    random = np.random.default_rng(6)
+    texts = [" ".join(f"w{k}" for k in random.integers(0, 10**6, 60)) for _ in range(20)]
+
+    def names(column):
+        words = Words(pa.array(column))
+        name, _, _, _, verifying = substring_dedup.symbols_of(words.hashes(), words.first.astype(np.int64), 35)
+        return sorted(zip(name.tolist(), verifying.tolist()))
+
+    assert names(texts + [None, ""] * 5000) == names([""] * 9000 + texts) == names(texts)
+
+
 def test_vectors_on_odd_rows(spark):
     random = np.random.default_rng(2)
     base = random.normal(size=(6, 8))
