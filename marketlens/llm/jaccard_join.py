@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.components import connected
+from marketlens.llm.kneser_ney import mark as text_mark
 from marketlens.llm.scratch import Scratch
 from marketlens.llm.words import ODD, Words, mixed, slices, windows
 
@@ -118,6 +119,7 @@ def _prefixes(width: int, percent: int, rank):
                 ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": piece.column("doc_id"),
+                    "mark": piece.column("mark"),
                     "n_shingles": sizes.astype(np.int64),
                     "class": class_ids(hashes, first),
                     "prefix": pa.ListArray.from_arrays(pa.array(ends), pa.array(kept.view(np.int64))),
@@ -249,10 +251,13 @@ def _linked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
 
 
 def near_duplicate_components(
-    docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text", marks: bool = False
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_class): one row per row of `docs`.
 
+    With `marks` also mark, a hash of the text, and component, a key of the component that is null
+    only where the set is empty: they tell rows of equal or null id apart.
+
     Words are runs of bytes other than ASCII white space, A-Z in lower case; a set holds the
     distinct `width`-word shingles, or the whole sequence where there are fewer words. Rows link
     when 100 |A & B| >= percent |A | B|. component_id is the smallest id that links reach, the
@@ -265,10 +270,12 @@ def near_duplicate_components(
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
-    docs = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text_column}`").cast("string").alias("text"))
+    docs = docs.select(
+        F.col(f"`{id_column}`").cast("long").alias("doc_id"), text_mark(text_column).alias("mark"), F.col(f"`{text_column}`").cast("string").alias("text")
+    )
     rank = spark.sparkContext.broadcast(_frequency(docs, width))
     rows = scratch.keep(
-        docs.mapInArrow(_prefixes(width, percent, rank), "doc_id long, n_shingles long, class long, prefix array<long>"), "rows"
+        docs.mapInArrow(_prefixes(width, percent, rank), "doc_id long, mark long, n_shingles long, class long, prefix array<long>"), "rows"
     )
     distinct = rows.where("n_shingles > 0").dropDuplicates(["class"]).select("class", F.col("n_shingles").cast("int").alias("n"), "prefix")
     distinct = scratch.keep(distinct, "distinct")
@@ -297,11 +304,11 @@ def near_duplicate_components(
     classes = rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_class"))
     of = classes.join(component.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     least_of = of.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = of.join(least_of, "component").select("class", "component_id", "n_class")
+    named = of.join(least_of, "component").select("class", "component", "component_id", "n_class")
     return rows.drop("prefix").join(named, "class", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("n_class", F.lit(1)).alias("n_class"),
+        F.coalesce("n_class", F.lit(1)).alias("n_class"), *(["mark", "component"] if marks else []),
     )
 
 

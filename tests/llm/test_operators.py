@@ -355,6 +355,24 @@ def test_network_scores_words_and_not_their_shapes(spark):
     assert max(r.log_probability / r.n_words for r in rows if r.doc_id < 0) < np.quantile(real, 0.05)
 
 
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    """A near copy goes alone: rows that share its id or its lack of one stay."""
+    random = np.random.default_rng(8)
+    a, b, c, d, e = (" ".join(f"{x}{k}" for k in random.integers(0, 10**6, 60)) for x in "abcde")
+    rows = [
+        (3, a), (None, a + " end"), (None, b), (None, c), (None, c + " end"), (7, a + " last"), (7, d), (8, e), (8, e), (9, e + " x"),
+        (8, e + " y"), (None, None), (10, ""), (None, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.ngram_jaccard_join(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(kept) == len(set(kept))
+    fixed = {(3, a), (None, b), (7, d), (None, None), (10, "")}
+    assert fixed <= set(kept) and len(kept) == len(fixed) + 2
+    assert len({(None, c), (None, c + " end")} & set(kept)) == 1 and len({(8, e), (8, e + " y")} & set(kept)) == 1
+
+
 def test_pipeline_stages(spark):
     """Each stage on its own input: columns stay, decisions take effect, clean documents stay."""
     docs = queries.table(spark, FOLDER, "documents").cache()
