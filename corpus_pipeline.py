@@ -43,9 +43,9 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any ten words of a benchmark item."""
+    """Documents without any ten words of a benchmark item, or the whole of a shorter one."""
     benchmark = queries.table(spark, sf_dir, "benchmark")
-    found = decontaminate.find_contamination(docs, benchmark, short_items=False)
+    found = decontaminate.find_contamination(docs, benchmark)
     return found.where("n_hit = 0").select("row.*").select(docs.columns)
 
 

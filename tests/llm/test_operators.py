@@ -373,6 +373,14 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
     assert len({(None, c), (None, c + " end")} & set(kept)) == 1 and len({(8, e), (8, e + " y")} & set(kept)) == 1
 
 
+def test_short_benchmark_items_are_found_whole(spark, tmp_path):
+    items = [(1, "what is the boiling point"), (2, "it melts"), (3, "one two three four five six seven eight nine ten eleven")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    texts = ["He asked: What is the boiling point of tin?", "what is the melting point", "then it melts away", "it never melts", "two three four five six seven eight nine ten eleven", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path)).collect()) == [1, 3, 5]
+
+
 def test_pipeline_stages(spark):
     """Each stage on its own input: columns stay, decisions take effect, clean documents stay."""
     docs = queries.table(spark, FOLDER, "documents").cache()
