@@ -26,3 +26,8 @@ def pieces(docs, valid, sizes, sequence, ids, texts, end):
         "doc_id": pa.array(docs, pa.int64(), mask=~valid), "n_tokens": pa.array(n_tokens, pa.int64()),
         "ids_sha256": ids_hash, "decoded_sha256": text_hash,
     })
+
+
+def sha256(text: str) -> str:
+    """Lowercase hex of the text's hash; nothing for no text."""
+    return hashlib.sha256(text.encode()).hexdigest() if text else ""

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import decontaminate, digests, embedding_dedup, jaccard_join, line_dedup, lm_scoring, pieces, quality, substring_dedup, token_output, toxicity
+from marketlens.llm import (
+    centroids, decontaminate, digests, embedding_dedup, exact_dedup, jaccard_join, line_dedup, lm_scoring, pieces, quality, substring_dedup,
+    token_alignment, token_output, toxicity,
+)
 from marketlens.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,6 +183,50 @@ def op10(spark, folder):
     return found.select("doc_id", "n_words", "log_probability", F.when(F.col("n_words") > 0, F.col("log_probability") / F.col("n_words")).alias("per_word"))
 
 
+@query(
+    "op11_exact_dedup",
+    r"""WITH contents AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS c FROM documents),
+ranked AS (SELECT doc_id, c, count(*) OVER (PARTITION BY c) AS group_size,
+    row_number() OVER same AS place, first_value(doc_id) OVER same AS keep_id
+  FROM contents WINDOW same AS (PARTITION BY c ORDER BY length(t) DESC, doc_id))
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(c) AS text_sha256 FROM ranked""",
+)
+def op11(spark, folder):
+    return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
+
+
+@query("op12_token_alignment")
+def op12(spark, folder):
+    vocabularies = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    found, _ = token_alignment.align_tokens(table(spark, folder, "documents"), *vocabularies, report=digests.sha256)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def clustering_sql(k: int = 40, rounds: int = 5, seed: int = 2) -> str:
+    """Each round as two steps: vectors to their nearest centroid, centroids to their vectors' mean."""
+    steps = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), v) - 1 AS cluster, v AS c FROM v
+  ORDER BY sha256('{seed}:' || vec_id), v LIMIT {k})"""]
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} AS MATERIALIZED (SELECT r, min({{'distance': CAST(list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT),
+    'cluster': cluster}}) AS m FROM v, c{n} GROUP BY r)""")
+        if n < rounds:
+            steps.append(f"""s{n} AS (SELECT m.cluster AS cluster, d, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+  FROM (SELECT m, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM v JOIN a{n} USING (r)) GROUP BY ALL),
+c{n + 1} AS MATERIALIZED (SELECT cluster, coalesce(moved.c, c{n}.c) AS c FROM c{n}
+  LEFT JOIN (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY d) AS c FROM s{n} GROUP BY cluster) moved USING (cluster))""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, CAST(m.cluster AS INTEGER) AS cluster, m.distance AS distance, CAST(sum(m.distance) OVER (PARTITION BY m.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(m.distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM v JOIN a{rounds} USING (r) JOIN c{rounds} ON m.cluster = c{rounds}.cluster"""
+
+
+@query("op13_centroid_clustering", clustering_sql())
+def op13(spark, folder):
+    return centroids.clusters_with_digests(table(spark, folder, "embeddings"))
+
+
 @query("pipeline")
 def pipeline(spark, folder):
     # The stages import this module for its tables.

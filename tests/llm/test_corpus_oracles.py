@@ -8,7 +8,7 @@ from marketlens.llm import queries
 FOLDER = "/root/testdata/sf0.001"
 # No SQL can say these; tests beside this one hold them against the libraries or held-out rows.
 WITHOUT_SQL = {
-    "op1_quality_classifier", "op3_sentencepiece", "op4_token_binary_output", "op5_toxicity", "op10_lm_scoring", "pipeline",
+    "op1_quality_classifier", "op3_sentencepiece", "op4_token_binary_output", "op5_toxicity", "op10_lm_scoring", "op12_token_alignment", "pipeline",
 }
 
 
