@@ -1,18 +1,21 @@
 """Feeds, pages, stores and the ingest stream, over payloads derived from the postings."""
 
 import uuid
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
 from marketlens.catalog.fixture import AS_OF, duck_with
+from marketlens.catalog.overviews import LISTED, NEWEST, PLAUSIBLE
 from marketlens.catalog.parsers import CITY, CODE, LONG, _column, _text
 from marketlens.catalog.registry import ORACLES, POSTINGS, POSTINGS_AND_FEATURES, QUERIES, query
 from marketlens.catalog.rules import CONTENT, ID_OK, REQUIRED_OK, _features, _first, _flat, _issues
-from marketlens.operators import quality, store
+from marketlens.operators import quality, rolling, search_index, store
 from marketlens.operators.rows import first_per_key
+from marketlens.operators.versioned import VersionedTable
+from marketlens.plans import refresh, search
 from marketlens.plans.refresh import Tables
-from marketlens.plans.views import bi_export
+from marketlens.plans.views import bi_export, is_flexible
 from marketlens.schemas import JOBS_FEATURES, JOBS_RAW, POSTING
 from marketlens.session import shared_folder
 from marketlens.sources import feeds, html, rss
@@ -342,6 +345,36 @@ def _(fx):
     )
 
 
+@query(
+    "s14_replayed_runs",
+    f"""SELECT 'first' AS run_id, CAST((SELECT count(*) FROM {STORED}) AS INT) AS jobs_collected,
+      CAST((SELECT count(DISTINCT job_id) FROM {STORED}) AS INT) AS jobs_valid, 'completed' AS status
+    UNION ALL SELECT 'second', CAST((SELECT count(*) FROM jobs_raw) AS INT), CAST((SELECT count(*) FROM ({NEW_POSTINGS}) p) AS INT), 'completed'""",
+    POSTINGS,
+)
+def _(fx):
+    """Each run is repeated, as after a failure; the counts are those of the first time."""
+    table, metrics = _folder(fx, "raw"), _folder(fx, "metrics")
+    early = fx.raw.where(F.col("source") == "adzuna")
+    for run, batch in (("first", early), ("first", early), ("second", fx.raw), ("second", fx.raw), ("first", early)):
+        store.insert_postings(batch, table, ["id"], metrics, "all", run, datetime(2026, 2, 20))
+    return store.read_runs(fx.spark, metrics).select("run_id", "jobs_collected", "jobs_valid", "status")
+
+
+@query(
+    "s11_stored_keys",
+    f"""SELECT job_id, min(id) AS id FROM jobs_raw WHERE id % 20 = 0 AND job_id IN (SELECT job_id FROM {STORED}) GROUP BY job_id""",
+    POSTINGS,
+)
+def _(fx):
+    """Keys of a batch that are stored, looked up in the pieces they fall into."""
+    table = VersionedTable(fx.spark, _folder(fx, "raw"), JOBS_RAW, piece_rows=500)
+    stored = first_per_key(fx.raw.where(F.col("source") == "adzuna"), ["job_id"], ["id"])
+    table.append(stored, expected_rows=stored.count())
+    batch = fx.raw.where("id % 20 = 0")
+    return batch.join(table.lookup(batch, ["job_id"]), "job_id", "left_semi").groupBy("job_id").agg(F.min("id").alias("id"))
+
+
 @query(
     "s12_upserted_features",
     """SELECT job_id, CASE WHEN exp_level = 'mid' THEN exp_min ELSE coalesce(exp_min, 9) END AS exp_min,
@@ -353,8 +386,8 @@ def _(fx):
     table = _folder(fx, "features")
     rows = fx.features.withColumn("extracted_at", F.lit(None).cast("timestamp_ntz")).select(*JOBS_FEATURES.names)
     older = rows.where(F.col("exp_level") != "mid").withColumn("exp_min", F.coalesce("exp_min", F.lit(9)))
-    store.upsert_features(older, table, JOBS_FEATURES, folders=8)
-    store.upsert_features(rows, table, JOBS_FEATURES, folders=8)
+    store.upsert_features(older, table, JOBS_FEATURES)
+    store.upsert_features(rows, table, JOBS_FEATURES)
     return store.read_table(fx.spark, table, JOBS_FEATURES).select(
         "job_id", "exp_min", "exp_max", "exp_level"
     )
@@ -373,6 +406,14 @@ def _(fx):
 )
 def _(fx):
     raw = first_per_key(fx.raw, ["job_id"], ["id"])
+    return store.patched_postings(raw, _patches(raw), "step").select(*PATCHED)
+
+
+PATCHED = ["id", "description", "salary_min", "salary_max", "salary_mid"]
+
+
+def _patches(raw):
+    """Two patches for some postings, one for others; some with nothing to change, some refused."""
     k = F.col("id")
     updates = raw.where(k % 3 == 0).where(
         F.col("job_id") == F.concat_ws("_", F.col("source"), k.cast("string"))
@@ -383,8 +424,36 @@ def _(fx):
         F.lit(None).cast("int").alias("salary_max"),
     )
     first = updates.withColumn("step", F.lit(1)).withColumn("description", F.lit("stale"))
-    both = first.where(k % 2 == 0).unionByName(updates.withColumn("step", F.lit(2)))
-    return store.patched_postings(raw, both, "step").select("id", "description", "salary_min", "salary_max", "salary_mid")
+    return first.where(k % 2 == 0).unionByName(updates.withColumn("step", F.lit(2)))
+
+
+def _patched_table(fx):
+    """A stored table of postings after the patches, and what the patch reported."""
+    table = VersionedTable(fx.spark, _folder(fx, "raw"), JOBS_RAW)
+    raw = first_per_key(fx.raw, ["job_id"], ["id"])
+    table.append(raw, order=store.ORDER)
+    unknown = raw.where("id % 50 = 0").select(F.concat(F.lit("no-"), "job_id").alias("job_id"), "id", "description", "salary_min", "salary_max", F.lit(1).alias("step"))
+    return table, store.patch_postings(_patches(raw).unionByName(unknown), table.path, "step")
+
+
+@query("s13_stored_patches", ORACLES["s13_patched_postings"].removeprefix(duck_with(*POSTINGS)).strip(), POSTINGS)
+def _(fx):
+    table, _ = _patched_table(fx)
+    return table.read().select(*PATCHED)
+
+
+@query(
+    "s13_patch_report",
+    """SELECT job_id, TRUE AS found, fits AND (id % 2 = 0 OR (id % 5 = 0 AND salary_min IS DISTINCT FROM 52000)) AS changed
+    FROM (SELECT *, coalesce(salary_max >= CASE WHEN id % 5 = 0 THEN 52000 ELSE salary_min END, TRUE) AS fits FROM jobs_raw
+      WHERE id % 3 = 0 AND job_id = source || '_' || id QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY id) = 1) p
+    UNION ALL SELECT 'no-' || job_id, FALSE, FALSE FROM jobs_raw WHERE id % 50 = 0
+      QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY id) = 1""",
+    POSTINGS,
+)
+def _(fx):
+    _, report = _patched_table(fx)
+    return report
 
 
 @query(
@@ -396,15 +465,149 @@ def _(fx):
 def _(fx):
     table = _folder(fx, "export")
     store.write_export(bi_export(fx.raw, fx.features, AS_OF), table)
-    written = fx.spark.read.parquet(table)
-    return written.select("job_id", "posted_date", F.col("posted_month").cast("string").alias("posted_month"))
+    return store.export_table(fx.spark, table).read().select("job_id", "posted_date", "posted_month")
+
+
+@query(
+    "s16_refreshed_export",
+    """SELECT job_id, posted_date, exp_level, strftime(posted_date, '%Y-%m') AS posted_month
+    FROM (SELECT * FROM jobs_raw QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY id) = 1) r
+    LEFT JOIN jobs_features jf USING (job_id) WHERE posted_date >= DATE '2026-01-21'""",
+    POSTINGS_AND_FEATURES,
+)
+def _(fx):
+    """Built for an earlier day without some postings and features, then brought up to date."""
+    tables = Tables(*[_folder(fx, n) for n in ("raw", "features", "export", "metrics")])
+    raw, features = VersionedTable(fx.spark, tables.raw, JOBS_RAW), VersionedTable(fx.spark, tables.features, JOBS_FEATURES)
+    rows, found = first_per_key(fx.raw, ["job_id"], ["id"]), first_per_key(fx.features, ["job_id"], ["job_id"])
+    found = found.withColumn("extracted_at", F.lit(None).cast("timestamp_ntz")).select(*JOBS_FEATURES.names)
+    late = F.col("posted_date").between("2026-02-01", "2026-02-09")
+    steps = [(date(2026, 1, 31), ~F.coalesce(late, F.lit(False)), F.col("exp_level") == "mid"), (AS_OF, late, F.col("exp_level") != "mid")]
+    for day, posted, level in steps:
+        raw.append(rows.where(posted), order=store.ORDER)
+        features.append(found.where(level))
+        refresh.refresh_export(fx.spark, tables, day)
+    return store.export_table(fx.spark, tables.export).read().select("job_id", "posted_date", "exp_level", "posted_month")
+
+
+@query(
+    "v3_rolled_city_stats", ORACLES["v3_city_stats"].removeprefix(duck_with(*POSTINGS_AND_FEATURES)).strip(), POSTINGS_AND_FEATURES,
+)
+def _(fx):
+    """The report from daily states: filled for an earlier day without some postings, then rolled on."""
+    raw, features = (VersionedTable(fx.spark, _folder(fx, name)) for name in ("raw", "features"))
+    states = _folder(fx, "states")
+    late = F.coalesce(F.col("posted_date").between("2026-02-11", "2026-02-14"), F.lit(False))
+    for day, posted, level in ((date(2026, 2, 5), ~late, F.col("exp_level") == "mid"), (AS_OF, late, F.col("exp_level") != "mid")):
+        raw.append(fx.raw.where(posted), order=store.ORDER)
+        features.append(fx.features.where(level))
+        rolling.roll_states(raw, features, states, day, is_flexible())
+    return rolling.merged_states(rolling.states_table(fx.spark, states).read())
+
+
+# Stored indexes: each is filled in two steps before it is asked.
+
+
+def _features_index(fx):
+    index = search_index.SkillIndex(fx.spark, _folder(fx, "skills"))
+    index.add(fx.features.where(F.col("exp_level") == "mid"))
+    index.add(fx.features.where(F.col("exp_level") != "mid"))
+    return index
+
+
+@query("p10_indexed_skills", "SELECT DISTINCT job_id FROM jobs_features WHERE list_has_all(skills, ['python', 'sql', 'aws'])", POSTINGS_AND_FEATURES)
+def _(fx):
+    return _features_index(fx).has_all(["sql", "python", "aws"])
+
+
+def _titles(fx):
+    """Postings as a stored table, and the index of their titles."""
+    rows = first_per_key(fx.raw, ["job_id"], ["id"])
+    table = VersionedTable(fx.spark, _folder(fx, "raw"), JOBS_RAW)
+    table.append(rows, order=store.ORDER)
+    index = search_index.SubstringIndex(fx.spark, _folder(fx, "titles"), "title")
+    for part in (F.col("source") == "adzuna", F.col("source") != "adzuna"):
+        index.add(rows.where(part))
+    return table, index
+
+
+FIRST_POSTINGS = "(SELECT * FROM jobs_raw QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY id) = 1) r"
+
+
+@query(
+    "p6_indexed_titles",
+    f"SELECT job_id, title FROM {FIRST_POSTINGS} WHERE title ILIKE '%senior%_ata%e_r%' OR title ILIKE '%q_'", POSTINGS,
+)
+def _(fx):
+    """All postings whose title one of two patterns matches; the second has no three letters in a row."""
+    table, index = _titles(fx)
+    values = index.matching_values("%senior%_ata%e_r%").unionByName(index.matching_values("%q_"))
+    return table.lookup(index.places.lookup(values), ["job_id", "title"])
+
+
+@query(
+    "q24_indexed_search",
+    f"""SELECT {LISTED}, salary_min, salary_max FROM {FIRST_POSTINGS}
+    WHERE contains(lower(title), 'lead') AND contains(lower(title), 'data') AND city = 'Toronto' AND {PLAUSIBLE} {NEWEST} LIMIT 200""",
+    POSTINGS,
+)
+def _(fx):
+    table, index = _titles(fx)
+    return search.indexed_filter_search(table, index, search.FilterSpec(keywords="DATA lead", city="Toronto"), AS_OF)
+
+
+@query(
+    "q25_indexed_phrase",
+    f"""SELECT {LISTED} FROM {FIRST_POSTINGS}
+    WHERE title ILIKE '%security%analyst%' AND city ILIKE '%o%' AND {PLAUSIBLE} {NEWEST} LIMIT 100""",
+    POSTINGS,
+)
+def _(fx):
+    table, index = _titles(fx)
+    return search.indexed_phrase_search(table, index, "show me security%analyst in o")
+
+
+# The bounded option of ST2: events arrive by weeks, some again. Both sides make the same arrivals:
+# a repeat in the same week, one a week later, one three weeks later, and one that is late.
+
+ARRIVALS = """SELECT job_id, ts, week, 0 AS copy FROM base
+  UNION ALL SELECT job_id, ts, week, 1 FROM base WHERE event_id % 10 = 1
+  UNION ALL SELECT job_id, ts + INTERVAL 7 DAY, week + 1, 2 FROM base WHERE event_id % 10 = 2 AND week <= 2
+  UNION ALL SELECT job_id, ts + INTERVAL 21 DAY, week + 3, 3 FROM base WHERE event_id % 10 = 3 AND week = 0
+  UNION ALL SELECT job_id, ts, week + 2, 4 FROM base WHERE event_id % 10 = 4 AND week <= 2"""
+ARRIVING = "SELECT concat('job_', CAST(event_id AS VARCHAR(20))) AS job_id, event_id, ts, {week} AS week FROM {events}"
+REPEATS_HORIZON = "3 days"
+
+
+@query(
+    "st2_bounded_repeats",
+    f"""WITH base AS ({ARRIVING.format(week="date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 7", events="events")}),
+    arrivals AS ({ARRIVALS}),
+    marks AS (SELECT week, date_trunc('milliseconds', max(max(ts)) OVER (ORDER BY week)) - INTERVAL 3 DAY AS mark FROM arrivals GROUP BY week),
+    again AS (SELECT a.job_id, a.ts FROM arrivals a JOIN base b USING (job_id) JOIN marks m ON m.week = a.week - 1
+      WHERE copy IN (2, 3) AND b.ts + INTERVAL 3 DAY <= mark)
+    SELECT job_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS arrived FROM (SELECT job_id, ts FROM base UNION ALL SELECT * FROM again) kept""",
+)
+def _(fx):
+    """A repeat is left out while the state of the first one lives; a late row always."""
+    week = "CAST(floor(datediff(ts, DATE '2024-01-01') / 7) AS INT)"
+    fx.spark.sql(ARRIVING.format(week=week, events="{events}"), events=fx.table("events")).createOrReplaceTempView("base")
+    arrivals = fx.spark.sql(ARRIVALS).select("job_id", F.col("ts").cast("timestamp").alias("ts"), "week")
+    landing, checkpoint, kept = (_folder(fx, name) for name in ("arrivals", "checkpoint", "kept"))
+    last = arrivals.agg(F.max("week")).first()[0]
+    for number in range(last + 1):
+        arrivals.where(F.col("week") == number).drop("week").write.mode("append").parquet(landing)
+        stream = fx.spark.readStream.schema("job_id string, ts timestamp").parquet(landing)
+        written = ingest.without_repeats(stream, "ts", REPEATS_HORIZON).writeStream.format("parquet")
+        written.option("checkpointLocation", checkpoint).option("path", kept).trigger(availableNow=True).start().awaitTermination()
+    return fx.spark.read.parquet(kept).select("job_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("arrived"))
 
 
 # The stream: two landings; the second one repeats the first and adds the rest.
 
 def _landing(fx):
     columns = ["id", *POSTING.names]
-    tables = Tables(*[_folder(fx, n) for n in ("raw", "features", "export", "metrics")])
+    tables = Tables(*[_folder(fx, n) for n in ("raw", "features", "export", "metrics", "waiting")])
     landing, checkpoint = _folder(fx, "landing"), _folder(fx, "checkpoint")
     early = fx.raw.where(F.col("source").isin("jobbank", "adzuna")).select(*columns)
     for part in (early, fx.raw.select(*columns)):

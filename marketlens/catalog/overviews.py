@@ -1,6 +1,8 @@
 """Overview, search and progress queries over the derived postings."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from marketlens.catalog.fixture import AS_OF
 from marketlens.catalog.registry import POSTINGS, POSTINGS_AND_FEATURES, percent, query, rounded
@@ -268,6 +270,29 @@ def _(fx):
     return search.phrase_search(fx.raw, "Find me data%analyst in toronto")
 
 
+ASKED = [
+    "show me data engineer in Toronto", "jobs in Toronto in Canada", "get jobs qa_ in reg", "analyst in Ottawa within last 5 days",
+    "job in in Ottawa", "Find me show me lead % in mont", "web developer in " + 60 * "x", "data in o in t",
+]
+
+
+@query(
+    "q25_asked_phrases",
+    f"""SELECT phrase, {LISTED} FROM (SELECT *, row_number() OVER (PARTITION BY phrase {NEWEST}) AS place FROM (
+      SELECT 0 AS phrase, * FROM jobs_raw WHERE title ILIKE '%data engineer%' AND city ILIKE '%Toronto%'
+      UNION ALL SELECT 2, * FROM jobs_raw WHERE title ILIKE '%qa_%' AND city ILIKE '%reg%'
+      UNION ALL SELECT 5, * FROM jobs_raw WHERE title ILIKE '%lead %%' AND city ILIKE '%mont%'
+      UNION ALL SELECT 7, * FROM jobs_raw WHERE title ILIKE '%data%' AND city ILIKE '%o in t%') u WHERE {PLAUSIBLE}) r
+    WHERE place <= 100""",
+    POSTINGS,
+)
+def _(fx):
+    """Every phrase with what it finds; those that the rule does not answer find nothing."""
+    found = [(n, search.phrase_search(fx.raw, phrase)) for n, phrase in enumerate(ASKED)]
+    parts = [df.select(F.lit(n).alias("phrase"), *search.LISTED) for n, df in found if df is not None]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "q31a_role_city_recent",
     f"""SELECT {LISTED} FROM jobs_raw

@@ -1,24 +1,29 @@
-"""Writing postings, features, exports and run metrics as Parquet tables.
+"""Writing postings, features, exports and run metrics.
 
-Features live in hash folders of job_id, so an upsert rewrites only the folders it touches and
-a repeated run writes the same rows again. Postings are appended, keyed by job_id.
+Postings and features are versioned tables by job_id: a change reads the pieces its keys fall into,
+writes what is new and switches to the next version. The export is one by month.
 """
 
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from marketlens.functions.salary import salary_mid
 from marketlens.operators.rows import first_per_key, not_stored
+from marketlens.operators.versioned import VersionedTable
 from marketlens.schemas import JOBS_RAW, SCRAPER_METRICS
 from marketlens.session import with_checkpoint_dir
 
-FOLDERS = 64
+#: Narrow date ranges per row group let recency filters skip most of a file.
+ORDER = ["posted_date"]
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table with its fixed schema; empty while nothing has been written."""
+    """A table with its fixed schema, in its newest version; empty while nothing has been written."""
+    table = VersionedTable(spark, path, schema)
+    if table.exists():
+        return table.read()
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -51,31 +56,36 @@ def acceptable() -> Column:
     )
 
 
+def storable_postings(batch: DataFrame, order: list[str]) -> DataFrame:
+    """Acceptable rows of a batch, salary ends in order, first per job_id."""
+    good = first_per_key(ordered_salaries(batch).where(acceptable()), ["job_id"], order)
+    return good.withColumn("salary_mid", salary_mid(F.col("salary_min"), F.col("salary_max")))
+
+
 def new_postings(batch: DataFrame, stored: DataFrame, order: list[str]) -> DataFrame:
     """Rows of a batch to insert: acceptable, not stored yet, first per job_id."""
-    good = ordered_salaries(batch).where(acceptable())
-    new = not_stored(first_per_key(good, ["job_id"], order), stored)
-    return new.withColumn("salary_mid", salary_mid(F.col("salary_min"), F.col("salary_max")))
+    return not_stored(storable_postings(batch, order), stored)
 
 
 def insert_postings(
     batch: DataFrame, path: str, order: list[str], metrics_path: str, source: str,
     run_id: str, run_date: datetime,
 ) -> int:
-    """Append the new postings of a batch, write the run's metrics, return the insert count."""
-    spark = batch.sparkSession
-    stored = read_table(spark, path, JOBS_RAW)
-    new = new_postings(batch, stored, order)
-    seen = Observation()
-    (
-        new.select(*[n for n in JOBS_RAW.names if n in new.columns])
-        .observe(seen, F.count("*").alias("n"))
-        # Narrow date ranges per row group let recency filters skip most of a file.
-        .sortWithinPartitions("posted_date")
-        .write.mode("append")
-        .parquet(path)
-    )
-    inserted = seen.get["n"]
+    """Add the new postings of a batch, write the run's metrics, return the insert count.
+
+    The stored keys are looked up in the pieces that the batch's keys fall into. The table remembers
+    a run's count in the version that holds its rows, so a run that is repeated, whether it died
+    before or after that version, adds nothing twice and reports the same counts.
+    """
+    spark = with_checkpoint_dir(batch.sparkSession)
+    table = VersionedTable(spark, path, JOBS_RAW)
+    inserted = table.manifest()["runs"].get(run_id)
+    if inserted is None:
+        # Read for its keys and for its rows, so kept in the shared folder.
+        incoming = storable_postings(batch, order)
+        incoming = incoming.select(*[n for n in JOBS_RAW.names if n in incoming.columns]).checkpoint()
+        new = not_stored(incoming, table.lookup(incoming, ["job_id"]))
+        inserted = table.append(new, run=run_id, order=ORDER)
     totals = batch.agg(F.count("*").alias("total"))
     record_run(run_metrics(totals, source, inserted, run_id, run_date), metrics_path, run_id)
     return inserted
@@ -134,14 +144,10 @@ def with_run_rates(metrics: DataFrame) -> DataFrame:
     )
 
 
-def folder_of(job_id: Column, folders: int = FOLDERS) -> Column:
-    return F.pmod(F.xxhash64(job_id), F.lit(folders)).cast("int")
-
-
 def merged_features(stored: DataFrame, new: DataFrame) -> DataFrame:
     """Stored rows with the new non-null values on top, plus the new rows."""
     old, fresh = stored.alias("old"), new.alias("new")
-    values = [c for c in stored.columns if c not in ("job_id", "folder")]
+    values = [c for c in stored.columns if c != "job_id"]
     taken = [
         F.coalesce(F.col(f"new.{c}"), F.col(f"old.{c}")).alias(c) if c in new.columns else F.col(f"old.{c}")
         for c in values
@@ -149,45 +155,23 @@ def merged_features(stored: DataFrame, new: DataFrame) -> DataFrame:
     return old.join(fresh, "job_id", "full_outer").select("job_id", *taken)
 
 
-def append_features(new: DataFrame, path: str, folders: int = FOLDERS) -> int:
-    """Insert features of postings known to have none; returns their number.
+def append_features(new: DataFrame, path: str) -> int:
+    """Insert features of postings known to have none; returns their number."""
+    return VersionedTable(new.sparkSession, path).append(new)
 
-    A run that starts again leaves out what is already stored, so appending is safe.
-    """
-    written = Observation()
-    (
-        new.withColumn("folder", folder_of(F.col("job_id"), folders))
-        .hint("rebalance", "folder")
-        .observe(written, F.count("*").alias("n"))
-        .write.mode("append")
-        .partitionBy("folder")
-        .parquet(path)
-    )
-    return written.get["n"]
 
+def upsert_features(new: DataFrame, path: str, schema: T.StructType) -> int:
+    """Insert or update features (one row per job_id); the number of rows that changed.
 
-def upsert_features(new: DataFrame, path: str, schema: T.StructType, folders: int = FOLDERS) -> None:
-    """Insert or update features (one row per job_id); only the hash folders the new rows fall
-    into are rewritten, and the rebalance hint sizes their files.
-
-    Rows are replaced folder by folder, so running the same upsert again changes nothing.
+    Rows of the touched pieces are read, changed rows are written beside them; rows that stay as
+    they are write nothing, so running the same upsert again changes nothing.
     """
     spark = with_checkpoint_dir(new.sparkSession)
-    placed = T.StructType(schema.fields + [T.StructField("folder", T.IntegerType())])
     # Read twice below, so kept in the shared folder instead of being computed twice.
     incoming = new.checkpoint()
-    stored = read_table(spark, path, placed)
-    place = folder_of(F.col("job_id"), folders)
-    touched = incoming.select(place.alias("folder")).distinct()
-    affected = stored.join(touched, "folder", "left_semi").drop("folder")
-    merged = merged_features(affected, incoming).withColumn("folder", place)
-    (
-        merged.hint("rebalance", "folder")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("folder")
-        .parquet(path)
-    )
+    table = VersionedTable(spark, path, schema)
+    stored = table.lookup(incoming)
+    return table.replace_rows(merged_features(stored, incoming).select(*schema.names).subtract(stored))
 
 
 def patched_postings(raw: DataFrame, updates: DataFrame, order: str) -> DataFrame:
@@ -220,13 +204,65 @@ def patched_postings(raw: DataFrame, updates: DataFrame, order: str) -> DataFram
     return joined.withColumns(changed).select(*raw.columns)
 
 
-def write_export(export: DataFrame, path: str) -> None:
-    """Replace the export table, one folder per month so date filters prune files."""
-    month = F.date_format(F.trunc("posted_date", "month"), "yyyy-MM")
-    (
-        export.withColumn("posted_month", month)
-        .hint("rebalance", "posted_month")
-        .write.mode("overwrite")
-        .partitionBy("posted_month")
-        .parquet(path)
-    )
+def patch_postings(updates: DataFrame, path: str, order: str, at: datetime | None = None) -> DataFrame:
+    """Patch stored postings in place; (job_id, found, changed) of every patched id.
+
+    The rules are those of `patched_postings`. Only the pieces the ids fall into are read, and only
+    postings that come out different are written, whole, as a delta. All patches of a call become
+    one version: a call that dies changes nothing, a call that is repeated finds nothing to change.
+    `at` sets updated_at of the changed postings.
+    """
+    spark = with_checkpoint_dir(updates.sparkSession)
+    incoming = updates.checkpoint()
+    table = VersionedTable(spark, path, JOBS_RAW)
+    stored = table.lookup(incoming).checkpoint()
+    changed = patched_postings(stored, incoming, order).subtract(stored).checkpoint()
+    table.replace_rows(changed if at is None else changed.withColumn("updated_at", F.lit(at).cast("timestamp_ntz")))
+    ids = incoming.select("job_id").distinct()
+    flags = [df.select("job_id", F.lit(True).alias(name)) for df, name in ((stored, "found"), (changed, "changed"))]
+    report = ids.join(flags[0], "job_id", "left").join(flags[1], "job_id", "left")
+    return report.select("job_id", *[F.coalesce(name, F.lit(False)).alias(name) for name in ("found", "changed")])
+
+
+def month_of(day: Column) -> Column:
+    return F.date_format(F.trunc(day, "month"), "yyyy-MM")
+
+
+def export_table(spark: SparkSession, path: str) -> VersionedTable:
+    """The stored export: a piece per month, so that a range of dates reads its months only."""
+    return VersionedTable(spark, path, place=F.col("posted_month"))
+
+
+def write_export(export: DataFrame, path: str, facts: dict | None = None) -> None:
+    """Replace the whole export; readers see the old one until the new one is complete."""
+    table = export_table(export.sparkSession, path)
+    rows = export.withColumn("posted_month", month_of(F.col("posted_date")))
+    table.replace_pieces(rows, table.manifest()["pieces"], facts, ORDER)
+
+
+def months_between(begin: date, end: date) -> list[str]:
+    """Months that days of [begin, end) are in."""
+    return sorted({f"{begin + timedelta(n):%Y-%m}" for n in range((end - begin).days)})
+
+
+def in_months(day: Column, months: list[str]) -> Column:
+    """The day is in one of the months, as ranges that reach the scan."""
+    out = F.lit(False)
+    for month in months:
+        first = date.fromisoformat(f"{month}-01")
+        out = out | ((day >= F.lit(first)) & (day < F.lit((first + timedelta(31)).replace(day=1))))
+    return out
+
+
+def months_to_refresh(raw: VersionedTable, features: VersionedTable, facts: dict, begin: date) -> list[str]:
+    """Months of the export that no longer hold what they should.
+
+    Those are the months of postings that are new or changed, or whose features are, since the
+    versions named in `facts`, and the months that the range has lost or gained at its beginning.
+    A posting keeps its date.
+    """
+    keys = features.changed_since(facts["features"]).select("job_id")
+    days = raw.changed_since(facts["raw"]).select("posted_date").unionByName(raw.lookup(keys, ["job_id", "posted_date"]).select("posted_date"))
+    was = date.fromisoformat(facts["begin"])
+    recent = days.where(F.col("posted_date") >= F.lit(min(was, begin))).select(month_of(F.col("posted_date"))).distinct()
+    return sorted({r[0] for r in recent.collect()} | set(months_between(min(was, begin), max(was, begin))))  # a row per month

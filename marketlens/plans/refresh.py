@@ -2,17 +2,21 @@
 
 import logging
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketlens.operators.dedupe import deduplicate
 from marketlens.operators.features import extract_features
 from marketlens.operators.quality import split, validate
 from marketlens.operators.rows import unprocessed
-from marketlens.operators.store import append_features, read_table, write_export
+from marketlens.operators.store import append_features, export_table, in_months, month_of, months_to_refresh, ORDER, write_export
+from marketlens.operators.versioned import VersionedTable
 from marketlens.plans.views import bi_export
 from marketlens.schemas import JOBS_FEATURES, JOBS_RAW
+from marketlens.session import with_checkpoint_dir
 
 log = logging.getLogger(__name__)
 
@@ -71,28 +75,95 @@ def process_report(raw: DataFrame, features: DataFrame, as_of: date) -> DataFram
 
 @dataclass(frozen=True)
 class Tables:
-    """Folders of the stored tables."""
+    """Folders of the stored tables; `waiting` holds the postings that have no features yet."""
 
     raw: str
     features: str
     export: str
     metrics: str
+    waiting: str | None = None
+
+
+def waiting_postings(raw: VersionedTable, features: VersionedTable, waiting: VersionedTable, version: int) -> DataFrame:
+    """Postings without features: those left by the last run, and what the raw table got since.
+
+    Equal to the anti-join of the whole tables, but a run reads what is new and what waits.
+    """
+    fresh = raw.changed_since(waiting.manifest()["facts"].get("raw", 0), version)
+    left = waiting.read().join(fresh.select("job_id"), "job_id", "left_anti")
+    rows = left.select(*JOBS_RAW.names).unionByName(fresh.select(*JOBS_RAW.names)).checkpoint()
+    return rows.join(features.lookup(rows, ["job_id"]), "job_id", "left_anti")
+
+
+def refresh_export(spark: SparkSession, tables: Tables, as_of: date, days: int = 30) -> list[str] | None:
+    """Bring the stored export up to date; the rewritten months, None for a whole build.
+
+    Months that neither gained nor lost anything keep their files. The rows are those of `bi_export`.
+    """
+    raw, features = VersionedTable(spark, tables.raw, JOBS_RAW), VersionedTable(spark, tables.features, JOBS_FEATURES)
+    export = export_table(spark, tables.export)
+    begin = as_of - timedelta(days)
+    facts = {"raw": raw.manifest()["version"], "features": features.manifest()["version"], "begin": begin.isoformat()}
+    rows = bi_export(raw.read(facts["raw"]), features.read(facts["features"]), as_of, days)
+    before = export.manifest()["facts"]
+    if not before:
+        write_export(rows, tables.export, facts)
+        return None
+    months = months_to_refresh(raw, features, before, begin)
+    if not months:
+        export.record(facts)
+        return months
+    day = F.col("posted_date")
+    export.replace_pieces(rows.where(in_months(day, months)).withColumn("posted_month", month_of(day)), months, facts, ORDER)
+    return months
 
 
 def process(spark: SparkSession, tables: Tables, as_of: date, limit: int = 0) -> int:
-    """Run the steps against the stored tables; returns the number of feature rows stored."""
-    raw = read_table(spark, tables.raw, JOBS_RAW)
-    before = read_table(spark, tables.features, JOBS_FEATURES)
-    new = processed_features(raw, before, as_of, limit).withColumns(
+    """Run the steps against the stored tables; returns the number of feature rows stored.
+
+    With a `waiting` table the run reads new and waiting postings only. A run that dies after its
+    features are stored finds them by key the next time.
+    """
+    spark = with_checkpoint_dir(spark)
+    raw, features = VersionedTable(spark, tables.raw, JOBS_RAW), VersionedTable(spark, tables.features, JOBS_FEATURES)
+    version = raw.manifest()["version"]
+    if tables.waiting:
+        waiting = VersionedTable(spark, tables.waiting, JOBS_RAW)
+        candidates = waiting_postings(raw, features, waiting, version).checkpoint()
+        new = processed_features(candidates, spark.createDataFrame([], JOBS_FEATURES), as_of, limit)
+    else:
+        new = processed_features(raw.read(version), features.read(), as_of, limit)
+    new = new.withColumns(
         {
             "extracted_at": F.current_timestamp().cast("timestamp_ntz"),
             "extraction_confidence": F.lit("0.80").cast("decimal(3,2)"),
         }
-    )
-    stored = append_features(new.select(*JOBS_FEATURES.names), tables.features)
-    after = read_table(spark, tables.features, JOBS_FEATURES)
+    ).select(*JOBS_FEATURES.names)
+    if tables.waiting:
+        new = new.checkpoint()
+    stored = append_features(new, tables.features)
+    if tables.waiting:
+        left = candidates.join(new.select("job_id"), "job_id", "left_anti").select(*JOBS_RAW.names)
+        waiting.replace_pieces(left, waiting.manifest()["pieces"], {"raw": version}, ORDER)
     try:
-        write_export(bi_export(raw, after, as_of), tables.export)
-    except Exception as error:  # a stale export does not fail the run
+        refresh_export(spark, tables, as_of)
+    except (PySparkException, Py4JJavaError) as error:  # a stale export does not fail the run
         log.warning("could not refresh the export: %s", error)
+    tidy(spark, tables)
     return stored
+
+
+def tidy(spark: SparkSession, tables: Tables) -> None:
+    """Rewrite pieces of postings and features that have become slow to read.
+
+    The rows stay the same, so tables that were up to date with the version before are so with the
+    one after.
+    """
+    users = [export_table(spark, tables.export)] + ([VersionedTable(spark, tables.waiting, JOBS_RAW)] if tables.waiting else [])
+    for path, name, schema, order in ((tables.raw, "raw", JOBS_RAW, ORDER), (tables.features, "features", JOBS_FEATURES, [])):
+        table = VersionedTable(spark, path, schema)
+        before = table.manifest()["version"]
+        if table.compact(order=order):
+            for user in users:
+                if user.manifest()["facts"].get(name) == before:
+                    user.record({name: before + 1})

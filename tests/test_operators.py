@@ -165,10 +165,10 @@ def test_upsert_keeps_known_values_and_repeats_safely(spark, tmp_path):
                 df = df.withColumn(field.name, F.lit(None).cast(field.dataType))
         return df.select(*JOBS_FEATURES.names)
 
-    store.upsert_features(rows([(str(i), i, i, "mid") for i in range(40)]), path, JOBS_FEATURES, 8)
+    store.upsert_features(rows([(str(i), i, i, "mid") for i in range(40)]), path, JOBS_FEATURES)
     change = rows([("3", None, 9, None), ("x", 1, 2, "junior")])
     for _ in range(2):
-        store.upsert_features(change, path, JOBS_FEATURES, 8)
+        store.upsert_features(change, path, JOBS_FEATURES)
         got = {r.job_id: r for r in store.read_table(spark, path, JOBS_FEATURES).collect()}
         assert len(got) == 41
         assert (got["3"].exp_min, got["3"].exp_max, got["3"].exp_level) == (3, 9, "mid")
@@ -209,7 +209,7 @@ def test_process_stores_features_once(spark, fx, tmp_path):
         pass
     features = store.read_table(spark, tables.features, JOBS_FEATURES)
     assert features.count() == features.select("job_id").distinct().count()
-    assert spark.read.parquet(tables.export).count() > 0
+    assert store.export_table(spark, tables.export).read().count() > 0
     limited = refresh.to_process(store.read_table(spark, tables.raw, JOBS_RAW), features, limit=3)
     assert limited.count() == 3
 
@@ -295,6 +295,13 @@ def test_phrases():
     assert search.parse_phrase("cook in Ayr within last 5 days") is None
     assert search.parse_phrase("show me jobs in " + "x" * 51) is None
     assert search.parse_phrase("cook") is None
+    # The first "in" between other words decides, and nothing is tried again after a refusal.
+    assert search.parse_phrase("jobs in Toronto in Canada") is None
+    assert search.parse_phrase(f"analyst in {'x' * 60} in Toronto") is None
+    assert search.parse_phrase("show me in Toronto") == ("show me", "Toronto")
+    assert search.parse_phrase("job in in Ottawa") is None
+    assert search.parse_phrase("cook in Ayr in Scotland") == ("cook", "Ayr in Scotland")
+    assert search.parse_phrase("recently posted cook in Ayr") is None and search.parse_phrase(" in Ayr") is None
 
 
 def test_guarded_sql():
