@@ -21,7 +21,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ BLOCK_BYTES = 16 << 20
 REMEMBERED = 300_000
 #: Chunks encoded as one text.
 TOGETHER = 128
+#: Chunks of documents whose pairs are found together.
+PAIRED = 1 << 18
 
 BLOCKS = "block string, codes binary, uses binary, payload binary"
 NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
@@ -78,24 +81,35 @@ def refined(begin: np.ndarray, end: np.ndarray, sizes: np.ndarray, loose: np.nda
 
 
 class Aligned:
-    """Aligned chunks: numbers per chunk, its groups as text, and the pairs of its links."""
+    """Aligned chunks: numbers per chunk, its groups as text, and the pairs of its links.
+
+    Chunks are added in place; arrays are joined when they are next needed.
+    """
 
     def __init__(self, names=(), numbers=None, good=None, groups=(), codes=None):
         self.names, self.groups = list(names), list(groups)
-        self.numbers = np.zeros((0, 4), np.int64) if numbers is None else numbers
-        self.good = np.zeros(0, bool) if good is None else good
-        self.codes = np.zeros(0, np.int64) if codes is None else codes
+        self._numbers = [np.zeros((0, 4), np.int32) if numbers is None else numbers.astype(np.int32)]
+        self._good = [np.zeros(0, bool) if good is None else good]
+        self._codes = [np.zeros(0, np.int64) if codes is None else codes]
+
+    def add(self, other: Aligned) -> None:
+        self.names += other.names
+        self.groups += other.groups
+        for own, new in ((self._numbers, other._numbers), (self._good, other._good), (self._codes, other._codes)):
+            own += new
 
     @staticmethod
-    def joined(parts: list[Aligned]) -> Aligned:
-        return Aligned(
-            [n for p in parts for n in p.names], np.concatenate([np.zeros((0, 4), np.int64), *[p.numbers for p in parts]]),
-            np.concatenate([np.zeros(0, bool), *[p.good for p in parts]]), [g for p in parts for g in p.groups],
-            np.concatenate([np.zeros(0, np.int64), *[p.codes for p in parts]]),
-        )
+    def _joined(parts: list[np.ndarray]) -> np.ndarray:
+        if len(parts) > 1:
+            parts[:] = [np.concatenate(parts)]
+        return parts[0]
+
+    numbers = property(lambda self: self._joined(self._numbers))
+    good = property(lambda self: self._joined(self._good))
+    codes = property(lambda self: self._joined(self._codes))
 
     def ends(self) -> np.ndarray:
-        return np.cumsum(self.numbers[:, 3])
+        return np.cumsum(self.numbers[:, 3], dtype=np.int64)
 
     def taken(self, rows: np.ndarray) -> Aligned:
         return Aligned(
@@ -106,11 +120,36 @@ class Aligned:
 
 def spread(starts: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Positions of all items of `rows`, row after row, where row k has sizes[k] items from starts[k]."""
-    sizes = sizes[rows]
+    sizes = sizes[rows].astype(np.int64)
     before = np.cumsum(sizes) - sizes
     return np.arange(int(sizes.sum())) + np.repeat(starts[rows] - before, sizes)
 
 
+class Numbers(dict):
+    """Chunks numbered in the order in which they are first asked for."""
+
+    def __init__(self, names=()):
+        self.names = list(names)
+        super().__init__(zip(self.names, range(len(self.names))))
+
+    def __missing__(self, name: str) -> int:
+        self[name] = number = len(self.names)
+        self.names.append(name)
+        return number
+
+
+class Side:
+    """Bytes of a vocabulary's tokens."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def spell(self, ids: np.ndarray) -> np.ndarray:
+        return self.data[spread(self.starts, self.sizes, ids)]
+
+
 class Aligner:
     """Both vocabularies, and the chunks a worker has aligned."""
 
@@ -129,97 +168,118 @@ class Aligner:
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         self.fallback = np.array([self.b.is_byte(k) for k in range(len(pieces))])
         self.b_bytes = [bytes([int(p[3:5], 16)]) if own else p.replace(MARK, " ").encode() for p, own in zip(pieces, self.fallback)]
-        self.a_sizes = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.names = [str(k) for k in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.side_a, self.side_b = Side(self.a_bytes), Side(self.b_bytes)
+        # Ids with what may follow them: the next one of its side, the other side, a group, a chunk.
+        self.ids = max(len(self.a_bytes), len(self.b_bytes))
+        self.names = [f"{k}{sign}" for sign in ",|;\n" for k in range(self.ids)]
         self.mark = self.b.piece_to_id(MARK)
-        self.known, self.index = Aligned(), {}
+        self.known, self.index = Aligned(), Numbers()
 
-    def remember(self, new: list[str]) -> None:
-        """Align chunks that are not known yet."""
-        self.known = Aligned.joined([self.known, self.align(new)])
-        # Align may change the order.
-        for k in range(len(self.index), len(self.known.names)):
-            self.index[self.known.names[k]] = k
+    def settle(self) -> Aligned:
+        """Align the chunks that got numbers since the last time."""
+        new = self.index.names[len(self.known.names) :]
+        if new:
+            found = Aligned()
+            for part in self.align(new):
+                found.add(part)
+            place = {name: k for k, name in enumerate(found.names)}
+            self.known.add(found.taken(np.array([place[name] for name in new])))
+        return self.known
 
     def forget(self, uses: np.ndarray) -> None:
         """Beyond REMEMBERED, keep those that the last block had more than once."""
         if len(self.index) > REMEMBERED:
             rows = np.flatnonzero(uses > 1)
             self.known = self.known.taken(rows[np.argsort(-uses[rows], kind="stable")[: REMEMBERED // 2]])
-            self.index = {name: k for k, name in enumerate(self.known.names)}
+            self.index = Numbers(self.known.names)
 
-    def align(self, chunks: list[str]) -> Aligned:
+    def align(self, chunks: list[str]) -> Iterator[Aligned]:
         """Align distinct chunks; those that can stand side by side are encoded together."""
         clean = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace() and MARK not in c]
         odd = [c for c in chunks if not c or c[0].isspace() or c[-1].isspace() or MARK in c]
-        parts = []
-        for begin in range(0, len(clean), 256 * TOGETHER):
-            some = clean[begin : begin + 256 * TOGETHER]
-            parts += self._encoded([some[k : k + TOGETHER] for k in range(0, len(some), TOGETHER)])
+        together = [clean[k : k + TOGETHER] for k in range(0, len(clean), TOGETHER)]
+        for begin in range(0, len(together), 64):
+            yield from self._encoded(together[begin : begin + 64])
         for begin in range(0, len(odd), 1024):
-            parts += self._encoded([[c] for c in odd[begin : begin + 1024]])
-        return Aligned.joined(parts)
+            yield from self._encoded([[c] for c in odd[begin : begin + 1024]])
 
-    def _encoded(self, groups: list[list[str]]) -> list[Aligned]:
+    def _encoded(self, groups: list[list[str]]) -> Iterator[Aligned]:
         """Encode texts of chunks each; texts whose tokens do not have the text's bytes go one by one."""
         texts = [" ".join(group) for group in groups]
+        data = [f" {text}".encode() for text in texts]
+        sizes = np.array([len(d) for d in data], np.int64)
         found_a = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
-        found_b = self.b.encode(texts, return_type="proto", num_threads=1)
-        good, bad, parts = [], [], []
-        for group, text, a, b in zip(groups, texts, found_a, found_b):
-            want, ids_a = f" {text}".encode(), a.ids
-            ids_b = [p.id for p in b.pieces] if text else [self.mark]
-            same = b"".join([self.a_bytes[k] for k in ids_a]) == want == b"".join([self.b_bytes[k] for k in ids_b])
-            if same:
-                spans = [(p.begin + 1, p.end + 1) for p in b.pieces] if text else [(0, 1)]
-                good.append((group, want, ids_a, a.offsets, ids_b, spans))
-            else:
-                bad.append(group)
-        if good:
-            parts.append(self._cut(good))
-        for group in bad:
-            if len(group) > 1:
-                parts += self._encoded([[c] for c in group])
-            else:
-                parts.append(Aligned(group, np.zeros((1, 4), np.int64), np.zeros(1, bool), [""], np.zeros(0, np.int64)))
-        return parts
-
-    def _cut(self, texts: list[tuple]) -> Aligned:
-        """Groups and links of texts whose tokens have the texts' bytes, all texts side by side."""
-        data = np.frombuffer(b"".join([t[1] for t in texts]), np.uint8)
-        sizes = np.array([len(t[1]) for t in texts], np.int64)
+        found_b = [proto.pieces for proto in self.b.encode(texts, return_type="proto", num_threads=1)]
+        list_a = [found.ids for found in found_a]
+        list_b = [[p.id for p in pieces] if text else [self.mark] for pieces, text in zip(found_b, texts)]
+        ends_b = [[p.end for p in pieces] if text else [0] for pieces, text in zip(found_b, texts)]
+        ids_a, ids_b = flat(list_a), flat(list_b)
+        count_a, count_b = (np.array([len(x) for x in own], np.int64) for own in (list_a, list_b))
+        text = np.frombuffer(b"".join(data), np.uint8)
+        good = same_bytes(text, sizes, self.side_a, ids_a, count_a) & same_bytes(text, sizes, self.side_b, ids_b, count_b)
+        if good.all():
+            spans_a = flat(chain.from_iterable(found.offsets for found in found_a)).reshape(-1, 2)
+            yield self._cut(groups, text, sizes, ids_a, count_a, spans_a, ids_b, count_b, flat(ends_b) + 1)
+        elif len(groups) > 1 or len(groups[0]) > 1:
+            yield from self._encoded([group for group, fits in zip(groups, good) if fits]) if good.any() else ()
+            for group in (group for group, fits in zip(groups, good) if not fits):
+                for chunk in group:
+                    yield from self._encoded([[chunk]])
+        else:
+            yield Aligned(groups[0], np.zeros((1, 4), np.int32), np.zeros(1, bool), [""])
+
+    def _cut(self, texts, data, sizes, ids_a, count_a, spans_a, ids_b, count_b, coarse_b) -> Aligned:
+        """Groups and links of texts whose tokens have the texts' bytes, all texts side by side.
+
+        Spans and ends count from their own text: characters for A, bytes for B.
+        """
         starts = np.cumsum(sizes) - sizes
         letters = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # where each character begins
-
-        ids_a = np.array([k for t in texts for k in t[2]], np.int64)
-        spans = np.array([s for t in texts for s in t[3]], np.int64).reshape(-1, 2)
-        spans += np.repeat(np.searchsorted(letters, starts), [len(t[2]) for t in texts])[:, None]
-        end_a = refined(letters[spans[:, 0]], letters[spans[:, 1]], self.a_sizes[ids_a], np.zeros(len(ids_a), bool))
-
-        ids_b = np.array([k for t in texts for k in t[4]], np.int64)
-        spans = np.array([s for t in texts for s in t[5]], np.int64).reshape(-1, 2)
-        spans += np.repeat(starts, [len(t[4]) for t in texts])[:, None]
-        end_b = refined(spans[:, 0], spans[:, 1], self.b_sizes[ids_b], self.fallback[ids_b])
-        if not (np.array_equal(end_a, np.cumsum(self.a_sizes[ids_a])) and np.array_equal(end_b, np.cumsum(self.b_sizes[ids_b]))):
+        spans = letters[spans_a + np.repeat(np.searchsorted(letters, starts), count_a)[:, None]]
+        end_a = refined(spans[:, 0], spans[:, 1], self.side_a.sizes[ids_a], np.zeros(len(ids_a), bool))
+        coarse_b = coarse_b + np.repeat(starts, count_b)
+        begin_b = np.append(0, coarse_b[:-1])  # pieces follow each other
+        end_b = refined(begin_b, coarse_b, self.side_b.sizes[ids_b], self.fallback[ids_b])
+        if not (np.array_equal(end_a, np.cumsum(self.side_a.sizes[ids_a])) and np.array_equal(end_b, np.cumsum(self.side_b.sizes[ids_b]))):
             raise ValueError("spans of tokens contradict their bytes")
 
-        names = [c for t in texts for c in t[0]]
+        names = [c for group in texts for c in group]
         edges = np.cumsum([len(c.encode()) + 1 for c in names])
         links, cuts = np.union1d(end_a, end_b), np.intersect1d(end_a, end_b, assume_unique=True)
-        if not np.isin(edges, cuts).all():
+        last = np.searchsorted(cuts, edges)
+        if not np.array_equal(cuts[np.minimum(last, len(cuts) - 1)], edges):
             raise ValueError("a token goes over the space between two chunks")
         codes = (ids_a[np.searchsorted(end_a, links)] << 32) | ids_b[np.searchsorted(end_b, links)]
         counts = [np.diff(np.searchsorted(ends, edges, side="right"), prepend=0) for ends in (end_a, end_b, cuts, links)]
 
-        own_a, own_b = [self.names[k] for k in ids_a.tolist()], [self.names[k] for k in ids_b.tolist()]
-        at_a, at_b = np.searchsorted(end_a, cuts, side="right").tolist(), np.searchsorted(end_b, cuts, side="right").tolist()
-        groups = [",".join(own_a[i:j]) + "|" + ",".join(own_b[k:n]) for i, j, k, n in zip([0, *at_a], at_a, [0, *at_b], at_b)]
-        stops = np.cumsum(counts[2]).tolist()
-        groups = [";".join(groups[i:j]) for i, j in zip([0, *stops], stops)]
+        # Ids in the order of groups, A before B, each with the sign that follows it.
+        group_a, group_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
+        stop_a, stop_b = np.searchsorted(end_a, cuts, side="right"), np.searchsorted(end_b, cuts, side="right")
+        after = np.full(len(cuts), 2)
+        after[last] = 3
+        item = np.empty(len(ids_a) + len(ids_b), np.int64)
+        closes_a, closes_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
+        closes_a[stop_a - 1], closes_b[stop_b - 1] = 1, after
+        item[np.arange(len(ids_a)) + np.append(0, stop_b[:-1])[group_a]] = closes_a * self.ids + ids_a
+        item[np.arange(len(ids_b)) + stop_a[group_b]] = closes_b * self.ids + ids_b
+        groups = "".join([self.names[k] for k in item.tolist()]).split("\n")[:-1]
         return Aligned(names, np.stack(counts, 1), np.ones(len(names), bool), groups, codes)
 
 
+def flat(lists: Iterable) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int64)
+
+
+def same_bytes(text: np.ndarray, sizes: np.ndarray, side: Side, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Whether the tokens of each text, `counts` of them, have its bytes."""
+    ends = np.append(0, np.cumsum(side.sizes[ids]))[np.cumsum(counts)]
+    spelt, stops = side.spell(ids), np.cumsum(sizes)
+    if np.array_equal(ends, stops) and np.array_equal(spelt, text):
+        return np.ones(len(sizes), bool)
+    begins, starts = np.append(0, ends[:-1]), stops - sizes
+    return np.array([np.array_equal(spelt[a:b], text[c:d]) for a, b, c, d in zip(begins, ends, starts, stops)])
+
+
 _aligners: dict[tuple[str, str], Aligner] = {}
 
 
@@ -247,64 +307,76 @@ class Block:
         self.docs, self.valid, self.chunks, self.bytes = [], [], [], 0
 
     def add(self, docs: list, texts: list[str | None]) -> None:
-        """Number the chunks; those not known are aligned together."""
-        index, new, found = self.align.index, {}, []
-        for text in texts:
+        number = self.align.index.__getitem__
+        for doc, text in zip(docs, texts):
             own = chunks_of(text) if text else []
-            numbers = list(map(index.get, own))
-            if None in numbers:
-                new.update(dict.fromkeys([c for c, k in zip(own, numbers) if k is None]))
-            found.append((own, numbers))
-        if new:
-            self.align.remember(list(new))
-        for doc, (own, numbers) in zip(docs, found):
             self.docs.append(doc or 0)
             self.valid.append(doc is not None)
-            if None in numbers:
-                numbers = list(map(index.__getitem__, own))
-            self.chunks.append(np.array(numbers, np.int32))
+            self.chunks.append(np.fromiter(map(number, own), np.int32, len(own)))
 
     def row(self) -> pa.RecordBatch:
         """The block's pairs with their uses, and per document all but what the counts are needed for."""
-        known, n = self.align.known, len(self.docs)
-        sizes = np.array([len(c) for c in self.chunks], np.int64)
-        sequence = np.concatenate([*self.chunks, np.zeros(0, np.int32)])
-        doc = np.repeat(np.arange(n), sizes)
-        bad = np.zeros(n, bool)
-        bad[doc[~known.good[sequence]]] = True
-        numbers = np.zeros((n, 4), np.int64)
-        for k in range(4):
-            numbers[:, k] = np.bincount(doc, known.numbers[sequence, k], n).astype(np.int64)
-        numbers[bad] = 0
+        known = self.align.settle()
+        good = np.array([known.good[own].all() for own in self.chunks], bool)
+        numbers = np.array([known.numbers[own].sum(0, dtype=np.int64) if whole else [0] * 4 for own, whole in zip(self.chunks, good.tolist())], np.int64)
         reports = [
-            self.report(";".join([known.groups[c] for c in own.tolist()])) if size and not none else ""
-            for own, size, none in zip(self.chunks, sizes.tolist(), bad.tolist())
+            self.report(";".join([known.groups[c] for c in own.tolist()])) if whole and len(own) else ""
+            for own, whole in zip(self.chunks, good.tolist())
         ]
-        # Distinct (document, chunk) with their number, then distinct (document, pair) with theirs.
-        whole = ~bad[doc]
-        key, times = np.unique(doc[whole] * len(known.names) + sequence[whole], return_counts=True)
-        doc, chunk = np.divmod(key, max(len(known.names), 1))
-        own = known.numbers[:, 3]
-        at = spread(known.ends() - own, own, chunk)
-        codes, pair = np.unique(known.codes[at], return_inverse=True)
-        key = np.repeat(doc, own[chunk]) * max(len(codes), 1) + pair
-        order = np.argsort(key, kind="stable")
-        key, weight = key[order], np.repeat(times, own[chunk])[order]
-        first = np.flatnonzero(np.diff(key, prepend=-1))
-        weight = np.add.reduceat(weight, first) if len(first) else weight
-        doc, pair = np.divmod(key[first], max(len(codes), 1))
-        uses = np.bincount(pair, minlength=len(codes))
-        held = np.bincount(doc, minlength=n)  # pairs of each document, numbered upwards: differences are small
-        step = np.diff(pair, prepend=0)
-        step[np.cumsum(held)[:-1][held[1:] > 0]] = pair[np.cumsum(held)[:-1][held[1:] > 0]]
+        codes, pair_of = np.unique(known.codes, return_inverse=True)
+        uses, held, pairs, weights = np.zeros(len(codes), np.int64), [], [], []
+        own = [chunks if whole else chunks[:0] for chunks, whole in zip(self.chunks, good.tolist())]
+        for begin, stop in runs([len(c) for c in own], PAIRED):
+            part = self._pairs_of(own[begin:stop], pair_of.astype(np.int32))
+            held.append(part[0])
+            pairs.append(part[1])
+            weights.append(part[2])
+            uses += np.bincount(part[1], minlength=len(codes))
+        number = np.cumsum(uses > 0) - 1
+        held, pair, weight = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (held or [np.zeros(len(own), np.int64)], pairs, weights))
+        pair = number[pair.astype(np.int64)]
+        codes, uses = codes[uses > 0], uses[uses > 0]
+        # Pairs of a document are numbered upwards: differences are small.
+        step, first = np.diff(pair, prepend=0), (np.cumsum(held) - held).astype(np.int64)[held > 0]
+        step[first] = pair[first]
         payload = pack(
             np.array(self.docs, np.int64), np.array(self.valid, bool), numbers, held.astype(np.uint32), "\n".join(reports).encode(),
             *planes(step, 4), *planes(weight, 4),
         )
-        self.align.forget(np.bincount(sequence, minlength=len(known.names)))
-        parts = (pa.array([uuid.uuid4().hex]), *(pa.array([p], pa.binary()) for p in (codes.tobytes(), uses.astype(np.int64).tobytes(), payload)))
+        self.align.forget(np.bincount(np.concatenate([*self.chunks, np.zeros(0, np.int32)]), minlength=len(known.names)))
+        parts = (pa.array([uuid.uuid4().hex]), *(pa.array([p], pa.binary()) for p in (codes.tobytes(), uses.tobytes(), payload)))
         return pa.RecordBatch.from_arrays(list(parts), names=["block", "codes", "uses", "payload"])
 
+    def _pairs_of(self, chunks: list[np.ndarray], pair_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """How many pairs each document holds, those pairs in order, and the number of their links."""
+        known, links = self.align.known, self.align.known.numbers[:, 3]
+        doc = np.repeat(np.arange(len(chunks)), [len(c) for c in chunks])
+        # Distinct (document, chunk) with their number, then distinct (document, pair) with theirs.
+        key, times = np.unique(doc * len(known.names) + np.concatenate(chunks), return_counts=True)
+        doc, chunk = np.divmod(key, len(known.names))
+        many = max(int(pair_of.max(initial=0)), 0) + 1
+        key = np.repeat(doc * many, links[chunk]) + pair_of[spread(known.ends() - links, links, chunk)]
+        order = np.argsort(key)
+        key, weight = key[order], np.repeat(times, links[chunk])[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        doc, pair = np.divmod(key[first], many)
+        return np.bincount(doc, minlength=len(chunks)), pair, np.add.reduceat(weight, first) if len(first) else weight
+
+
+def runs(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours with about `most` in all, which cover all; what is larger stands alone.
+
+    No range is empty: where all sizes are 0 there are none.
+    """
+    begin = total = 0
+    for k, size in enumerate(sizes):
+        if total and total + size > most:
+            yield begin, k
+            begin, total = k, 0
+        total += size
+    if total:
+        yield begin, len(sizes)
+
 
 def _align(batches, a_path: str, b_path: str, report: Callable[[str], str], block_bytes: int):
     align = aligner(a_path, b_path)

@@ -147,7 +147,9 @@ def test_alignment_of_documents_in_small_blocks(spark, monkeypatch):
 
 def test_forgotten_chunks_keep_the_others():
     align = token_alignment.Aligner(A, B)
-    align.remember(["one", "two", "naïve☃", "▁", "four\nfive"])
+    for chunk in ["one", "two", "naïve☃", "▁", "four\nfive"]:
+        align.index[chunk]
+    align.settle()
     before = {n: (align.known.numbers[k].tolist(), align.known.groups[k]) for n, k in align.index.items()}
     kept = align.known.taken(np.array([3, 1, 2]))
     assert {n: (kept.numbers[k].tolist(), kept.groups[k]) for k, n in enumerate(kept.names)} == {n: before[n] for n in kept.names}
