@@ -15,17 +15,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.line_dedup import folded
 from marketlens.llm.scratch import Scratch
 
-# What a word is made of, before A-Z are folded (digits, letters, all above ASCII).
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# A-Z fold to a-z; all of ASCII but digits and letters parts words.
+UPPER = "".join(map(chr, range(0x41, 0x5B)))
+APART = "".join(chr(c) for c in range(0x80) if not chr(c).isalnum())
 WINDOW = 10
 SLOP = 2
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(folded(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    """Words in lower case, by one pass over the letters and one cut at spaces."""
+    even = F.translate(F.coalesce(text, F.lit("")), UPPER + APART, UPPER.lower() + " " * len(APART))
+    return F.array_remove(F.split(even, " "), "")
 
 
 def test_windows(benchmark: DataFrame, width: int, item_column: str, text_column: str, short_items: bool) -> DataFrame:
@@ -94,13 +96,18 @@ def find_contamination(
         ),
         "anchors", release=False,
     )
+    # A null stands after each document's last word, so that its place is the number of words.
+    last = spark.createDataFrame([(None,)], "term string")
     looked_up = scratch.keep(
-        anchors.select(F.col("rarest").alias("term")).unionAll(anchors.select(F.col("second").alias("term")).where("term IS NOT NULL")).distinct(),
+        anchors.select(F.col("rarest").alias("term")).unionAll(anchors.select(F.col("second").alias("term"))).unionAll(last).distinct(),
         "terms", release=False,
     )
-    index = scratch.keep(
-        docs.select(*who, F.posexplode(words_of(text)).alias("place", "term")).join(looked_up, "term", "left_semi"), "index"
-    )
+    ended = F.concat(words_of(text), F.array(F.lit(None).cast("string")))
+    placed = docs.select(*who, F.posexplode(ended).alias("place", "term"))
+    # Rows that are equal in id and text are one document here.
+    placed = placed.join(looked_up, placed["term"].eqNullSafe(looked_up["term"]), "left_semi").distinct()
+    placed = scratch.keep(placed, "index")
+    index, lengths = placed.where("term IS NOT NULL"), placed.where("term IS NULL").select("doc", "mark", F.col("place").alias("n_words"))
 
     first = index.join(anchors, F.col("term") == F.col("rarest")).select(
         "doc", "mark", "w", (F.col("place") - F.col("rarest_at")).alias("begin"), "second", "second_at"
@@ -123,14 +130,16 @@ def find_contamination(
         F.collect_list(F.when(F.col("phrase"), F.struct("begin", "terms", "items"))).alias("phrases"),
         F.collect_set(F.when(~F.col("phrase"), F.col("w"))).alias("near"),
     )
-    candidates = scratch.keep(candidates, "candidates")
+    candidates = scratch.keep(lengths.join(candidates, ["doc", "mark"], "left"), "candidates")
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *who)
     joined = rows.join(candidates, ["doc", "mark"], "left").select(
-        "row", "phrases", "near", words_of(F.col("row").getField(text_column)).alias("words")
+        "row", "phrases", "near", "n_words",
+        # Only documents with a candidate are cut into words once more.
+        F.when(F.size("phrases") > 0, words_of(F.col("row").getField(text_column))).alias("words"),
     )
     true = F.filter("phrases", lambda c: F.slice(F.col("words"), c["begin"] + 1, F.size(c["terms"])) == c["terms"])
-    judged = joined.select("row", F.size("words").cast("long").alias("n_words"), "near", true.alias("true"))
+    judged = joined.select("row", F.col("n_words").cast("long").alias("n_words"), "near", true.alias("true"))
     spans = F.array_sort(
         F.array_distinct(F.transform("true", lambda c: F.struct(c["begin"].alias("begin"), (c["begin"] + F.size(c["terms"])).alias("end"))))
     )
