@@ -6,7 +6,8 @@ what they stand for, so they are global without any exchange: equal sequences ge
 their interior, and only what lies near their ends can differ. For every symbol it is known how far
 its making depended on its surroundings.
 
-1. Symbols that stand for at least a window of words and occur twice verify a long repeat at once.
+1. Symbols that stand for at least a window of words and occur twice, by their names and a second
+   hash of those words, verify a long repeat at once.
 2. Every window has a middle word, and that word a highest symbol that depends on nothing outside of
    the window. The symbol, with the words that all windows around it share, is the same wherever
    the window occurs. Spark counts these; where one occurs twice, its windows may repeat.
@@ -29,6 +30,10 @@ RUN_EVERY = 3
 MOST_ROUNDS = 96
 #: A verifying symbol is reported when it is the first to reach width times a power of this.
 GROWTH = 4
+#: Bytes of text whose symbols are held at once.
+SLICE_BYTES = 1 << 20
+#: Odd numbers that hashes of word ranges are taken to.
+BASE, CHECK_BASE = 0xD1342543DE82EF95, 0xAEF17502108EF2D9
 
 
 class Symbols:
@@ -147,15 +152,14 @@ def _grown(symbols: Symbols, known: np.ndarray, width: int):
     return mixed(symbols.name[new] ^ ODD[22]), symbols.text[new], symbols.begin[new], symbols.end[new], np.ones(int(new.sum()), bool)
 
 
-def _ranges(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+def _ranges(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray, base: int = BASE) -> np.ndarray:
     """A hash of the words from `begin` up to `end`, for many ranges at once."""
     if not len(begin):
         return np.empty(0, np.uint64)
     # Sums of hash times base^place, moved to place 0 by the inverse base; all modulo 2^64.
-    base = np.uint64(0xD1342543DE82EF95)
-    inverse = np.uint64(pow(int(base), -1, 1 << 64))
+    inverse = np.uint64(pow(base, -1, 1 << 64))
     n = len(hashes)
-    up = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, base))))
+    up = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, np.uint64(base)))))
     down = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, inverse))))
     sums = np.concatenate(([np.uint64(0)], np.cumsum(mixed(hashes) * up[:-1])))
     return mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64) * ODD[23])
@@ -163,13 +167,20 @@ def _ranges(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarra
 
 def _symbols(batches, width: int):
     for batch in batches:
-        for piece in slices(batch):
+        for piece in slices(batch, most=SLICE_BYTES):
             words = Words(piece.column("text"))
-            first = words.first.astype(np.int64)
-            name, text, begin, end, verifying = symbols_of(words.hashes(), first, width)
+            first, hashes = words.first.astype(np.int64), words.hashes()
+            name, text, begin, end, verifying = symbols_of(hashes, first, width)
             row = piece.column("row").to_numpy()
             span = ((begin - first[:-1][text]) << 32) | ((end - begin) << 1) | verifying
-            yield pa.RecordBatch.from_pydict({"name": name.view(np.int64), "row": row[text], "span": span})
+            # What removes words by itself goes by a second hash too, of the words it stands for.
+            check = np.zeros(len(name), np.uint64)
+            check[verifying] = _ranges(hashes, begin[verifying], end[verifying], CHECK_BASE)
+            for at in range(0, len(name), 1 << 16):
+                some = slice(at, at + (1 << 16))
+                yield pa.RecordBatch.from_pydict({
+                    "name": name[some].view(np.int64), "check": check[some].view(np.int64), "row": row[text[some]], "span": span[some]
+                })
 
 
 def _merge_spans(batches):
@@ -256,9 +267,9 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id
     text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
     number = F.col(f"`{id_column}`").cast("long")
     docs = docs.select(number.alias("doc_id"), text.alias("text"), F.xxhash64(F.coalesce(number, F.lit(-(2**62))), text).alias("row"))
-    names = scratch.keep(docs.mapInArrow(lambda b: _symbols(b, width), "name long, row long, span long"), "names")
-    again = names.groupBy("name").agg(F.count(F.lit(1)).alias("uses")).where("uses > 1").select("name")
-    shared = scratch.keep(names.join(again.hint("merge"), "name", "left_semi"), "shared")
+    names = scratch.keep(docs.mapInArrow(lambda b: _symbols(b, width), "name long, check long, row long, span long"), "names")
+    again = names.groupBy("name", "check").agg(F.count(F.lit(1)).alias("uses")).where("uses > 1").select("name", "check")
+    shared = scratch.keep(names.join(again.hint("merge"), ["name", "check"], "left_semi").drop("check"), "shared")
     scratch.drop("names")
     verified = shared.where("span % 2 = 1").groupBy("row").agg(F.collect_set("span").alias("spans"))
     verified = scratch.keep(verified.mapInArrow(_merge_spans, "row long, begins array<long>, ends array<long>"), "verified")
