@@ -27,7 +27,7 @@ from marketlens.llm.words import Words, slices
 VOCABULARY = 8192
 BITS = 14
 MIDDLES, FIRSTS = 16, 4  # shards
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 #: Twice the log of the likelihood ratio, and how many times the other share of texts, from which
 #: on an expression's counts are its model's own.
 TELLING, TIMES = 25.0, 20.0
