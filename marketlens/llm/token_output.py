@@ -9,13 +9,14 @@ so that records can be read in any order.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -25,11 +26,11 @@ from marketlens.llm.scratch import Scratch
 from marketlens.llm.words import slices
 
 # White space as the vocabulary's splitting pattern has it, and the mask of checksums.
-WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 MASK = 0xA282EAD8
 
 #: Where a space stands before other white space, tokens may begin elsewhere than at the space.
-RAGGED = re.compile(f" [{WHITE}]")
+RAGGED = f" [{WHITE}]"
 FILE_BYTES = 32 << 20
 #: Chunks whose ids a Python worker remembers; it starts anew when they are so many.
 REMEMBERED = 750_000
@@ -72,36 +73,58 @@ class Encoder:
         """Encode new chunks as one text and cut its ids where chunks end."""
         if len(self.known) + len(chunks) > REMEMBERED:
             self.known.clear()
-        [encoded] = self.tokenizer.encode_batch_fast(["".join(" " + c for c in chunks)], add_special_tokens=False)
-        ids = np.array(encoded.ids, self.type)
-        ends = np.cumsum([len(c.encode()) + 1 for c in chunks])
-        cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, side="right").tolist()
-        begin, size, data = 0, self.type.itemsize, ids.tobytes()
-        for chunk, cut in zip(chunks, cuts):
-            self.known[chunk] = data[begin * size : cut * size]
-            begin = cut
+        text = " " + " ".join(chunks)
+        [encoded] = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        ids, raw = np.array(encoded.ids, self.type), np.frombuffer(text.encode(), np.uint8)
+        ends = np.append(np.flatnonzero(raw == 0x20)[1:], len(raw))  # chunks have no spaces
+        cuts = (np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, side="right") * self.type.itemsize).tolist()
+        data = ids.tobytes()
+        self.known.update({chunk: data[begin:cut] for chunk, begin, cut in zip(chunks, [0, *cuts], cuts)})
+
+    def _odd(self, texts: pa.Array) -> np.ndarray:
+        """Texts that have to be encoded as they are."""
+        odd = pc.or_(pc.match_substring_regex(texts, RAGGED), pc.ends_with(texts, " "))
+        for special in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, special))
+        return odd.to_numpy(zero_copy_only=False)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes."""
-        out: list[bytes | None] = [None] * len(texts)
-        chunked, new = [], set()
-        for k, text in enumerate(texts):
-            if not text:
-                out[k] = b""
-            elif RAGGED.search(text) or text[-1] == " " or any(s in text for s in self.special):
-                out[k] = self._whole(text)
-            else:
-                first, *rest = text.split(" ")
-                found = list(map(self.known.get, rest))
-                missing = [i for i, ids in enumerate(found) if ids is None] if None in found else []
-                new.update([rest[i] for i in missing])
-                chunked.append((k, first, found, [(i, rest[i]) for i in missing]))
+        return [b"".join(ids) for ids in self.encode_column(pa.array(texts, pa.large_string()))]
+
+    def encode_column(self, texts: pa.Array) -> list[tuple]:
+        """The ids of each text, as pieces of bytes; null is empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = self._odd(texts)
+        cut = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        begin = np.concatenate(([0], np.cumsum(cut.value_lengths().to_numpy())))
+        parts = cut.flatten()
+        # What stands before the first space of a text has no space before it.
+        leading = np.zeros(len(parts), bool)
+        leading[begin[:-1]] = True
+        first = iter(parts.filter(pa.array(leading)).to_pylist())
+        chunks = parts.filter(pa.array(~leading)).dictionary_encode()
+        names = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, names))
+        new = [k for k, ids in enumerate(found) if ids is None]
         if new:
-            self._learn(list(new))
-        for k, first, found, missing in chunked:
-            for i, chunk in missing:
-                found[i] = self.known[chunk]
-            out[k] = (self._whole(first) if first else b"") + b"".join(found)
+            self._learn([names[k] for k in new])
+            for k in new:
+                found[k] = self.known[names[k]]
+        sizes = np.array([len(ids) for ids in found], np.int64) // self.type.itemsize
+        starts, chosen = np.cumsum(sizes) - sizes, chunks.indices.to_numpy()
+        ends = np.concatenate(([0], np.cumsum(sizes[chosen])))
+        at = np.arange(ends[-1]) + np.repeat(starts[chosen] - ends[:-1], sizes[chosen])
+        data = memoryview(np.frombuffer(b"".join(found), self.type)[at].tobytes())
+        edges = (ends[begin - np.arange(len(begin))] * self.type.itemsize).tolist()
+        spans = zip(edges, edges[1:])
+        out = []
+        for text, whole in zip(texts.to_pylist() if odd.any() else repeat(None), odd.tolist()):
+            if whole:
+                out.append((self._whole(text),))
+            else:
+                own, (low, high) = next(first), next(spans)
+                out.append((self._whole(own) if own else b"", data[low:high]))
         return out
 
 
@@ -163,10 +186,9 @@ def _write(batches, folder: str, tokenizer: str, end_id: int, file_bytes: int):
     done = []
     for batch in batches:
         for piece in slices(batch):
-            texts = [t or "" for t in piece.column("text").to_pylist()]
-            for doc, ids in zip(piece.column("doc_id").to_pylist(), encode.encode(texts)):
+            for doc, ids in zip(piece.column("doc_id").to_pylist(), encode.encode_column(piece.column("text"))):
                 head = PAYLOAD.pack(doc or 0, (doc is not None) | wide)
-                done.append(writer.add([head, ids, end], len(ids) // encode.type.itemsize + 1))
+                done.append(writer.add([head, *ids, end], sum(map(len, ids)) // encode.type.itemsize + 1))
     done = [d for d in [*done, writer.close()] if d]
     schema = [("part", pa.int32()), ("sequence", pa.int32()), ("name", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]
     yield pa.RecordBatch.from_pylist(done, pa.schema(schema))
