@@ -30,9 +30,9 @@ KNOWN = CLASSES * MEMBERS - SHAPES
 SIDE, EMBEDDED, HIDDEN = 2, 16, 24
 #: One document of so many is trained on.
 SHARE = 1
-EPOCHS = 3
-BATCH = 256
-STEP = 0.05
+EPOCHS = 1
+BATCH = 16384
+STEP = 0.15
 
 
 #: The first number that stands for a shape: those before are for repetitions of the word before.
@@ -85,7 +85,7 @@ class Network:
         ranks, counts = self.rank[numbers], words.counts
         owner = np.repeat(np.arange(len(counts)), counts)
         beyond, n = len(self.rank), len(ranks)
-        around = np.full((n, 2 * SIDE), beyond)
+        around = np.full((n, 2 * SIDE), beyond, np.int16)
         for k, shift in enumerate([s for s in range(-SIDE, SIDE + 1) if s]):
             to = slice(max(0, -shift), n - max(0, shift))
             off = slice(max(0, shift), n - max(0, -shift))
@@ -93,14 +93,19 @@ class Network:
                 around[to, k] = np.where(owner[to] == owner[off], ranks[off], beyond)
         return ranks, around, owner, counts
 
-    def _forward(self, around: np.ndarray):
-        w = self.weights
-        seen = w["embedding"][around].reshape(len(around), -1)
-        hidden = np.tanh(seen @ w["hidden"] + w["hidden_bias"])
-        return seen, hidden
+    def _places(self) -> list[np.ndarray]:
+        """The part of the hidden weights that each place around a word has."""
+        return np.split(self.weights["hidden"], 2 * SIDE)
+
+    def _forward(self, around: np.ndarray) -> np.ndarray:
+        """Hidden values: each place adds a row of its table, which is made once for all words."""
+        total = np.tile(self.weights["hidden_bias"], (len(around), 1))
+        for k, own in enumerate(self._places()):
+            total += np.take(self.weights["embedding"] @ own, around[:, k], axis=0)
+        return np.tanh(total, out=total)
 
     def log_probabilities(self, ranks: np.ndarray, around: np.ndarray) -> np.ndarray:
-        w, (_, hidden) = self.weights, self._forward(around)
+        w, hidden = self.weights, self._forward(around)
         own, member = ranks // MEMBERS, ranks % MEMBERS
         logits = hidden @ w["cls"] + w["cls_bias"]
         out = logits[np.arange(len(own)), own] - _log_sum(logits)
@@ -115,10 +120,10 @@ class Network:
 
     def learn(self, ranks: np.ndarray, around: np.ndarray, squares: dict[str, np.ndarray]) -> None:
         """One step of scaled gradient descent on a batch; weights that it does not touch stay."""
-        order = np.argsort(ranks // MEMBERS, kind="stable")
+        order = np.argsort((ranks // MEMBERS).astype(np.uint8), kind="stable")
         ranks, around = ranks[order], around[order]
         w, n = self.weights, len(ranks)
-        seen, hidden = self._forward(around)
+        hidden = self._forward(around)
         own, member, at = ranks // MEMBERS, ranks % MEMBERS, np.arange(n)
         p = _softmax(hidden @ w["cls"] + w["cls_bias"])
         p[at, own] -= 1
@@ -136,25 +141,36 @@ class Network:
         for c, part in zip(classes, parts):
             back[part] += p[part] @ w["member"][c].T
         back *= 1 - hidden * hidden
-        grad["hidden"], grad["hidden_bias"] = (..., seen.T @ back), (..., back.sum(axis=0))
-        order = np.argsort(around.ravel(), kind="stable")
-        entries = around.ravel()[order]
-        begins = np.flatnonzero(np.diff(entries, prepend=-1))
-        grad["embedding"] = entries[begins], np.add.reduceat((back @ w["hidden"].T).reshape(-1, EMBEDDED)[order], begins)
+        # What comes back to each word at each place, added up by word.
+        by_word = [_sums(back, around[:, k], len(w["embedding"])) for k in range(2 * SIDE)]
+        grad["hidden"] = ..., np.concatenate([w["embedding"].T @ sums for sums in by_word])
+        grad["hidden_bias"] = ..., back.sum(axis=0)
+        grad["embedding"] = ..., sum(sums @ own.T for sums, own in zip(by_word, self._places()))
         for name, (rows, g) in grad.items():
             g = g / n
             squares[name][rows] += g * g
             w[name][rows] -= STEP * g / (np.sqrt(squares[name][rows]) + 1e-6)
 
 
+def _sums(values: np.ndarray, entry: np.ndarray, size: int) -> np.ndarray:
+    """Rows of values added up by entry."""
+    order = np.argsort(entry, kind="stable")
+    begins = np.flatnonzero(np.diff(entry[order], prepend=-1))
+    out = np.zeros((size, values.shape[1]), values.dtype)
+    out[entry[order[begins]]] = np.add.reduceat(np.take(values, order, axis=0), begins)
+    return out
+
+
 def _log_sum(logits: np.ndarray) -> np.ndarray:
     top = logits.max(axis=1, keepdims=True)
-    return (np.log(np.exp(logits - top).sum(axis=1, keepdims=True)) + top)[:, 0]
+    return np.log(np.exp(logits - top) @ np.ones(logits.shape[1], logits.dtype)) + top[:, 0]
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    e = np.exp(logits - logits.max(axis=1, keepdims=True))
-    return e / e.sum(axis=1, keepdims=True)
+    e = logits - logits.max(axis=1, keepdims=True)
+    np.exp(e, out=e)
+    e /= (e @ np.ones(e.shape[1], e.dtype))[:, None]
+    return e
 
 
 def _train(batches, network: Network, vocabulary: Vocabulary, epoch: int):
@@ -191,7 +207,8 @@ def _score(batches, network: Network, vocabulary: Vocabulary):
                 total += np.bincount(owner[at], network.log_probabilities(ranks[at], around[at]), len(counts))
             shaped = np.flatnonzero((numbers >= FIRST_SHAPE) & (numbers < SHAPES))
             names, texts = words.hashes()[shaped], owner[shaped]
-            order = np.lexsort((names, texts))
+            # By text, and within by most of the hash: a word's entries may come in parts, which add up.
+            order = np.argsort((texts << 43) | (names >> np.uint64(21)).astype(np.int64))
             names, texts = names[order], texts[order]
             new = np.ones(len(names), bool)
             new[1:] = (names[1:] != names[:-1]) | (texts[1:] != texts[:-1])

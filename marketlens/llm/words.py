@@ -72,6 +72,7 @@ class Words:
         self.end = np.flatnonzero(end) + 1
         self.first = np.searchsorted(self.begin, self.offsets)
         self.fold = fold
+        self._hashes: np.ndarray | None = None
 
     @property
     def counts(self) -> np.ndarray:
@@ -79,6 +80,8 @@ class Words:
 
     def hashes(self, most: int | None = None) -> np.ndarray:
         """64 bits of each word, or of its first `most` bytes, the same in all tasks."""
+        if most is None and self._hashes is not None:
+            return self._hashes
         if not len(self.begin):
             return np.empty(0, np.uint64)
         lengths = self.end - self.begin
@@ -91,7 +94,10 @@ class Words:
         if self.fold:
             raw = FOLD[raw]
         sums = np.add.reduceat(BYTE[raw] * POWER[at & (POWERS - 1)], starts)
-        return mixed(sums + lengths.astype(np.uint64))
+        found = mixed(sums + lengths.astype(np.uint64))
+        if most is None:
+            self._hashes = found
+        return found
 
 
 def windows(hashes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
