@@ -49,7 +49,7 @@ KIND[128:] = 32
 START, REPEAT, REPEATS = 0, 1, 3
 SHAPES = 1 + REPEATS + 64 * 4
 
-EVENTS = "shard int, salt int, kind int, model int, key long, value float, block long, payload binary"
+EVENTS = "shard int, salt int, kind int, key long, value float, other float, block long, payload binary"
 TRIGRAM, CONTEXT, BIGRAM, MIDDLE = range(4)
 #: A letter is a byte, or the edge of a word (0); a key is a letter after those before it.
 LETTERS, LETTER_BITS, LETTER_ORDER = 257, 9, 5
@@ -366,12 +366,15 @@ def train(training: DataFrame, vocabulary: Vocabulary, models: int, scratch: Scr
 
     every = F.explode(F.sequence(F.lit(0), F.lit(FIRSTS - 1)))
     v_w, u_v = F.expr(f"shiftleft(v, {BITS}) | w"), F.expr(f"shiftleft(u, {BITS}) | v")
-    return (
+    every_row = (
         rows(a3.withColumn("shard", _shard("u", "v")), TRIGRAM, F.col("key"), "a")
         .unionAll(rows(g3.withColumn("shard", _shard("u", "v")), CONTEXT, u_v, "g"))
         .unionAll(rows(p2.withColumn("first", every).withColumn("shard", _spread("first")), BIGRAM, v_w, "p"))
         .unionAll(rows(g2.withColumn("first", every).withColumn("shard", _spread("first")), MIDDLE, F.col("v"), "g"))
     )
+    # One row holds what both models say of a key; null where a model has nothing.
+    own = [F.max(F.when(F.col("model") == m, F.col("value"))).alias(name) for m, name in enumerate(("value", "other"))]
+    return every_row.groupBy("shard", "kind", "key").agg(*own)
 
 
 def _spread(first: str):
@@ -417,7 +420,7 @@ def _events(batches, vocabulary: Vocabulary, salts: int):
             np.array(marks, np.int64), np.concatenate(counts).astype(np.int64),
             np.concatenate(spelled),
         )
-        out = [{"shard": -1 - block % 1024, "salt": 0, "kind": 9, "model": 0, "key": 0, "value": 0.0, "block": block, "payload": head}]
+        out = [{"shard": -1 - block % 1024, "salt": 0, "kind": 9, "key": 0, "value": 0.0, "other": 0.0, "block": block, "payload": head}]
         for k in range(MIDDLES * FIRSTS):
             own, text = key[cuts[k] : cuts[k + 1]], owner[cuts[k] : cuts[k + 1]]
             if len(own):
@@ -425,7 +428,7 @@ def _events(batches, vocabulary: Vocabulary, salts: int):
                 uses = np.diff(np.append(np.flatnonzero(new), len(own)))
                 step = np.diff(own[new], prepend=0)
                 payload = pack(np.array([base], np.int64), uses.astype(np.uint32), *_planes(step, 6), *_planes(text, 4))
-                out.append({"shard": k, "salt": block % salts, "kind": 9, "model": 0, "key": 0, "value": 0.0, "block": block, "payload": payload})
+                out.append({"shard": k, "salt": block % salts, "kind": 9, "key": 0, "value": 0.0, "other": 0.0, "block": block, "payload": payload})
         return pa.RecordBatch.from_pylist(out, EVENT_SCHEMA)
 
     for batch in batches:
@@ -440,8 +443,8 @@ def _events(batches, vocabulary: Vocabulary, salts: int):
 
 
 EVENT_SCHEMA = pa.schema([
-    ("shard", pa.int32()), ("salt", pa.int32()), ("kind", pa.int32()), ("model", pa.int32()), ("key", pa.int64()),
-    ("value", pa.float32()), ("block", pa.int64()), ("payload", pa.binary()),
+    ("shard", pa.int32()), ("salt", pa.int32()), ("kind", pa.int32()), ("key", pa.int64()),
+    ("value", pa.float32()), ("other", pa.float32()), ("block", pa.int64()), ("payload", pa.binary()),
 ])
 
 
@@ -453,24 +456,26 @@ def _look_up(table: tuple[np.ndarray, np.ndarray] | None, keys: np.ndarray, defa
 
 
 def _score(batches, vocabulary: Vocabulary, models: int):
-    """Rows by (shard, salt, kind, model, key): a shard's tables, then its packed trigrams."""
+    """Rows by (shard, salt, kind, key): a shard's tables, then its packed trigrams."""
     current, parts, tables = None, {}, None
     mask = (1 << BITS) - 1
     schema = pa.schema([("block", pa.int64()), ("payload", pa.binary())])
     for batch in batches:
-        shard, salt, kind, model = (batch.column(c).to_numpy().astype(np.int64) for c in ("shard", "salt", "kind", "model"))
-        key, value = batch.column("key").to_numpy(), batch.column("value").to_numpy()
-        group = ((shard + (1 << 20)) << 40) | (salt << 16) | (kind << 8) | model
+        shard, salt, kind = (batch.column(c).to_numpy().astype(np.int64) for c in ("shard", "salt", "kind"))
+        key, values = batch.column("key").to_numpy(), [batch.column(c).to_numpy(zero_copy_only=False) for c in ("value", "other")[:models]]
+        group = ((shard + (1 << 20)) << 40) | (salt << 16) | kind
         edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)] if len(group) else [0]
         for begin, end in zip(edges, edges[1:]):
             place = (int(shard[begin]), int(salt[begin]))
             if place != current:
                 current, parts, tables = place, {}, None
             if kind[begin] < 9:
-                parts.setdefault((int(model[begin]), int(kind[begin])), []).append((key[begin:end], value[begin:end]))
+                for m, own in enumerate(values):
+                    known = ~np.isnan(own[begin:end])
+                    parts.setdefault((m, int(kind[begin])), []).append((key[begin:end][known], own[begin:end][known]))
                 continue
             if tables is None:
-                tables = {name: tuple(np.concatenate(x) for x in zip(*pieces)) for name, pieces in parts.items()}
+                tables, parts = {name: tuple(np.concatenate(x) for x in zip(*pieces)) for name, pieces in parts.items()}, {}
             for k in range(begin, end):
                 block, payload = batch.column("block")[k].as_py(), batch.column("payload")[k].as_py()
                 if place[0] < 0:
@@ -531,10 +536,10 @@ def log_likelihoods(docs: DataFrame, tables: DataFrame, vocabulary: Vocabulary,
     shared = spark.sparkContext.broadcast(vocabulary)
     events = docs.select("doc_id", "mark", "text").mapInArrow(lambda b: _events(b, shared.value, salts), EVENTS)
     model = tables.select(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "kind", "model", "key", "value",
+        "shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "kind", "key", "value", "other",
         F.lit(None).cast("long").alias("block"), F.lit(None).cast("binary").alias("payload"),
     )
-    rows = events.unionAll(model).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind", "model", "key", "block")
+    rows = events.unionAll(model).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind", "key", "block")
     scored = rows.mapInArrow(lambda b: _score(b, shared.value, models), "block long, payload binary")
     rows = scored.repartition("block").sortWithinPartitions("block")
     return rows.mapInArrow(lambda b: _collect(b, models), "doc_id long, mark long, n_words long, log_likelihood array<double>")
