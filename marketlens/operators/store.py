@@ -266,3 +266,36 @@ def months_to_refresh(raw: VersionedTable, features: VersionedTable, facts: dict
     was = date.fromisoformat(facts["begin"])
     recent = days.where(F.col("posted_date") >= F.lit(min(was, begin))).select(month_of(F.col("posted_date"))).distinct()
     return sorted({r[0] for r in recent.collect()} | set(months_between(min(was, begin), max(was, begin))))  # a row per month
+
+
+def clustered_table(spark: SparkSession, path: str) -> VersionedTable:
+    """Postings once more, a piece per month, each by city and day; unknown dates are a piece too."""
+    return VersionedTable(spark, path, JOBS_RAW, place=F.coalesce(month_of(F.col("posted_date")), F.lit("unknown")))
+
+
+def refresh_clustered(raw: VersionedTable, path: str) -> list[str]:
+    """Bring the clustered copy up to date with the stored postings; the rewritten months.
+
+    Those are the months of postings that are new or changed since the last time. A posting keeps
+    its date.
+    """
+    table = clustered_table(raw.spark, path)
+    version = raw.manifest()["version"]
+    fresh = raw.changed_since(table.manifest()["facts"].get("raw", 0), version)
+    name = F.coalesce(month_of(F.col("posted_date")), F.lit("unknown"))
+    months = sorted(r[0] for r in fresh.select(name).distinct().collect())  # a row per month
+    if months:
+        table.replace_pieces(raw.read(version).where(name.isin(months)), months, {"raw": version}, ["city", "posted_date"])
+    return months
+
+
+def clustered_since(table: VersionedTable, as_of: date, days: int) -> DataFrame:
+    """Postings of the last days, from their months only; 0 days stand for no bound.
+
+    A filter on the city skips row groups inside the files, which hold a city's postings together.
+    """
+    if days <= 0:
+        return table.read()
+    begin = as_of - timedelta(days)
+    rows = table.read(pieces=lambda name: name != "unknown" and name >= f"{begin:%Y-%m}")
+    return rows.where(F.col("posted_date") >= F.lit(begin))

@@ -250,6 +250,30 @@ def test_failed_refresh_leaves_the_old_export(spark, tmp_path, postings):
     assert january.where("posted_date >= '2026-02-01'").count() == 0 < january.count()
 
 
+def test_clustered_postings_skip_files(spark, tmp_path, postings):
+    raw, path = VersionedTable(spark, str(tmp_path / "raw"), JOBS_RAW), str(tmp_path / "clustered")
+    raw.append(postings.where("coalesce(posted_date, date'2026-01-01') <> '2026-02-10'"))
+    first = store.refresh_clustered(raw, path)
+    assert {"2025-12", "2026-01", "2026-02", "unknown"} <= set(first) and store.refresh_clustered(raw, path) == []
+    raw.append(postings.where("posted_date = '2026-02-10'"))
+    assert store.refresh_clustered(raw, path) == ["2026-02"]
+    table = store.clustered_table(spark, path)
+    same_rows(table.read(), postings)
+    # P2: the other months' files are not opened.
+    for days, months in ((14, {"2026-02"}), (30, {"2026-01", "2026-02"})):
+        recent = store.clustered_since(table, AS_OF, days)
+        assert {f.split(PIECE + "=")[1].split("/")[0] for f in recent.inputFiles()} == months
+        same_rows(recent, postings.where(F.col("posted_date") >= F.date_sub(F.lit(AS_OF), days)))
+    # P5: a search form's dates and city reach the files.
+    spec = search.FilterSpec(city="Ottawa", posted_days=14)
+    found = search.filter_search(store.clustered_since(table, AS_OF, spec.posted_days), spec, AS_OF)
+    assert [tuple(r) for r in found.collect()] == [tuple(r) for r in search.filter_search(postings, spec, AS_OF).collect()]
+    few = store.clustered_since(table, AS_OF, 14).where("city = 'Ottawa'").select("job_id")
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(city,Ottawa)" in plan and "GreaterThanOrEqual(posted_date" in plan
+    assert store.clustered_since(table, AS_OF, 0).count() == postings.count()
+
+
 def test_runs_with_a_waiting_table_store_the_same_features(spark, tmp_path, postings):
     sets = [[str(tmp_path / f"{k}-{n}") for n in ("raw", "features", "export", "metrics", "waiting")] for k in range(2)]
     with_it, without = Tables(*sets[0]), Tables(*sets[1][:4])
