@@ -243,28 +243,31 @@ def learn_letters(training: DataFrame, vocabulary: Vocabulary) -> None:
     vocabulary.letters = Letters(found.column("key").to_numpy(), found.column("uses").to_numpy())
 
 
-def _discounts(counts: DataFrame) -> DataFrame:
+def _discounts(counts: DataFrame, models: int) -> list[tuple[float, float, float]]:
     """Modified Kneser-Ney discounts d1, d2, d3 of each model from its counts of counts."""
-    n = counts.groupBy("model").agg(*[F.sum(F.when(F.col("c") == k, 1).otherwise(0)).alias(f"n{k}") for k in range(1, 5)])
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-    # Tiny samples may lack a count of counts; half of the count is taken off then.
-    d = [
-        F.when((F.col("n1") > 0) & (F.col(f"n{k}") > 0), F.greatest(F.lit(0.05 * k), k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")))
-        .otherwise(F.lit(k / 2)).alias(f"d{k}")
-        for k in (1, 2, 3)
-    ]
-    return n.select("model", *d)
-
-
-def _interpolated(counts: DataFrame, context: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Discounted probabilities `a` of counts c, and the weight `g` each context leaves to the lower order."""
-    taken = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-    # Three rows a model: small by construction, and read by every task.
-    counts = counts.join(F.broadcast(_discounts(counts)), "model").withColumn("taken", F.least(taken, F.col("c")))
-    totals = counts.groupBy("model", *context).agg(F.sum("c").alias("total"), F.sum("taken").alias("taken_all"))
-    a = counts.join(totals, ["model", *context]).withColumn("a", (F.col("c") - F.col("taken")) / F.col("total"))
-    g = totals.select("model", *context, (F.col("taken_all") / F.col("total")).alias("g"))
-    return a, g
+    found = counts.agg(*[F.count_if(F.col(f"c{m}") == k).alias(f"n{m}_{k}") for m in range(models) for k in range(1, 5)]).first()
+    out = []
+    for m in range(models):
+        n = [0, *(found[f"n{m}_{k}"] for k in range(1, 5))]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.0
+        # Tiny samples may lack a count of counts; half of the count is taken off then.
+        out.append(tuple(max(0.05 * k, k - (k + 1) * y * n[k + 1] / n[k]) if n[1] and n[k] else k / 2 for k in (1, 2, 3)))
+    return out
+
+
+def _interpolated(counts: DataFrame, context: list[str], models: int) -> tuple[DataFrame, DataFrame]:
+    """Discounted probabilities a0, a1 of counts c0, c1, and the weights g0, g1 that each context
+    leaves to the lower order; null where a model has no such count."""
+    each = list(zip(range(models), _discounts(counts, models)))
+    taken = {
+        f"taken{m}": F.least(F.when(F.col(f"c{m}") == 1, d[0]).when(F.col(f"c{m}") == 2, d[1]).otherwise(d[2]), F.col(f"c{m}")) for m, d in each
+    }
+    counts = counts.withColumns(taken)
+    sums = [F.sum(f"{name}{m}").alias(f"{name}_all{m}") for m, _ in each for name in ("c", "taken")]
+    totals = counts.groupBy(*context).agg(*sums)
+    a = {f"a{m}": F.when(F.col(f"c{m}") > 0, (F.col(f"c{m}") - F.col(f"taken{m}")) / F.col(f"c_all{m}")) for m, _ in each}
+    g = [F.when(F.col(f"c_all{m}") > 0, F.col(f"taken_all{m}") / F.col(f"c_all{m}")).alias(f"g{m}") for m, _ in each]
+    return counts.join(totals, context).withColumns(a), totals.select(*context, *g)
 
 
 def _count_expressions(batches, fold: bool, letters_only: bool):
@@ -322,59 +325,65 @@ def shared_counts(tri: DataFrame, telling: range) -> DataFrame:
     All other n-grams get the pooled count in both, so that chance differences between rare
     expressions do not tell the models apart; those of telling words are scaled to the pooled size.
     """
-    first, last = telling.start, telling.stop - 1
-    totals = {r.model: r.n for r in tri.groupBy("model").agg(F.sum("c").alias("n")).collect()}
-    scale = F.when(F.col("model") == 1, sum(totals.values()) / totals.get(1, 1)).otherwise(sum(totals.values()) / totals.get(0, 1))
-    own = tri.where(F.col("w").between(first, last)).withColumn("c", F.greatest(F.lit(1), F.round(F.col("c") * scale)).cast("long"))
-    pooled = tri.where(~F.col("w").between(first, last)).groupBy("key", "u", "v", "w").agg(F.sum("c").alias("c"))
-    columns = ["model", "key", "u", "v", "w", "c"]
-    return own.select(columns).unionAll(pooled.withColumn("model", F.explode(F.array(F.lit(0), F.lit(1)))).select(columns))
+    totals = tri.agg(F.sum("c0"), F.sum("c1")).first()
+    sizes = [int(n or 0) for n in totals]
+    own = [
+        F.when(F.col(f"c{m}") > 0, F.greatest(F.lit(1), F.round(F.col(f"c{m}") * (sum(sizes) / (sizes[m] or 1)))).cast("long")).otherwise(0)
+        for m in range(2)
+    ]
+    tells = F.col("w").between(telling.start, telling.stop - 1)
+    return tri.withColumns({f"c{m}": F.when(tells, own[m]).otherwise(F.col("c0") + F.col("c1")) for m in range(2)})
 
 
 def train(training: DataFrame, vocabulary: Vocabulary, models: int, scratch: Scratch) -> DataFrame:
     """Tables of the models from rows (text, model), as rows for the shards; sets the unigrams.
 
-    Two models share the counts of all but telling words, and the lowest order of each falls back
-    on the pooled continuation counts, so that rare words weigh alike in both.
+    A row has what all models say of a key: null where one has nothing. Two models share the counts
+    of all but telling words, and the lowest order of each falls back on the pooled continuation
+    counts, so that rare words weigh alike in both.
     """
+    every = range(models)
     counted = training.select("text", "model").mapInArrow(lambda b: _count_trigrams(b, vocabulary), "model int, key long, c long")
     part = lambda shift: F.expr(f"shiftright(key, {shift}) & {(1 << BITS) - 1}")
-    tri = counted.groupBy("model", "key").agg(F.sum("c").alias("c"))
-    tri = scratch.keep(tri.select("model", "key", part(2 * BITS).alias("u"), part(BITS).alias("v"), part(0).alias("w"), "c"), "trigrams")
+    tri = counted.groupBy("key").agg(*[F.sum(F.when(F.col("model") == m, F.col("c")).otherwise(0)).alias(f"c{m}") for m in every])
+    columns = [f"c{m}" for m in every]
+    tri = scratch.keep(tri.select("key", part(2 * BITS).alias("u"), part(BITS).alias("v"), part(0).alias("w"), *columns), "trigrams")
     if models == 2:
-        tri = scratch.keep(shared_counts(tri, vocabulary.telling_numbers), "shared-trigrams")
-    bi = tri.groupBy("model", "v", "w").agg(F.count(F.lit(1)).alias("c"))
-    uni = bi.groupBy("model", "w").agg(F.count(F.lit(1)).alias("c")).toArrow()  # at most a row per word of the vocabulary
-    model, word, count = (uni.column(c).to_numpy() for c in ("model", "w", "c"))
+        tri = shared_counts(tri, vocabulary.telling_numbers)
+    bi = tri.groupBy("v", "w").agg(*[F.count_if(F.col(c) > 0).alias(c) for c in columns])
+    bi = scratch.keep(bi, "bigrams")
+    uni = bi.groupBy("w").agg(*[F.count_if(F.col(c) > 0).alias(c) for c in columns]).toArrow()  # a row per word of the vocabulary
     counts = np.zeros((models, vocabulary.size))
-    counts[model, word] = count
+    for m in every:
+        counts[m, uni.column("w").to_numpy()] = uni.column(f"c{m}").to_numpy()
     pooled = (counts.sum(axis=0) + 0.5) / (counts.sum() + 0.5 * vocabulary.size)
     vocabulary.unigrams = []
     for own in counts:
         taken = np.minimum(own, 0.75)
         left = taken.sum() / max(own.sum(), 1) if own.sum() else 1.0
         vocabulary.unigrams.append((own - taken) / max(own.sum(), 1) + left * pooled)
-    a3, g3 = _interpolated(tri, ["u", "v"])
-    a2, g2 = _interpolated(bi, ["v"])
+    a3, g3 = _interpolated(tri, ["u", "v"], models)
+    a2, g2 = _interpolated(bi, ["v"], models)
     lowest = tri.sparkSession.createDataFrame(
-        [(m, w, float(p)) for m in range(models) for w, p in enumerate(vocabulary.unigrams[m])], "model int, w long, p double"
+        [(w, *map(float, p)) for w, p in enumerate(zip(*vocabulary.unigrams))], "w long, " + ", ".join(f"p{m} double" for m in every)
     )
-    p2 = a2.join(g2, ["model", "v"]).join(lowest, ["model", "w"]).withColumn("p", F.col("a") + F.col("g") * F.col("p"))
+    p2 = a2.join(g2, ["v"]).join(lowest, ["w"]).withColumns({f"p{m}": F.col(f"a{m}") + F.col(f"g{m}") * F.col(f"p{m}") for m in every})
 
     def rows(table, kind, key, value):
-        return table.select("shard", F.lit(kind).alias("kind"), "model", key.cast("long").alias("key"), F.col(value).cast("float").alias("value"))
+        values = [F.col(f"{value}{m}") if m < models else F.lit(None) for m in range(2)]
+        return table.select(
+            "shard", F.lit(kind).alias("kind"), key.cast("long").alias("key"),
+            *[v.cast("float").alias(name) for v, name in zip(values, ("value", "other"))],
+        )
 
-    every = F.explode(F.sequence(F.lit(0), F.lit(FIRSTS - 1)))
+    first = F.explode(F.sequence(F.lit(0), F.lit(FIRSTS - 1)))
     v_w, u_v = F.expr(f"shiftleft(v, {BITS}) | w"), F.expr(f"shiftleft(u, {BITS}) | v")
-    every_row = (
+    return (
         rows(a3.withColumn("shard", _shard("u", "v")), TRIGRAM, F.col("key"), "a")
         .unionAll(rows(g3.withColumn("shard", _shard("u", "v")), CONTEXT, u_v, "g"))
-        .unionAll(rows(p2.withColumn("first", every).withColumn("shard", _spread("first")), BIGRAM, v_w, "p"))
-        .unionAll(rows(g2.withColumn("first", every).withColumn("shard", _spread("first")), MIDDLE, F.col("v"), "g"))
+        .unionAll(rows(p2.withColumn("first", first).withColumn("shard", _spread("first")), BIGRAM, v_w, "p"))
+        .unionAll(rows(g2.withColumn("first", first).withColumn("shard", _spread("first")), MIDDLE, F.col("v"), "g"))
     )
-    # One row holds what both models say of a key; null where a model has nothing.
-    own = [F.max(F.when(F.col("model") == m, F.col("value"))).alias(name) for m, name in enumerate(("value", "other"))]
-    return every_row.groupBy("shard", "kind", "key").agg(*own)
 
 
 def _spread(first: str):

@@ -90,7 +90,8 @@ def score_toxicity(
     learned = chosen.where("NOT curve") if halved else chosen
     training = rows.join(F.broadcast(learned), "doc_id").select("text", F.col("model").cast("int").alias("model"))
     # A group of near copies would make all its words look telling: one of them is enough.
-    training = training.mapInArrow(_signed, "text string, model int, sign long").dropDuplicates(["model", "sign"])
+    training = training.mapInArrow(_signed, "text string, model int, sign long").groupBy("model", "sign")
+    training = training.agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))  # the same one in every run
     training = scratch.keep(training.select("text", "model"), "training")
     vocabulary = kneser_ney.learn_vocabulary(training, kneser_ney.VOCABULARY, fold=True, letters_only=True)
     kneser_ney.learn_telling(training, vocabulary)
