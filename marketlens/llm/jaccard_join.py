@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from marketlens.llm.components import connected
 from marketlens.llm.kneser_ney import mark as text_mark
-from marketlens.llm.scratch import Scratch
+from marketlens.llm.scratch import Scratch, own_name
 from marketlens.llm.words import ODD, Words, mixed, slices, windows
 
 SHINGLE = 5
@@ -357,3 +357,27 @@ def _least_in_prefix(m: str, n: str, percent: int) -> Column:
     """
     overlap = F.ceil(percent * (F.col(m) + F.col(n)) / (100 + percent))
     return F.greatest(F.lit(1), overlap - F.ceil(percent * F.greatest(F.col(m), F.col(n)) / 100) + 1)
+
+
+def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs` (doc_id, text and others) without near duplicates, columns as they are.
+
+    Of a group the row with the smallest id stays, null ids last, and of its texts the one with the
+    smallest hash. Of rows equal in id and text one stays, whatever else they hold; texts without
+    words (null and empty ones too) are no duplicates otherwise. Rows go by id and text, so that
+    equal and null ids do not take others with them. Very long texts are compared whole; no rows
+    give no rows.
+    """
+    scratch = Scratch(docs.sparkSession, "groups")
+    found = near_duplicate_components(docs, width=width, percent=percent, marks=True)
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    found = scratch.keep(found.select("component", row.alias("row")), "found")
+    first = found.where("component IS NOT NULL").groupBy("component").agg(F.min("row").alias("first"))
+    gone = found.join(first.hint("merge"), "component").where("row <> first").select("row.doc_id", "row.mark").distinct()
+    gone = scratch.keep(gone, "gone")
+    own = own_name(docs)
+    rows = docs.withColumn(own, text_mark("text"))
+    kept = rows.join(gone.hint("merge"), rows["doc_id"].cast("long").eqNullSafe(gone["doc_id"]) & (rows[own] == gone["mark"]), "left_anti")
+    if not found.groupBy("row").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", own])
+    return kept.drop(own)

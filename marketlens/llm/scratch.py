@@ -10,6 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from marketlens.session import shared_folder
 
 
+def own_name(df: DataFrame) -> str:
+    """A name that no column of `df` has: it is longer than all of them."""
+    return "_" * (1 + max(map(len, df.columns), default=0))
+
+
 class Scratch:
     """A new folder per operator call, below the shared one.
 

@@ -48,7 +48,7 @@ def test_vectors_without_or_with_repeated_ids(spark):
 @pytest.mark.parametrize("number", [1, 2, 3, 4])
 def test_stages_on_empty_tables_and_clashing_columns(spark, number):
     docs = queries.table(spark, FOLDER, "documents").limit(12)
-    clashing = docs.withColumns({name: F.lit("x") for name in ("mark", "row", "w", "n_hit", "component", "key", "shard", "model")})
+    clashing = docs.withColumns({name: F.lit("x") for name in ("mark", "__mark", "row", "w", "n_hit", "component", "key", "shard", "model")})
     name, stage = corpus_pipeline.STAGES[number]
     for df in (docs.limit(0), clashing):
         found = stage(spark, df, FOLDER)
