@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import decontaminate, jaccard_join, kneser_ney, line_dedup, pieces, quality, queries
+from marketlens.llm import decontaminate, jaccard_join, line_dedup, pieces, quality, queries
 from marketlens.llm.scratch import Scratch
 
 
@@ -22,24 +22,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five words, similarity 0.8.
-
-    Of a group the one with the smallest id stays, null ids last, and of its texts the one with the
-    smallest hash. Of rows equal in id and text one stays; texts without words are no duplicates
-    otherwise. Rows go by id and text, so that equal and null ids do not take others with them.
-    """
-    scratch = Scratch(spark, "groups")
-    found = jaccard_join.near_duplicate_components(docs, marks=True)
-    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
-    found = scratch.keep(found.select("component", row.alias("row")), "found")
-    first = found.where("component IS NOT NULL").groupBy("component").agg(F.min("row").alias("first"))
-    gone = found.join(first.hint("merge"), "component").where("row <> first").select("row.doc_id", "row.mark").distinct()
-    gone = scratch.keep(gone, "gone")
-    rows = docs.withColumn("__mark", kneser_ney.mark("text"))
-    kept = rows.join(gone.hint("merge"), rows["doc_id"].cast("long").eqNullSafe(gone["doc_id"]) & (rows["__mark"] == gone["mark"]), "left_anti")
-    if not found.groupBy("row").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "__mark"])
-    return kept.drop("__mark")
+    """One document of each group of near duplicates: five words, similarity 0.8."""
+    return jaccard_join.keep_one_of_each(docs, width=5, percent=80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
