@@ -39,6 +39,7 @@ COMPANY_OK = """coalesce(lower(company) NOT IN ('unknown', 'n/a', 'na') AND leng
 REQUIRED_OK = "(" + " AND ".join(f"coalesce(CAST({c} AS VARCHAR), '') <> ''" for c in quality.REQUIRED) + ")"
 ID_OK = "starts_with(job_id, source || '_')"
 DATE_OK = "coalesce(date_diff('day', posted_date, DATE '2026-02-20') BETWEEN 0 AND 90, FALSE)"
+# Fixed value: what marks a posting as spam.
 SPAM = """regexp_matches(lower(concat(coalesce(title, 'None'), ' ', coalesce(company, 'None'), ' ',
   coalesce(description, 'None'))), 'work from home|make \\$\\d+|click here|limited time|act now|guaranteed|100% remote.*no experience')"""
 
@@ -266,6 +267,7 @@ def _(fx):
 # Feature extraction, by patterns without the shortcuts of the Spark side.
 
 TEXT = "lower(title) || ' ' || lower(description)"
+# How years are written, alone and as ranges.
 UNIT = r"\s*(?:years?|yrs?)"
 RANGE = rf"(\d+)[\s\-]*(?:to|-)[\s\-]*(\d+){UNIT}"
 SINGLES = [rf"(\d+)\+?{UNIT}", rf"minimum\s*(?:of\s*)?(\d+){UNIT}", rf"at least\s*(\d+){UNIT}"]
