@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.session import shared_folder
 
 
+#: glibc's call that returns freed memory; absent elsewhere.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def own_name(df: DataFrame) -> str:
     """A name that no column of `df` has: it is longer than all of them."""
     return "_" * (1 + max(map(len, df.columns), default=0))
@@ -59,6 +65,12 @@ class Scratch:
             files.delete(path, True)
 
     def release(self) -> None:
-        """Shuffle files go when the driver collects the plans that made them."""
+        """Shuffle files go when the driver collects the plans that made them.
+
+        What Python has freed goes back to the system too: a driver runs many operators in a row.
+        """
         gc.collect()
+        pa.default_memory_pool().release_unused()
+        if _trim is not None:
+            _trim(0)
         self.spark.sparkContext._jvm.System.gc()
