@@ -109,7 +109,7 @@ class Network:
         own, member = ranks // MEMBERS, ranks % MEMBERS
         logits = hidden @ w["cls"] + w["cls_bias"]
         out = logits[np.arange(len(own)), own] - _log_sum(logits)
-        order = np.argsort(own, kind="stable")
+        order = np.argsort(own.astype(np.uint8), kind="stable")
         cuts = np.searchsorted(own[order], np.arange(CLASSES + 1))
         for c in range(CLASSES):
             at = order[cuts[c] : cuts[c + 1]]
