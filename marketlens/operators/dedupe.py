@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marketlens.functions.text import normalise, strip
+from marketlens.functions.text import WHITESPACE, normalise, strip
 from marketlens.operators.rows import first_per_key
 
 
@@ -45,7 +45,10 @@ LEGAL_SUFFIXES = ("inc.", "inc", "ltd.", "ltd", "corp.", "corp", "llc")
 def legal_name_key(title: str = "title", company: str = "company", city: str = "city") -> Column:
     """Alternative key: SHA-256 over title, company without its legal
     suffixes, and city."""
-    t, co, ci = (strip(F.lower(F.coalesce(F.col(c), F.lit("")))) for c in (title, company, city))
+    t, co, ci = (F.lower(F.coalesce(F.col(c), F.lit(""))) for c in (title, company, city))
+    t, ci = strip(t), strip(ci)
+    # White space in front stays until the suffixes are off: where no name precedes it, a suffix is one still.
+    co = F.rtrim(co, F.lit(WHITESPACE))
     for noise in (" - remote", " (remote)"):
         t = F.replace(t, F.lit(noise), F.lit(""))
     t = strip(F.replace(t, F.lit("/"), F.lit(" ")))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from marketlens.catalog.fixture import AS_OF, Fixture
 from marketlens.operators import near_duplicates, quality, store
-from marketlens.operators.dedupe import deduplicate
+from marketlens.operators.dedupe import deduplicate, drop_repeated_legal_names
 from marketlens.operators.features import extract_features
 from marketlens.plans import refresh, search
 from marketlens.plans.refresh import Tables
@@ -324,3 +324,9 @@ def test_skill_seed(spark):
     assert best == ["power bi", "sql"]
     first = overview.skills_by_category(master).first()
     assert (first.category, first.skill, first.alias_count) == ("backend", ".net", 2)
+
+
+def test_legal_suffix_without_a_name_is_no_name(spark):
+    rows = [(1, "QA", ""), (2, "QA", " Inc."), (3, "QA", " LTD "), (4, "QA", "Inc."), (5, "QA", None), (6, "QA", " Acme Ltd"), (7, "QA", "acme")]
+    df = spark.createDataFrame(rows, "id int, title string, company string").withColumn("city", F.lit("Regina"))
+    assert sorted(r.id for r in drop_repeated_legal_names(df, ["id"]).collect()) == [1, 4, 6]
