@@ -1,13 +1,13 @@
 """Interpolated modified Kneser-Ney trigram models, scored by joining sharded counts.
 
-Training counts n-grams of a bounded set of documents with Spark and joins them, order by order,
+Training counts n-grams of the training documents with Spark and joins them, order by order,
 into four tables: discounted trigram probabilities, weights of their contexts, bigram probabilities
 and weights of theirs. All are dealt to shards by the middle word, and within by the first.
 
 Documents never meet a whole model. A task turns its block of documents into trigrams, deals them
 to the same shards, sorted and packed, and each shard looks its trigrams up in its part of the
 counts and hands back one sum per document. Neither texts nor models are collected or broadcast;
-what is broadcast is the vocabulary, whose size is a parameter, and the letters of unknown words.
+what is broadcast is the vocabulary, whose sizes are parameters, and the letters of unknown words.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from marketlens.llm.scratch import Scratch
 from marketlens.llm.words import Words, slices
 
 VOCABULARY = 8192
+#: Words beyond those that are known by their share among the words that go by their shapes.
+RARE_WORDS = 1 << 19
 BITS = 14
 MIDDLES, FIRSTS = 16, 4  # shards
 BLOCK_BYTES = 4 << 20
@@ -49,7 +51,8 @@ KIND[128:] = 32
 START, REPEAT, REPEATS = 0, 1, 3
 SHAPES = 1 + REPEATS + 64 * 4
 
-EVENTS = "shard int, salt int, kind int, key long, value float, other float, block long, payload binary"
+EVENTS = "shard int, salt int, kind int, key long, block long, payload binary"
+PACKED = "shard int, kind int, key long, payload binary"
 TRIGRAM, CONTEXT, BIGRAM, MIDDLE = range(4)
 #: A letter is a byte, or the edge of a word (0); a key is a letter after those before it.
 LETTERS, LETTER_BITS, LETTER_ORDER = 257, 9, 5
@@ -103,8 +106,8 @@ class Vocabulary:
     #: so that a word goes by its shortest telling beginning.
     telling: dict[int, np.ndarray] = field(default_factory=dict)
     unigrams: list[np.ndarray] = field(default_factory=list)
-    #: How words that go by their shapes are spelled: the training texts' own by their share there
-    #: (hashes, log-probabilities), with the log of what is left for all strings of letters.
+    #: How words that go by their shapes are spelled: the training texts' most frequent by their share
+    #: there (hashes, log-probabilities), with the log of what is left for all strings of letters.
     letters: Letters | None = None
     rare: tuple[np.ndarray, np.ndarray] = (np.empty(0, np.uint64), np.empty(0))
     left: float = 0.0
@@ -230,16 +233,28 @@ def _count_rare(batches, vocabulary: Vocabulary):
             yield pa.RecordBatch.from_pydict({"word": hashes.view(np.int64), "uses": uses.astype(np.int64)})
 
 
-def learn_letters(training: DataFrame, vocabulary: Vocabulary) -> None:
-    """Give the vocabulary all other words of the training texts, and their letters for the rest."""
+def most_used(counted: DataFrame, most: int) -> DataFrame:
+    """Words of (word, uses) used at least so often that no more than `most` are; equal uses go together."""
+    by_uses = counted.groupBy("uses").agg(F.count(F.lit(1)).alias("n")).toArrow()  # a row per number of uses
+    uses, n = by_uses.column("uses").to_numpy(), by_uses.column("n").to_numpy()
+    order = np.argsort(-uses)
+    kept = uses[order][np.cumsum(n[order]) <= most]
+    return counted.where(F.col("uses") >= int(kept[-1])) if len(kept) else counted.limit(0)
+
+
+def learn_letters(training: DataFrame, vocabulary: Vocabulary, scratch: Scratch, most: int = RARE_WORDS) -> None:
+    """Give the vocabulary the most frequent of the training texts' other words, and the letters of
+    all of them for the rest; `most` bounds the words that are collected."""
     counted = training.select("text").mapInArrow(lambda b: _count_rare(b, vocabulary), "word long, uses long")
-    found = counted.groupBy("word").agg(F.sum("uses").alias("uses")).toArrow()  # bounded by the training texts
+    counted = scratch.keep(counted.groupBy("word").agg(F.sum("uses").alias("uses")), "rare")
+    found = most_used(counted, most).toArrow()
     words, uses = found.column("word").to_numpy().view(np.uint64), found.column("uses").to_numpy()
-    order, total = np.argsort(words), max(uses.sum() + len(uses), 1)
+    every = counted.agg(F.sum("uses")).first()[0] or 0
+    order, total = np.argsort(words), max(every + len(uses), 1)
     vocabulary.rare = words[order], np.log(uses[order] / total)
-    vocabulary.left = float(np.log(max(len(uses), 1) / total))
+    vocabulary.left = float(np.log(max(every - uses.sum() + len(uses), 1) / total))
     counted = training.select("text").mapInArrow(lambda b: _count_letters(b, vocabulary), "key long, uses long")
-    found = counted.groupBy("key").agg(F.sum("uses").alias("uses")).toArrow()  # bounded by the training texts
+    found = counted.groupBy("key").agg(F.sum("uses").alias("uses")).toArrow()  # runs of letters: not many more in more texts
     vocabulary.letters = Letters(found.column("key").to_numpy(), found.column("uses").to_numpy())
 
 
@@ -398,6 +413,27 @@ def _merged(planes: list[bytes]) -> np.ndarray:
     return sum(np.frombuffer(p, np.uint8).astype(np.int64) << (8 * k) for k, p in enumerate(planes))
 
 
+def _packed(batches):
+    """Runs of sorted rows of one shard and kind: steps between their keys, and each model's values."""
+    schema = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("key", pa.int64()), ("payload", pa.binary())])
+    for batch in batches:
+        shard, kind, key = (batch.column(c).to_numpy().astype(np.int64) for c in ("shard", "kind", "key"))
+        values = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.float32) for c in ("value", "other")]
+        cuts = (np.flatnonzero(np.diff((shard << 16) | kind)) + 1).tolist()
+        out = []
+        for begin, end in zip([0, *cuts], [*cuts, len(key)]):
+            if begin < end:
+                steps = _planes(np.diff(key[begin:end], prepend=0), 6)
+                out.append({"shard": shard[begin], "kind": kind[begin], "key": key[begin], "payload": pack(*(v[begin:end] for v in values), *steps)})
+        yield pa.RecordBatch.from_pylist(out, schema)
+
+
+def packed(tables: DataFrame) -> DataFrame:
+    """The rows of `train` for writing: some bytes an n-gram, in the order in which the shards read them."""
+    rows = tables.repartition("shard").sortWithinPartitions("shard", "kind", "key")
+    return rows.mapInArrow(_packed, PACKED)
+
+
 def _events(batches, vocabulary: Vocabulary, salts: int):
     """Blocks of documents to packed trigrams by shard, and one row about the documents."""
     part, count = TaskContext.get().partitionId(), 0
@@ -429,7 +465,7 @@ def _events(batches, vocabulary: Vocabulary, salts: int):
             np.array(marks, np.int64), np.concatenate(counts).astype(np.int64),
             np.concatenate(spelled),
         )
-        out = [{"shard": -1 - block % 1024, "salt": 0, "kind": 9, "key": 0, "value": 0.0, "other": 0.0, "block": block, "payload": head}]
+        out = [{"shard": -1 - block % 1024, "salt": 0, "kind": 9, "key": 0, "block": block, "payload": head}]
         for k in range(MIDDLES * FIRSTS):
             own, text = key[cuts[k] : cuts[k + 1]], owner[cuts[k] : cuts[k + 1]]
             if len(own):
@@ -437,7 +473,7 @@ def _events(batches, vocabulary: Vocabulary, salts: int):
                 uses = np.diff(np.append(np.flatnonzero(new), len(own)))
                 step = np.diff(own[new], prepend=0)
                 payload = pack(np.array([base], np.int64), uses.astype(np.uint32), *_planes(step, 6), *_planes(text, 4))
-                out.append({"shard": k, "salt": block % salts, "kind": 9, "key": 0, "value": 0.0, "other": 0.0, "block": block, "payload": payload})
+                out.append({"shard": k, "salt": block % salts, "kind": 9, "key": 0, "block": block, "payload": payload})
         return pa.RecordBatch.from_pylist(out, EVENT_SCHEMA)
 
     for batch in batches:
@@ -453,7 +489,7 @@ def _events(batches, vocabulary: Vocabulary, salts: int):
 
 EVENT_SCHEMA = pa.schema([
     ("shard", pa.int32()), ("salt", pa.int32()), ("kind", pa.int32()), ("key", pa.int64()),
-    ("value", pa.float32()), ("other", pa.float32()), ("block", pa.int64()), ("payload", pa.binary()),
+    ("block", pa.int64()), ("payload", pa.binary()),
 ])
 
 
@@ -471,7 +507,6 @@ def _score(batches, vocabulary: Vocabulary, models: int):
     schema = pa.schema([("block", pa.int64()), ("payload", pa.binary())])
     for batch in batches:
         shard, salt, kind = (batch.column(c).to_numpy().astype(np.int64) for c in ("shard", "salt", "kind"))
-        key, values = batch.column("key").to_numpy(), [batch.column(c).to_numpy(zero_copy_only=False) for c in ("value", "other")[:models]]
         group = ((shard + (1 << 20)) << 40) | (salt << 16) | kind
         edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)] if len(group) else [0]
         for begin, end in zip(edges, edges[1:]):
@@ -479,9 +514,13 @@ def _score(batches, vocabulary: Vocabulary, models: int):
             if place != current:
                 current, parts, tables = place, {}, None
             if kind[begin] < 9:
-                for m, own in enumerate(values):
-                    known = ~np.isnan(own[begin:end])
-                    parts.setdefault((m, int(kind[begin])), []).append((key[begin:end][known], own[begin:end][known]))
+                for payload in batch.column("payload").slice(begin, end - begin).to_pylist():
+                    value, other, *steps = unpack(payload)
+                    key = np.cumsum(_merged(steps))
+                    for m, own in enumerate((value, other)[:models]):
+                        own = np.frombuffer(own, np.float32)
+                        known = ~np.isnan(own)
+                        parts.setdefault((m, int(kind[begin])), []).append((key[known], own[known]))
                 continue
             if tables is None:
                 tables, parts = {name: tuple(np.concatenate(x) for x in zip(*pieces)) for name, pieces in parts.items()}, {}
@@ -539,14 +578,19 @@ def mark(text_column: str):
 
 
 def log_likelihoods(docs: DataFrame, tables: DataFrame, vocabulary: Vocabulary, models: int) -> DataFrame:
-    """(doc_id, mark, n_words, log_likelihood of each model) per row of docs (doc_id, mark, text)."""
+    """(doc_id, mark, n_words, log_likelihood of each model) per row of docs (doc_id, mark, text).
+
+    `tables` are those of `train`, packed or not.
+    """
     spark = docs.sparkSession
+    if "payload" not in tables.columns:
+        tables = packed(tables)
     salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // (MIDDLES * FIRSTS))
     shared = spark.sparkContext.broadcast(vocabulary)
     events = docs.select("doc_id", "mark", "text").mapInArrow(lambda b: _events(b, shared.value, salts), EVENTS)
     model = tables.select(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "kind", "key", "value", "other",
-        F.lit(None).cast("long").alias("block"), F.lit(None).cast("binary").alias("payload"),
+        "shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "kind", "key",
+        F.lit(None).cast("long").alias("block"), "payload",
     )
     rows = events.unionAll(model).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind", "key", "block")
     scored = rows.mapInArrow(lambda b: _score(b, shared.value, models), "block long, payload binary")

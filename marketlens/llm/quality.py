@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from marketlens.llm import kneser_ney
 from marketlens.llm.scratch import Scratch, own_name
 
-#: Trusted documents that the model learns from: the bound of the model's size.
-TRAINING_DOCS = 3000
 #: A language's threshold: this quantile of its trusted documents' perplexities, times the slack. A
 #: quantile nearer to 1 would hang on a few odd documents where a language has few.
 QUANTILE, SLACK = 0.98, 1.0
@@ -20,30 +18,31 @@ LEAST_DOCS = 30
 def perplexity(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, mark, n_words, perplexity, trained) per row of `docs`.
 
-    `trusted` holds ids of documents to learn from; the model takes the first TRAINING_DOCS, in the
-    order of the ids' hashes, of that half of them whose hash is even. Perplexity is per word, null
-    for no words. Words outside the vocabulary pay for their shape, and as words: the model's
-    texts' own by their share there, all others by their letters.
+    `trusted` holds ids of documents to learn from; the model takes all of that half of them whose
+    hash is even. Perplexity is per word, null for no words. Words outside the vocabulary pay for
+    their shape, and as words: the model's texts' most frequent by their share there, all others by
+    their letters.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "quality")
     rows = docs.select(
         F.col(f"`{id_column}`").cast("long").alias("doc_id"), kneser_ney.mark(text_column).alias("mark"), F.col(f"`{text_column}`").cast("string").alias("text")
     )
-    chosen = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    chosen = chosen.where(F.xxhash64("doc_id") % 2 == 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_DOCS)
-    chosen = scratch.keep(chosen, "chosen")
-    # So many ids at most: small enough for every task by the parameter.
-    training = scratch.keep(rows.join(F.broadcast(chosen), "doc_id").select("text", F.lit(0).alias("model")), "training")
+    half = F.xxhash64("doc_id") % 2 == 0
+    chosen = scratch.keep(trusted.select("doc_id").where("doc_id IS NOT NULL").where(half).distinct(), "chosen")
+    # Written, so that its size is known: Spark broadcasts the ids while they are few.
+    training = scratch.keep(rows.where(half).join(chosen, "doc_id").select("text", F.lit(0).alias("model")), "training")
     vocabulary = kneser_ney.learn_vocabulary(training, kneser_ney.VOCABULARY, fold=False, letters_only=False)
-    kneser_ney.learn_letters(training, vocabulary)
-    tables = scratch.keep(kneser_ney.train(training, vocabulary, 1, scratch), "tables")
+    kneser_ney.learn_letters(training, vocabulary, scratch)
+    tables = scratch.keep(kneser_ney.packed(kneser_ney.train(training, vocabulary, 1, scratch)), "tables")
+    scratch.drop("training", "rare", "trigrams", "bigrams")
     scored = kneser_ney.log_likelihoods(rows, tables, vocabulary, 1)
     scored = scored.select(
         "doc_id", "mark", "n_words", F.when(F.col("n_words") > 0, F.exp(-F.col("log_likelihood")[0] / F.col("n_words"))).alias("perplexity")
     )
     scored = scratch.keep(scored, "scored")
-    return scored.join(F.broadcast(chosen.withColumn("trained", F.lit(True))), "doc_id", "left").withColumn("trained", F.coalesce("trained", F.lit(False)))
+    scratch.drop("tables")
+    return scored.join(chosen.withColumn("trained", F.lit(True)), "doc_id", "left").withColumn("trained", F.coalesce("trained", F.lit(False)))
 
 
 def classify(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import time
 import uuid
 
 import pyarrow as pa
@@ -67,10 +68,13 @@ class Scratch:
     def release(self) -> None:
         """Shuffle files go when the driver collects the plans that made them.
 
+        It is asked twice: the events of a job that has just ended hold its plan a moment longer.
         What Python has freed goes back to the system too: a driver runs many operators in a row.
         """
         gc.collect()
         pa.default_memory_pool().release_unused()
         if _trim is not None:
             _trim(0)
-        self.spark.sparkContext._jvm.System.gc()
+        for wait in (0.0, 0.3):
+            time.sleep(wait)
+            self.spark.sparkContext._jvm.System.gc()

@@ -95,7 +95,7 @@ def score_toxicity(
     training = scratch.keep(training.select("text", "model"), "training")
     vocabulary = kneser_ney.learn_vocabulary(training, kneser_ney.VOCABULARY, fold=True, letters_only=True)
     kneser_ney.learn_telling(training, vocabulary)
-    tables = scratch.keep(kneser_ney.train(training, vocabulary, 2, scratch), "tables")
+    tables = scratch.keep(kneser_ney.packed(kneser_ney.train(training, vocabulary, 2, scratch)), "tables")
     more = F.col("log_likelihood")[1] - F.col("log_likelihood")[0]
     scored = kneser_ney.log_likelihoods(rows, tables, vocabulary, 2).select(
         "doc_id", "mark", "n_words", F.when(F.col("n_words") > 0, more / F.col("n_words")).otherwise(0.0).alias("evidence")

@@ -275,6 +275,23 @@ def test_quality_rejects_gibberish(spark):
     assert sum(r.kept for r in rows if r.doc_id < 0) == 0 and min(r.perplexity for r in rows if r.doc_id < 0) > typical
 
 
+def test_quality_learns_from_every_trusted_document_of_its_half(spark):
+    docs = spark.range(7000).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words "), F.col("id") % 50).alias("text"))
+    found = quality.perplexity(docs, docs.where("doc_id % 100 <> 0").select("doc_id"))
+    wanted = docs.where("doc_id % 100 <> 0").where(F.xxhash64("doc_id") % 2 == 0)
+    assert found.where("trained").count() == wanted.count() > 3000
+
+
+def test_fewer_rare_words_leave_more_to_letters(spark):
+    text = " ".join(f"w{k}" for times in range(4) for k in range(40) if times <= k % 4)
+    training = spark.createDataFrame([(text, 0)], "text string, model int")
+    for most, kept in ((40, 40), (39, 30), (20, 20), (19, 10), (5, 0)):
+        vocabulary = kneser_ney.Vocabulary(np.empty(0, np.uint64), False, False)
+        kneser_ney.learn_letters(training, vocabulary, Scratch(spark, "letters"), most)
+        words, shares = vocabulary.rare
+        assert len(words) == kept and np.exp(shares).sum() + np.exp(vocabulary.left) == pytest.approx(1)
+
+
 def test_letters_sum_to_one():
     import pyarrow as pa
 
