@@ -330,3 +330,30 @@ def test_legal_suffix_without_a_name_is_no_name(spark):
     rows = [(1, "QA", ""), (2, "QA", " Inc."), (3, "QA", " LTD "), (4, "QA", "Inc."), (5, "QA", None), (6, "QA", " Acme Ltd"), (7, "QA", "acme")]
     df = spark.createDataFrame(rows, "id int, title string, company string").withColumn("city", F.lit("Regina"))
     assert sorted(r.id for r in drop_repeated_legal_names(df, ["id"]).collect()) == [1, 4, 6]
+
+
+MARKUP = """< > " &amp; & </p> <br> <div_class="a"> </div> <!--_x_--> <!----> <!--> <script> </script> <style> </SCRIPT> <p_id=3>
+<P_ID="q"> <i_a='b'> <br/> &#65 </ <!DOCTYPE_html> <title> </title> <a_href="?a&copy=1"> </p_> <textarea> <p/> text <?x?> </br>""".split()
+
+
+def test_plain_markup_gives_the_parsers_tree():
+    """The quick way must agree with the parser wherever it takes a page, and take the pages of boards."""
+
+    def parsed(markup):
+        parser = html._Tree()
+        parser.feed(markup)
+        parser.close()
+        return parser.root
+
+    def spelled(node):
+        return node.tag, node.attrs, node.text, [spelled(child) for child in node.children]
+
+    rng, taken = random.Random(5), 0
+    for _ in range(20000):
+        markup = "".join(rng.choice(MARKUP).replace("_", " ") for _ in range(rng.randint(1, 8)))
+        quick = html._plain_tree(markup)
+        taken += quick is not None
+        assert quick is None or spelled(quick) == spelled(parsed(markup)), markup
+    assert taken > 1000
+    page = '<article class="action-buttons"><a href="/1?a=1&amp;b" class="resultJobItem"><span class="noctitle">R&amp;D</span></a></article>'
+    assert spelled(html._plain_tree(page)) == spelled(parsed(page))
