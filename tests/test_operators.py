@@ -357,3 +357,23 @@ def test_plain_markup_gives_the_parsers_tree():
     assert taken > 1000
     page = '<article class="action-buttons"><a href="/1?a=1&amp;b" class="resultJobItem"><span class="noctitle">R&amp;D</span></a></article>'
     assert spelled(html._plain_tree(page)) == spelled(parsed(page))
+
+
+def test_repeated_tags_are_read_once():
+    page = '<article class="action-buttons"><a href="/{}" class="resultJobItem"><span class="noctitle">x</span></a></article>'
+    html._markup.cache_clear()
+    for number in range(50):
+        assert len(list(html._listing_rows(page.format(number)))) == 1
+    # Each page has a link of its own; the other tags are those of the first page.
+    assert html._markup.cache_info().misses == 50 + 5
+
+
+def test_plain_scripts_are_closed_where_they_end():
+    for markup in ("<script>a</script >b", "<script>a<!-- c --></script>", "<style>a</script>", "<style>a"):
+        assert html._plain_tree(markup) is None
+    for markup in ("<script>a</script>b<!-- <p> -->c", '<style id="x"></style><p>a &lt; b</p>', "</script>a"):
+        parser = html._Tree()
+        parser.feed(markup)
+        parser.close()
+        trees = [[(n.tag, n.attrs, n.text) for n in root.walk()] for root in (html._plain_tree(markup), parser.root)]
+        assert trees[0] == trees[1]
