@@ -44,22 +44,24 @@ def ordered_salaries(df: DataFrame) -> DataFrame:
     )
 
 
-def acceptable() -> Column:
-    """What the postings table's NOT NULL and CHECK rules accept."""
+def acceptable(low: Column) -> Column:
+    """What the postings table's NOT NULL and CHECK rules accept, the salary's ends in order."""
     return (
         F.col("source").isNotNull()
         & F.col("job_id").isNotNull()
         & F.col("title").isNotNull()
         & F.col("city").isNotNull()
-        & F.coalesce(F.col("salary_min") >= 0, F.lit(True))
-        & F.coalesce(F.col("salary_max") >= F.col("salary_min"), F.lit(True))
+        & F.coalesce(low >= 0, F.lit(True))
     )
 
 
 def storable_postings(batch: DataFrame, order: list[str]) -> DataFrame:
     """Acceptable rows of a batch, salary ends in order, first per job_id."""
-    good = first_per_key(ordered_salaries(batch).where(acceptable()), ["job_id"], order)
-    return good.withColumn("salary_mid", salary_mid(F.col("salary_min"), F.col("salary_max")))
+    # Of rows as they come; the ends are put in order for the first rows only.
+    low, high = F.col("salary_min"), F.col("salary_max")
+    known = low.isNotNull() & high.isNotNull()
+    good = first_per_key(batch.where(acceptable(F.when(known, F.least(low, high)).otherwise(low))), ["job_id"], order)
+    return ordered_salaries(good).withColumn("salary_mid", salary_mid(low, high))
 
 
 def new_postings(batch: DataFrame, stored: DataFrame, order: list[str]) -> DataFrame:
@@ -81,10 +83,11 @@ def insert_postings(
     table = VersionedTable(spark, path, JOBS_RAW)
     inserted = table.manifest()["runs"].get(run_id)
     if inserted is None:
-        # Read for its keys and for its rows, so kept in the shared folder.
+        # The keys' look-up reads their column alone, and both sides meet by the key that the rows
+        # were dealt by to find the first of each: whole rows travel once.
         incoming = storable_postings(batch, order)
-        incoming = incoming.select(*[n for n in JOBS_RAW.names if n in incoming.columns]).checkpoint()
-        new = not_stored(incoming, table.lookup(incoming, ["job_id"]))
+        incoming = incoming.select(*[n for n in JOBS_RAW.names if n in incoming.columns])
+        new = not_stored(incoming, table.stored_keys(batch))
         inserted = table.append(new, run=run_id, order=ORDER)
     totals = batch.agg(F.count("*").alias("total"))
     record_run(run_metrics(totals, source, inserted, run_id, run_date), metrics_path, run_id)

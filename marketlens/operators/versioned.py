@@ -185,6 +185,19 @@ class VersionedTable:
         wanted = keys.select(self.key).distinct()
         return rows.join(F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted, self.key, "left_semi")
 
+    def stored_keys(self, keys: DataFrame) -> DataFrame:
+        """Stored keys, among them all that are in `keys`, to leave those out by.
+
+        A few asked-for keys are broadcast as in a look-up. For many, the keys of the pieces they
+        fall into come as they are: who joins by key anyway needs no other join before.
+        """
+        manifest = self.manifest()
+        if not manifest["pieces"]:
+            return self.spark.createDataFrame([], T.StructType([keys.schema[self.key]]))
+        pieces, size = self._touched(manifest, keys)
+        rows = self._rows(pieces, self.schema(manifest)).select(self.key)
+        return rows.join(F.broadcast(keys.select(self.key).distinct()), self.key, "left_semi") if size <= BROADCAST_BYTES else rows
+
     def changed_since(self, version: int, until: int | None = None) -> DataFrame:
         """Rows, as they are `until` a version or now, of folders that `version` did not list.
 
@@ -207,7 +220,9 @@ class VersionedTable:
         """Write rows by piece; the new folder, and the rows of each piece."""
         name = uuid.uuid4().hex
         place = piece_of(F.col(self.key), depth) if self.place is None else self.place
-        placed = rows.withColumn(PIECE, place).hint("rebalance", PIECE)
+        placed = rows.withColumn(PIECE, place)
+        if self.place is not None or depth > 0:  # a single piece needs no dealing
+            placed = placed.hint("rebalance", PIECE)
         if order:
             placed = placed.sortWithinPartitions(PIECE, *order)
         placed.write.partitionBy(PIECE).parquet(f"{self.path}/data/{name}")

@@ -91,8 +91,8 @@ def waiting_postings(raw: VersionedTable, features: VersionedTable, waiting: Ver
     """
     fresh = raw.changed_since(waiting.manifest()["facts"].get("raw", 0), version)
     left = waiting.read().join(fresh.select("job_id"), "job_id", "left_anti")
-    rows = left.select(*JOBS_RAW.names).unionByName(fresh.select(*JOBS_RAW.names)).checkpoint()
-    return rows.join(features.lookup(rows, ["job_id"]), "job_id", "left_anti")
+    rows = left.select(*JOBS_RAW.names).unionByName(fresh.select(*JOBS_RAW.names))
+    return rows.join(features.stored_keys(rows), "job_id", "left_anti").select(*JOBS_RAW.names)
 
 
 def refresh_export(spark: SparkSession, tables: Tables, as_of: date, days: int = 30) -> list[str] | None:

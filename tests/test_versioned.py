@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from marketlens.catalog.fixture import AS_OF, Fixture
-from marketlens.operators import search_index, store
+from marketlens.operators import search_index, store, versioned
 from marketlens.operators.rows import first_per_key
 from marketlens.operators.versioned import PIECE, ChangedMeanwhile, VersionedTable, families
 from marketlens.plans import refresh, search
@@ -353,3 +353,30 @@ def test_bounded_suppression_of_repeats(spark, tmp_path):
     assert out[0] == [("a", 1)] and out[1] == [("a", 1), ("b", 5)]
     # The state of a has gone with the watermark; c comes too late.
     assert out[2] == [("a", 1), ("a", 6), ("b", 5)]
+
+
+@pytest.mark.parametrize("most", [0, versioned.BROADCAST_BYTES])
+def test_stored_keys_leave_out_what_is_stored(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(versioned, "BROADCAST_BYTES", most)
+    table = VersionedTable(spark, str(tmp_path / "t"), key="job_id", piece_rows=10)
+    batch = spark.range(60).selectExpr("concat('k', id) AS job_id")
+    assert table.stored_keys(batch).count() == 0
+    table.append(batch.where("job_id < 'k3'"), expected_rows=40)
+    left = batch.join(table.stored_keys(batch), "job_id", "left_anti")
+    assert {r[0] for r in left.collect()} == {f"k{n}" for n in range(60) if f"k{n}" >= "k3"}
+
+
+def test_insert_writes_rows_once(spark, tmp_path, monkeypatch):
+    """Whole rows are dealt by key once and go to the table, not to a checkpoint and a second shuffle."""
+    fx = Fixture(spark, "/root/testdata/sf0.001")
+    plans = []
+    write = VersionedTable._write
+    monkeypatch.setattr(VersionedTable, "_write", lambda self, rows, *more: plans.append(rows) or write(self, rows, *more))
+    monkeypatch.setattr(type(fx.raw), "checkpoint", lambda *_: pytest.fail("rows are written beside the table"))
+    arguments = str(tmp_path / "raw"), ["id"], str(tmp_path / "metrics"), "all"
+    batches = [fx.raw.where("source = 'adzuna'"), fx.raw]
+    counts = [store.insert_postings(b, *arguments, f"r{n}", datetime(2026, 2, 20)) for n, b in enumerate(batches)]
+    assert sum(counts) == fx.raw.select("job_id").distinct().count()
+    for rows in plans:
+        text = rows._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange hashpartitioning(job_id") <= 2  # the rows, and keys alone
