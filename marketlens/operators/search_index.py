@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketlens.operators.versioned import PIECE_ROWS, VersionedTable
+from marketlens.session import with_checkpoint_dir
 
 GRAM = 3
 
@@ -86,10 +87,12 @@ class SubstringIndex:
         Values come before their runs and those before their places: a call that dies and is
         repeated leaves no posting out, and repeated entries do no harm.
         """
-        rows = postings.select(F.col(self.column).alias("value"), "job_id").where(F.col("value").isNotNull())
+        with_checkpoint_dir(self.spark)
+        # Read for the values, for their runs and for the places, so kept in the shared folder.
+        rows = postings.select(F.col(self.column).alias("value"), "job_id").where(F.col("value").isNotNull()).checkpoint()
         distinct = rows.select("value").distinct()
         known = self.values.lookup(distinct) if self.values.exists() else self.spark.createDataFrame([], "value string")
-        new = distinct.join(known, "value", "left_anti")
+        new = distinct.join(known, "value", "left_anti").checkpoint()
         self.grams.append(new.select(F.explode(grams_of(F.col("value"))).alias("gram"), "value"), order=["gram", "value"], expected_rows=expected_rows)
         self.values.append(new, order=["value"], expected_rows=expected_rows)
         self.places.append(rows, order=["value", "job_id"], expected_rows=expected_rows)

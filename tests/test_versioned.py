@@ -380,3 +380,20 @@ def test_insert_writes_rows_once(spark, tmp_path, monkeypatch):
     for rows in plans:
         text = rows._jdf.queryExecution().executedPlan().toString()
         assert text.count("Exchange hashpartitioning(job_id") <= 2  # the rows, and keys alone
+
+
+def test_index_reads_its_postings_once(spark, tmp_path, postings):
+    """What is indexed may be costly to make: its rows are asked for a single time."""
+    asked = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            asked.add(len(batch))
+            yield batch
+
+    some = postings.select("job_id", "title").limit(40)
+    index = search_index.SubstringIndex(spark, str(tmp_path / "titles"), "title")
+    for number in (1, 2):
+        index.add(some.mapInPandas(counted, "job_id string, title string"))
+        assert asked.value == 40 * number
+    assert index.find("%data%").count() == some.where("title ILIKE '%data%'").count() > 0
