@@ -128,6 +128,12 @@ def _prefixes(width: int, percent: int, rank):
     return run
 
 
+def _held(classes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which of the classes the filter may hold."""
+    spot = classes.view(np.uint64) % np.uint64(FILTER_BITS)
+    return (bits[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
+
+
 def _needed_texts(width: int, bits):
     """(class, packed text) of the classes that the filter may hold, once per task."""
 
@@ -136,10 +142,8 @@ def _needed_texts(width: int, bits):
         for batch in batches:
             for piece in slices(batch):
                 classes = class_ids(*shingle_sets(piece.column("text"), width))
-                spot = classes.view(np.uint64) % np.uint64(FILTER_BITS)
-                held = (wanted[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1)
                 ids, packed = [], []
-                for text in np.flatnonzero((held == 1) & (classes != 0)):
+                for text in np.flatnonzero(_held(classes, wanted) & (classes != 0)):
                     if (name := int(classes[text])) not in done:
                         done.add(name)
                         ids.append(name)
@@ -149,6 +153,16 @@ def _needed_texts(width: int, bits):
     return run
 
 
+def _picked(bits):
+    """The rows (class, packed text) of the classes that the filter may hold."""
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(_held(batch.column("class").to_numpy(), bits.value)))
+
+    return run
+
+
 def _filter(classes: DataFrame) -> np.ndarray:
     """Bits of the classes, ored together before they leave the executors: a fixed size."""
     # FILTER_BITS divides 2^64, so pmod agrees with the remainder of the unsigned reading.
@@ -232,10 +246,9 @@ def _search(width: int, percent: int):
 
 
 def _texts(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """(class, packed text) of some classes, one row each."""
+    """(class, packed text) of some classes and a few others, one row each in every task that has it."""
     bits = docs.sparkSession.sparkContext.broadcast(_filter(classes))
-    texts = docs.mapInArrow(_needed_texts(width, bits), "class long, packed binary")
-    return texts.join(classes.hint("merge"), "class", "left_semi").dropDuplicates(["class"])
+    return docs.mapInArrow(_needed_texts(width, bits), "class long, packed binary")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -246,6 +259,9 @@ def _linked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     wanted = members.select("a", "salt", F.lit(1).alias("role"), "class").unionAll(
         members.select("a", "salt").distinct().select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("class"))
     )
+    # Only texts that are asked for are shuffled; copies from several tasks meet there.
+    bits = pairs.sparkSession.sparkContext.broadcast(_filter(pairs.select(F.explode(F.array("a", "b")).alias("class"))))
+    texts = texts.mapInArrow(_picked(bits), "class long, packed binary").dropDuplicates(["class"])
     rows = wanted.join(texts, "class").repartition("a", "salt").sortWithinPartitions("a", "salt", "role", "class")
     return rows.mapInArrow(_search(width, percent), "a long, b long")
 
@@ -274,30 +290,28 @@ def near_duplicate_components(
         F.col(f"`{id_column}`").cast("long").alias("doc_id"), text_mark(text_column).alias("mark"), F.col(f"`{text_column}`").cast("string").alias("text")
     )
     rank = spark.sparkContext.broadcast(_frequency(docs, width))
-    rows = scratch.keep(
-        docs.mapInArrow(_prefixes(width, percent, rank), "doc_id long, mark long, n_shingles long, class long, prefix array<long>"), "rows"
+    prefixes = scratch.keep(
+        docs.mapInArrow(_prefixes(width, percent, rank), "doc_id long, mark long, n_shingles long, class long, prefix array<long>"), "prefixes"
     )
-    distinct = rows.where("n_shingles > 0").dropDuplicates(["class"]).select("class", F.col("n_shingles").cast("int").alias("n"), "prefix")
+    distinct = prefixes.where("n_shingles > 0").dropDuplicates(["class"]).select("class", F.col("n_shingles").cast("int").alias("n"), "prefix")
     distinct = scratch.keep(distinct, "distinct")
-    band = F.floor(F.log(F.col("n")) / float(-np.log(percent / 100))).cast("int").alias("band")
-    filed = distinct.select("class", "n", band, F.posexplode("prefix").alias("place", "token"))
-    common = filed.groupBy("token").agg(F.count(F.lit(1)).alias("uses")).where("uses > 1").select("token")
-    shared = scratch.keep(filed.join(common.hint("merge"), "token", "left_semi"), "shared")
+    rows = scratch.keep(prefixes.drop("prefix"), "rows")
+    scratch.drop("prefixes")
+    files = scratch.keep(_files(distinct, percent), "files")
+    scratch.drop("distinct")
 
-    texts = scratch.keep(_texts(docs, shared.select("class").distinct(), width), "texts")
-    # Classes that share most of their prefix come first as centers: the text that others were made from.
-    part = distinct.select("class", F.size("prefix").alias("size"))
-    part = shared.groupBy("class").agg(F.count(F.lit(1)).alias("uses")).join(part, "class").select("class", (F.col("uses") / F.col("size")).alias("part"))
-    shared = scratch.keep(shared.join(part.hint("merge"), "class"), "shared-part")
-    state = shared.withColumn("component", F.col("class"))
+    texts = scratch.keep(_texts(docs, files.select("class"), width), "texts")
+    state = _filed(files).withColumn("component", F.col("class"))
     links = None
     for round_ in range(STAR_ROUNDS):
-        stars = scratch.keep(_enough(_stars(state, round_), distinct, percent), f"stars{round_}")
+        stars = scratch.keep(_enough(_stars(state, round_), files, percent), f"stars{round_}")
         found = scratch.keep(_linked(stars, texts, width, percent), f"star-links{round_}")
         links = found if links is None else links.unionAll(found)
         component = connected(links, scratch, f"component{round_}")
-        state = scratch.keep(_live(shared, component), f"state{round_}")
-    rest = scratch.keep(_enough(_pairs_apart(state, percent), distinct, percent), "rest")
+        own = files.join(component.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+        state = _filed(scratch.keep(own, f"state{round_}"))
+    state = scratch.keep(_live(state), "live")
+    rest = scratch.keep(_enough(_pairs_apart(state, percent), files, percent), "rest")
     links = links.unionAll(scratch.keep(_linked(rest, texts, width, percent), "rest-links"))
     component = connected(links, scratch, "component")
 
@@ -305,16 +319,38 @@ def near_duplicate_components(
     of = classes.join(component.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     least_of = of.groupBy("component").agg(F.min("least").alias("component_id"))
     named = of.join(least_of, "component").select("class", "component", "component_id", "n_class")
-    return rows.drop("prefix").join(named, "class", "left").select(
+    return rows.join(named, "class", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("n_class", F.lit(1)).alias("n_class"), *(["mark", "component"] if marks else []),
     )
 
 
-def _live(shared: DataFrame, component: DataFrame) -> DataFrame:
+def _files(distinct: DataFrame, percent: int) -> DataFrame:
+    """(class, n, band, part, tokens, places): of each prefix what another class has in its own too.
+
+    All that two prefixes share is in it, so it stands for them from here on: the shingles of one
+    class only, which are most, move once.
+    """
+    filed = distinct.select("class", "n", F.posexplode("prefix").alias("place", "token"))
+    common = filed.groupBy("token").agg(F.count(F.lit(1)).alias("uses")).where("uses > 1").select("token")
+    shared = filed.join(common.hint("merge"), "token", "left_semi")
+    own = shared.groupBy("class", "n").agg(F.collect_list(F.struct("token", "place")).alias("own"))
+    band = F.floor(F.log(F.col("n")) / float(-np.log(percent / 100))).cast("int").alias("band")
+    # Classes that share most of their prefix come first as centers: the text that others were made from.
+    part = (F.size("own") / (F.col("n") - F.ceil(percent * F.col("n") / 100) + 1)).alias("part")
+    return own.select("class", "n", band, part, F.col("own.token").alias("tokens"), F.col("own.place").alias("places"))
+
+
+def _filed(files: DataFrame) -> DataFrame:
+    """The files as one row per class and shingle."""
+    others = [c for c in files.columns if c not in ("tokens", "places")]
+    each = files.select(*others, F.explode(F.arrays_zip("tokens", "places")).alias("own"))
+    return each.select(*others, F.col("own.tokens").alias("token"), F.col("own.places").alias("place"))
+
+
+def _live(state: DataFrame) -> DataFrame:
     """Files (one per shingle) that classes of more than one component share."""
-    state = shared.join(component.withColumnRenamed("node", "class").hint("merge"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     live = state.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     return state.join(live.select("token").hint("merge"), "token", "left_semi")
 
@@ -322,10 +358,12 @@ def _live(shared: DataFrame, component: DataFrame) -> DataFrame:
 def _stars(state: DataFrame, round_: int) -> DataFrame:
     """Pairs of each file's two centers, which change from round to round, with its other classes."""
     # Within a band sizes differ by less than the limit allows.
-    entry = F.struct(F.xxhash64("class", F.lit(round_)).alias("key"), F.col("class").alias("a"), F.col("component").alias("of"))
-    first = F.max_by(entry, F.struct("part", entry)) if round_ == 0 else F.min(entry)
+    names = F.xxhash64("class", F.lit(round_)).alias("key"), F.col("class").alias("a"), F.col("component").alias("of")
+    entry = F.struct(*names)
+    first = F.max(F.struct("part", *names)) if round_ == 0 else F.min(entry)
     ends = state.groupBy("token", "band").agg(first.alias("first"), F.max(entry).alias("last"), F.count(F.lit(1)).alias("uses")).where("uses > 1")
-    centers = ends.select("token", "band", F.explode(F.array("first", "last")).alias("c")).select("token", "band", "c.a", "c.of")
+    centers = F.explode(F.array(*[F.struct(f"{end}.a", f"{end}.of") for end in ("first", "last")])).alias("c")
+    centers = ends.select("token", "band", centers).select("token", "band", "c.a", "c.of")
     pairs = state.join(centers.hint("merge"), ["token", "band"]).where("component <> of")
     return pairs.select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b")).distinct()
 
@@ -341,10 +379,10 @@ def _pairs_apart(state: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
 
 
-def _enough(pairs: DataFrame, distinct: DataFrame, percent: int) -> DataFrame:
+def _enough(pairs: DataFrame, files: DataFrame, percent: int) -> DataFrame:
     """The pairs whose prefixes share as many shingles as those of linked sets do at least."""
-    x = distinct.select(F.col("class").alias("a"), F.col("n").alias("m"), F.col("prefix").alias("p"))
-    y = distinct.select(F.col("class").alias("b"), "n", F.col("prefix").alias("q"))
+    x = files.select(F.col("class").alias("a"), F.col("n").alias("m"), F.col("tokens").alias("p"))
+    y = files.select(F.col("class").alias("b"), "n", F.col("tokens").alias("q"))
     enough = F.size(F.array_intersect("p", "q")) >= _least_in_prefix("m", "n", percent)
     return pairs.join(x.hint("merge"), "a").join(y.hint("merge"), "b").where(enough).select("a", "b")
 
