@@ -472,7 +472,7 @@ def _events(batches, vocabulary: Vocabulary, salts: int):
                 new = np.concatenate(([True], own[1:] != own[:-1]))
                 uses = np.diff(np.append(np.flatnonzero(new), len(own)))
                 step = np.diff(own[new], prepend=0)
-                payload = pack(np.array([base], np.int64), uses.astype(np.uint32), *_planes(step, 6), *_planes(text, 4))
+                payload = pack(np.array([base], np.int64), *_planes(uses, 4), *_planes(step, 6), *_planes(text, 4))
                 out.append({"shard": k, "salt": block % salts, "kind": 9, "key": 0, "block": block, "payload": payload})
         return pa.RecordBatch.from_pylist(out, EVENT_SCHEMA)
 
@@ -529,9 +529,9 @@ def _score(batches, vocabulary: Vocabulary, models: int):
                 if place[0] < 0:
                     yield pa.RecordBatch.from_pydict({"block": [block], "payload": [b"H" + payload]}, schema=schema)
                     continue
-                size, uses, *planes = unpack(payload)
-                size, uses = int(np.frombuffer(size, np.int64)[0]), np.frombuffer(uses, np.uint32)
-                found, text = np.cumsum(_merged(planes[:6])), _merged(planes[6:])
+                size, *planes = unpack(payload)
+                size = int(np.frombuffer(size, np.int64)[0])
+                uses, found, text = _merged(planes[:4]), np.cumsum(_merged(planes[4:10])), _merged(planes[10:])
                 u_v, v, v_w, w = found >> BITS, (found >> BITS) & mask, found & ((1 << (2 * BITS)) - 1), found & mask
                 sums = []
                 for m in range(models):

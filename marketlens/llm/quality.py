@@ -34,8 +34,11 @@ def perplexity(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", t
     training = scratch.keep(rows.where(half).join(chosen, "doc_id").select("text", F.lit(0).alias("model")), "training")
     vocabulary = kneser_ney.learn_vocabulary(training, kneser_ney.VOCABULARY, fold=False, letters_only=False)
     kneser_ney.learn_letters(training, vocabulary, scratch)
-    tables = scratch.keep(kneser_ney.packed(kneser_ney.train(training, vocabulary, 1, scratch)), "tables")
-    scratch.drop("training", "rare", "trigrams", "bigrams")
+    scratch.drop("rare")
+    tables = kneser_ney.train(training, vocabulary, 1, scratch)
+    scratch.drop("training")  # counted by now: its n-grams are written
+    tables = scratch.keep(kneser_ney.packed(tables), "tables")
+    scratch.drop("trigrams", "bigrams")
     scored = kneser_ney.log_likelihoods(rows, tables, vocabulary, 1)
     scored = scored.select(
         "doc_id", "mark", "n_words", F.when(F.col("n_words") > 0, F.exp(-F.col("log_likelihood")[0] / F.col("n_words"))).alias("perplexity")

@@ -2,18 +2,19 @@
 
 import pytest
 
-from marketlens.llm import jaccard_join
+from marketlens.llm import jaccard_join, quality
 from marketlens.llm.scratch import Scratch
 
 
 @pytest.fixture
 def kept(monkeypatch):
-    """(name, columns, rows) of all tables between steps, in order; the tables that are left are not dropped."""
+    """Tables between steps, in order: their rows, those that were there when each was written, whether it went."""
     tables, keep, drop = [], Scratch.keep, Scratch.drop
 
     def noted(self, df, name, *partitions, **settings):
+        there = {t["name"] for t in tables if not t["dropped"]}
         out = keep(self, df, name, *partitions, **settings)
-        tables.append({"name": name, "columns": out.columns, "rows": out.collect(), "dropped": False})
+        tables.append({"name": name, "rows": out.collect(), "there": there, "dropped": False})
         return out
 
     def gone(self, *names):
@@ -39,3 +40,12 @@ def test_shingles_of_one_class_are_not_kept(spark, kept):
     files = next(t for t in kept if t["name"] == "files")["rows"]
     assert len(files) == 2
     assert len(next(t for t in kept if t["name"] == "texts")["rows"]) <= 3
+
+
+def test_training_texts_are_gone_when_the_tables_are_made(spark, kept):
+    docs = spark.createDataFrame([(k, f"some plain words of text {k % 7} and {k % 5} more", "en") for k in range(60)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, 1) for k in range(60)], "doc_id long, quality int")
+    found = quality.classify(docs, labels).collect()
+    assert len(found) == 60 and all(r.n_words == 9 and r.perplexity > 0 for r in found)
+    there = next(t for t in kept if t["name"] == "tables")["there"]
+    assert {"trigrams", "bigrams"} <= there and not {"training", "rare"} & there
