@@ -255,9 +255,10 @@ def _linked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     """The pairs (a, b) of classes that are linked, found by searching a's shingles in the b's texts."""
     # A query with very many candidates is searched in several tasks, each with a share of them.
     load = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / (4 * CHUNK)).cast("int").alias("salts"))
+    queries = load.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     members = pairs.join(load, "a").select("a", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), F.col("b").alias("class"))
     wanted = members.select("a", "salt", F.lit(1).alias("role"), "class").unionAll(
-        members.select("a", "salt").distinct().select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("class"))
+        queries.select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("class"))
     )
     # Only texts that are asked for are shuffled; copies from several tasks meet there.
     bits = pairs.sparkSession.sparkContext.broadcast(_filter(pairs.select(F.explode(F.array("a", "b")).alias("class"))))
@@ -306,8 +307,9 @@ def near_duplicate_components(
     for round_ in range(STAR_ROUNDS):
         stars = scratch.keep(_enough(_stars(state, round_), files, percent), f"stars{round_}")
         found = scratch.keep(_linked(stars, texts, width, percent), f"star-links{round_}")
-        links = found if links is None else links.unionAll(found)
-        component = connected(links, scratch, f"component{round_}")
+        component = connected(found if links is None else links.unionAll(found), scratch, f"component{round_}")
+        # What is connected goes on as stars: fewer edges, and fewer rounds the next time.
+        links = component.select(F.col("node").alias("a"), F.col("component").alias("b"))
         own = files.join(component.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
         state = _filed(scratch.keep(own, f"state{round_}"))
     state = scratch.keep(_live(state), "live")

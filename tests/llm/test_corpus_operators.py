@@ -45,6 +45,23 @@ def test_components_of_paths_and_stars(spark):
     assert components.connected(df.limit(0), Scratch(spark, "test"), "c").count() == 0
 
 
+def test_components_end_when_only_stars_are_left(spark, monkeypatch):
+    kept, keep = [], Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, name, *a, **b: kept.append(name) or keep(self, df, name, *a, **b))
+
+    def found(edges):
+        kept.clear()
+        df = spark.createDataFrame(edges, "a long, b long")
+        return {r.node: r.component for r in components.connected(df, Scratch(spark, "test"), "c").collect()}
+
+    assert found([(1, n) for n in range(2, 9)] + [(20, 21), (20, 20)]) == {**{n: 1 for n in range(1, 9)}, 20: 20, 21: 20}
+    assert kept == ["c-0"]
+    assert found([]) == {} and kept == ["c-0"]
+    # The larger ends meet in one node, and a path: neither is a star yet.
+    assert found([(1, 9), (2, 9)]) == {1: 1, 2: 1, 9: 1} and len(kept) == 2
+    assert found([(3, 2), (2, 1)]) == {1: 1, 2: 1, 3: 1} and len(kept) == 2
+
+
 def test_lines_on_odd_rows(spark, odd_documents):
     found = line_dedup.drop_repeated_lines(odd_documents, min_documents=3, batches=3)
     assert found.columns == [*odd_documents.columns, "n_lines", "n_dropped"]
