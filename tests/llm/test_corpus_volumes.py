@@ -49,3 +49,19 @@ def test_training_texts_are_gone_when_the_tables_are_made(spark, kept):
     assert len(found) == 60 and all(r.n_words == 9 and r.perplexity > 0 for r in found)
     there = next(t for t in kept if t["name"] == "tables")["there"]
     assert {"trigrams", "bigrams"} <= there and not {"training", "rare"} & there
+
+
+def test_query_with_many_candidates_is_searched_in_shares(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CHUNK", 1)
+    words = [f"w{i}" for i in range(200)]
+    docs = spark.createDataFrame([(k, " ".join([*words, *[f"x{k}"] * (k > 0)])) for k in range(12)], "doc_id long, text string")
+    rank = spark.sparkContext.broadcast(jaccard_join._frequency(docs, 4))
+    made = docs.withColumn("mark", docs["doc_id"]).mapInArrow(
+        jaccard_join._prefixes(4, 85, rank), "doc_id long, mark long, n_shingles long, class long, prefix array<long>"
+    )
+    classes = {r.doc_id: r["class"] for r in made.select("doc_id", "class").collect()}
+    pairs = spark.createDataFrame([(classes[0], classes[k]) for k in range(1, 12)] + [(classes[1], classes[2])], "a long, b long")
+    texts = jaccard_join._texts(docs, made.select("class"), 4)
+    found = jaccard_join._linked(pairs, texts, 4, 85).collect()
+    # Three shares for the first query, one for the second.
+    assert sorted((r.a, r.b) for r in found) == sorted((r.a, r.b) for r in pairs.collect())
