@@ -20,12 +20,13 @@ once. The directions need one pass of sums over all vectors, whose size does not
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
@@ -38,7 +39,9 @@ DIRECTIONS = 6
 BLOCK = 8192
 BLOCK_BYTES = 2 << 20
 #: A task joins two groups of blocks of this size or less.
-GROUP_BYTES = 64 << 20
+GROUP_BYTES = 32 << 20
+#: Arrow batches of pairs of blocks, which both sides hold in memory several times over.
+PAIRS_BYTES = 16 << 20
 LEAF = 512
 #: Rounding: bounds are compared with this much to spare, cosines are not.
 SLACK = 1e-6
@@ -123,7 +126,8 @@ class Sequence:
 
     def __init__(self, row: dict, end: str, width: int, kind: str, directions: np.ndarray):
         get = lambda name, kind: np.frombuffer(row[name + end].as_buffer(), kind)
-        self.block, self.classes, self.copies = row["block" + end].as_py(), get("class", np.int64), get("copies", np.int64)
+        # Copies, so that a block that is kept does not keep its whole batch.
+        self.block, self.classes, self.copies = row["block" + end].as_py(), get("class", np.int64).copy(), get("copies", np.int64).copy()
         self.unit = _unit(get("vectors", kind).reshape(-1, width).astype(np.float64))
         self.at = self.unit @ directions
         rest = np.sqrt(np.maximum(1 - (self.at * self.at).sum(axis=1, keepdims=True), 0))
@@ -227,9 +231,22 @@ def _join(batches, width: int, kind: str, directions: np.ndarray, eps: float, co
                 if label in b.runs:
                     for x, y in close_pairs(a, b, run, b.runs[label], eps, cosine):
                         found.add(a, b, x, y)
+        batch = row = None  # goes before the next is read
     yield from found.batches()
 
 
+@contextmanager
+def _batch_bytes(spark: SparkSession, most: int):
+    """Arrow batches have at most so many bytes, or one row."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _met(blocks: DataFrame, groups: int, eps: float) -> DataFrame:
     """The pairs of blocks that may have links, each once. Tasks read them where they lie: nothing is shuffled."""
     body = ["block", "labels", "starts", "class", "copies", "vectors"]
@@ -307,7 +324,8 @@ def near_duplicate_vectors(
         ordered = placed.repartitionByRange(groups, "label", "cells", "class").sortWithinPartitions("label", "cells", "class").drop("cells")
         blocks = scratch.keep(ordered.mapInArrow(lambda b, w=width, d=leading, m=most: _blocks(b, w, kind, d, m), BLOCKS), f"blocks{width}")
         found = _met(blocks, groups, eps).mapInArrow(lambda b, w=width, d=heads: _join(b, w, kind, d, eps, cosine), "class long, links long, to long")
-        found = scratch.keep(found, f"found{width}")
+        with _batch_bytes(spark, PAIRS_BYTES):
+            found = scratch.keep(found, f"found{width}")
         scratch.drop(f"blocks{width}")
         pairs_found = found if pairs_found is None else pairs_found.unionAll(found)
     scratch.drop("classes")
